@@ -50,8 +50,10 @@ def smoothed_ratio(num: Column | str, den: Column | str) -> Column:
 
 
 def py_round(x: Column | str, digits: int = 0) -> Column:
-    """Half-even rounding."""
-    return F.bround(_c(x).cast("double"), digits)
+    """Half-even rounding. Nine digits are kept first, so that a tie is decided by the rule and
+    not by the last bit of a sum.
+    """
+    return F.bround(F.round(_c(x).cast("double"), 9), digits)
 
 
 def rounded(x: Column | str, digits: int = 6) -> Column:

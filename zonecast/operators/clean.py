@@ -120,46 +120,44 @@ def adaptive_profile(df: DataFrame, year: int, month: int, min_share: float = 0.
     """One row: rows after every step, and which optional rules apply.
 
     An optional rule applies when at least ``min_share`` of the rows that reached it have a value.
-    That depends on the optional rules before it, so all eight combinations are counted in the
-    same pass and the decisions are read off afterwards: one scan, no loop over rules.
+    That depends on the optional rules before it. So the rows are first counted per outcome of all
+    conditions (a few hundred combinations at most, combined before the shuffle), and every
+    possible course is read off these counts: one scan, no loop over rules.
     """
     c = _adaptive_conditions(df, year, month)
-    essential = c["required"] & c["month"] & c["zone"]
-    base = essential & c["duration"]
-    aggs = [
-        F.count(F.lit(1)).alias("n_all"), F.count_if(c["required"]).alias("n_required"),
-        F.count_if(c["required"] & c["month"]).alias("n_month"), F.count_if(essential).alias("n_zone"),
-    ]
+    present = {f"has_{n}": F.col(n).isNotNull() if n in df.columns else F.lit(False) for n in OPTIONAL_RULES}
+    flags = {**c, **present}
+    outcomes = df.select(*[e.alias(f"_{n}") for n, e in flags.items()]).groupBy(*[f"_{n}" for n in flags]).agg(F.count(F.lit(1)).alias("n"))
+
+    def total(condition: Column, name: str) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0)).cast("long").alias(name)
+
+    required = F.col("_required")
+    month_ok = required & F.col("_month")
+    essential = month_ok & F.col("_zone")
+    aggs = [total(F.lit(True), "n_all"), total(required, "n_required"), total(month_ok, "n_month"), total(essential, "n_zone")]
     for mask in range(2 ** len(OPTIONAL_RULES)):
-        rows = base
+        rows = essential & F.col("_duration")
         for i, name in enumerate(OPTIONAL_RULES):
             if mask >> i & 1:
-                rows = rows & c[name]
-        aggs.append(F.count_if(rows).alias(f"n_{mask}"))
-        for name in OPTIONAL_RULES:
-            present = F.col(name).isNotNull() if name in df.columns else F.lit(False)
-            aggs.append(F.count_if(rows & present).alias(f"v_{mask}_{name}"))
-    counts = df.agg(*aggs)
-
-    mask = F.lit(0)
-    out = {}
-    for i, name in enumerate(OPTIONAL_RULES):
+                rows = rows & F.col(f"_{name}")
+        aggs.append(total(rows, f"n_{mask}"))
+        aggs += [total(rows & F.col(f"_has_{name}"), f"v_{mask}_{name}") for name in OPTIONAL_RULES]
+    counts = outcomes.agg(*aggs)
 
-        def pick(template: str) -> Column:
-            value = F.lit(0).cast("long")
-            for m in range(2 ** i):
-                value = F.when(mask == m, F.col(template.format(m))).otherwise(value)
-            return value
-
-        rows, present = pick("n_{}"), pick("v_{}_" + name)
-        out[f"use_{name}"] = F.coalesce(F.try_divide(present, rows) >= min_share, F.lit(False))
-        mask = mask + F.when(out[f"use_{name}"], 2 ** i).otherwise(0)
-        after = F.lit(0).cast("long")
-        for m in range(2 ** (i + 1)):
-            after = F.when(mask == m, F.col(f"n_{m}")).otherwise(after)
-        out[f"n_after_{name}"] = after
-    flags = [expr.alias(name) for name, expr in out.items()]
-    return counts.select("n_all", "n_required", "n_month", "n_zone", F.col("n_0").alias("n_duration"), *flags).withColumn(
+    # One step per optional rule, so that each decision is computed once and then referred to.
+    state = counts.withColumn("_mask", F.lit(0))
+
+    def at_mask(template: str, masks: int) -> Column:
+        return F.get(F.array(*[F.col(template.format(m)) for m in range(masks)]), F.col("_mask"))
+
+    for i, name in enumerate(OPTIONAL_RULES):
+        share = F.try_divide(at_mask("v_{}_" + name, 2 ** i), at_mask("n_{}", 2 ** i))
+        state = state.withColumn(f"use_{name}", F.coalesce(share >= min_share, F.lit(False)))
+        state = state.withColumn("_mask", F.col("_mask") + F.when(F.col(f"use_{name}"), 2 ** i).otherwise(0))
+        state = state.withColumn(f"n_after_{name}", at_mask("n_{}", 2 ** (i + 1)))
+    decided = [c for n in OPTIONAL_RULES for c in (f"use_{n}", f"n_after_{n}")]
+    return state.select("n_all", "n_required", "n_month", "n_zone", F.col("n_0").alias("n_duration"), *decided).withColumn(
         "fallback", (F.col("n_after_passenger_count") == 0) & (F.col("n_all") > 0)
     )
 

@@ -119,16 +119,18 @@ def train_mean(df: DataFrame, value: str = "target_demand", ratio: float = fixed
     return df.withColumn("_split", split_column(df, ratio)).filter(F.col("_split") == "train").agg(F.avg(value).alias("m"))
 
 
-def add_specialist_baselines(df: DataFrame, value: str = "target_demand", fallback: Column | None = None) -> DataFrame:
+def add_specialist_baselines(df: DataFrame, value: str = "target_demand", source: DataFrame | None = None) -> DataFrame:
     """Expanding zone, zone-hour and hour means of earlier rows, and their blend.
 
     Without history the zone mean falls back to the mean of the training period (never later rows).
+    ``source`` is the stored table with the same rows, read for the means over all zones.
     """
-    overall = F.coalesce(train_mean(df, value).scalar() if fallback is None else fallback, F.lit(0.0))
+    source = df if source is None else source
+    overall = F.coalesce(train_mean(source, value).scalar(), F.lit(0.0))
     out = df.withColumn("_overall", overall)
     out = out.withColumn("zone_mean", F.coalesce(_earlier_mean(value, 1), F.col("_overall")))
     out = out.withColumn("zone_hour_mean", F.coalesce(_earlier_mean(value, 1, "hour"), F.col("zone_mean")))
-    out = out.join(hour_means_before(df, value), on=TIME, how="left")
+    out = out.join(hour_means_before(source, value), on=TIME, how="left")
     out = out.withColumn("hour_mean", F.coalesce("_hour_mean", F.col("_overall"))).drop("_hour_mean", "_overall")
     return out.withColumn("baseline_blend", F.lit(0.70) * F.col("zone_hour_mean") + F.lit(0.30) * F.col("hour_mean"))
 
@@ -296,7 +298,7 @@ def specialist_features(gold: DataFrame, calendar: DataFrame, kind: str, basis:
 
     ``gold`` feeds several branches (means by slot, the training mean): pass a written table.
     """
-    base = add_specialist_baselines(base_features(gold, calendar, basis))
+    base = add_specialist_baselines(base_features(gold, calendar, basis), source=gold)
     if kind == "low_hour":
         return add_low_hour(base).filter(F.col("hour") <= 9)
     if kind == "evening":

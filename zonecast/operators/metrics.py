@@ -272,7 +272,7 @@ def tiered_loss(df: DataFrame, phase: int = 2) -> DataFrame:
     )
     base = F.avg(huber(p - y, 1.0) * tier * by_hour)
     share = F.lit(0.35 if phase <= 1 else 1.0)
-    return df.withColumn("_q", cuts).agg(base.alias("base"), asym.alias("asymmetric"), (base + share * asym).alias("loss"))
+    return df.withColumn("_q", cuts).agg(base.alias("base"), asym.alias("one_sided"), (base + share * asym).alias("loss"))
 
 
 def bucket_loss(df: DataFrame) -> DataFrame:
@@ -287,6 +287,6 @@ def bucket_loss(df: DataFrame) -> DataFrame:
     asym = F.lit(0.4) * F.avg(F.when(night, over * over).otherwise(0.0)) + F.lit(0.4) * F.avg(F.when(evening, under * under).otherwise(0.0))
     tails = (F.avg(weight * pinball(y, F.col("q10"), 0.10)) + F.avg(weight * pinball(y, F.col("q90"), 0.90))) / F.lit(2.0)
     return df.agg(
-        point.alias("point"), asym.alias("asymmetric"), tails.alias("quantile"),
+        point.alias("point"), asym.alias("one_sided"), tails.alias("quantile"),
         (point + F.lit(0.18) * tails + asym).alias("loss"),
     )

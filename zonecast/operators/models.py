@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import VarianceThresholdSelector, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
 from pyspark.sql import DataFrame, functions as F
@@ -22,6 +22,14 @@ def _assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
 
 
+def _linear_stages(features: Sequence[str], model) -> list:
+    """Constant columns (a month in one month of data) are dropped: they make the normal equations
+    of a linear model singular. Collinear ones are handled by its regularisation.
+    """
+    varying = VarianceThresholdSelector(featuresCol="features", outputCol="varying", varianceThreshold=1e-12)
+    return [_assembler(features), varying, model.setFeaturesCol("varying")]
+
+
 def _trimmed(df: DataFrame, features: Sequence[str], *others: str) -> DataFrame:
     """Only what training reads, as doubles."""
     return df.select(*[F.col(c).cast("double").alias(c) for c in dict.fromkeys([*features, *others])])
@@ -75,9 +83,8 @@ def fit_zero_inflated(train: DataFrame, features: Sequence[str], iterations: int
     intensity = GeneralizedLinearRegression(
         family="poisson", link="log", labelCol="target_demand", weightCol="w_intensity", maxIter=25, regParam=0.1
     )
-    assembler = _assembler(features)
     return ZeroInflatedModel(
-        Pipeline(stages=[assembler, classifier]).fit(data), Pipeline(stages=[assembler, intensity]).fit(data)
+        Pipeline(stages=_linear_stages(features, classifier)).fit(data), Pipeline(stages=_linear_stages(features, intensity)).fit(data)
     )
 
 
@@ -87,7 +94,7 @@ def fit_tweedie(train: DataFrame, features: Sequence[str], power: float = 1.25)
     glm = GeneralizedLinearRegression(
         family="tweedie", variancePower=power, linkPower=0.0, labelCol="target_demand", weightCol="weight", maxIter=25, regParam=0.1
     )
-    return Pipeline(stages=[_assembler(features), glm]).fit(data)
+    return Pipeline(stages=_linear_stages(features, glm)).fit(data)
 
 
 def predict(model: PipelineModel, df: DataFrame, out: str) -> DataFrame:
@@ -118,7 +125,7 @@ def fit_residual(train: DataFrame, val: DataFrame, features: Sequence[str], min_
         {"label": F.col("actual") - F.col("predicted"), "weight": clip(F.col("actual") / 8.0, 0.8, 3.0)}
     )
     glm = GeneralizedLinearRegression(family="gaussian", link="identity", labelCol="label", weightCol="weight", regParam=1.0)
-    return Pipeline(stages=[_assembler(inputs), glm]).fit(data)
+    return Pipeline(stages=_linear_stages(inputs, glm)).fit(data)
 
 
 def residual_delta(model: PipelineModel, df: DataFrame, out: str = "delta") -> DataFrame:

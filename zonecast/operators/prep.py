@@ -32,8 +32,13 @@ def split_column(df: DataFrame, train: float = fixed.TRAIN_RATIO, val: float = f
     return F.when(us < b["train_end"], "train").when(us < b["val_end"], "val").otherwise("test")
 
 
-def add_split(df: DataFrame, train: float = fixed.TRAIN_RATIO, val: float = fixed.VAL_RATIO) -> DataFrame:
-    return df.withColumn("split", split_column(df, train, val))
+def add_split(
+    df: DataFrame, train: float = fixed.TRAIN_RATIO, val: float = fixed.VAL_RATIO, source: DataFrame | None = None
+) -> DataFrame:
+    """``split`` column; the time range is read from ``source`` (a cheaper frame with the same
+    times, such as the stored table the features come from) if given.
+    """
+    return df.withColumn("split", split_column(df if source is None else source, train, val))
 
 
 def target_scaler(train: DataFrame, column: str = "target_demand") -> DataFrame:

@@ -111,17 +111,14 @@ def correlations(df: DataFrame, features: Sequence[str], target: str = "target_d
     """Pearson correlation of every feature with the target from one aggregate; NULL for a
     constant feature (its deviation is 0, and the division is a guarded one).
     """
-    y = F.col(target).cast("double")
+    known = df.select(F.col(target).cast("double").alias("_y"), *features).filter(F.col("_y").isNotNull())
     aggs = []
     for c in features:
         x = F.col(c).cast("double")
-        both = x.isNotNull() & y.isNotNull()
-        xs, ys = F.when(both, x), F.when(both, y)
-        deviation = F.stddev_pop(xs) * F.stddev_pop(ys)
-        varies = (F.min(xs) < F.max(xs)) & (F.min(ys) < F.max(ys))
-        aggs.append(F.when(varies, F.try_divide(F.covar_pop(xs, ys), deviation)).alias(c))
+        deviation = F.stddev_pop(x) * F.stddev_pop(F.when(x.isNotNull(), F.col("_y")))
+        aggs.append(F.try_divide(F.covar_pop(x, F.col("_y")), deviation).alias(c))
     pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("corr")) for c in features])
-    return df.agg(*aggs).select(F.explode(pairs).alias("p")).select("p.*")
+    return known.agg(*aggs).select(F.explode(pairs).alias("p")).select("p.*")
 
 
 def leakage_checks(df: DataFrame, features: Sequence[str]) -> DataFrame:
