@@ -179,3 +179,20 @@ def apply_weights(df: DataFrame, weights: DataFrame, predictions: Sequence[str],
     w = weights.select(F.struct(*[f"w_{c}" for c in predictions]).alias("w")).scalar()
     blended = sum((F.col("_w")[f"w_{c}"] * F.col(c) for c in predictions[1:]), F.col("_w")[f"w_{predictions[0]}"] * F.col(predictions[0]))
     return df.withColumn("_w", w).withColumn(out, blended).drop("_w")
+
+
+def improvement(val: DataFrame, base: str, other: str, ratio: float = 1.0) -> DataFrame:
+    """One row: WAPE of two prediction columns and whether the other beats ``ratio`` × base.
+
+    Used to keep a weekend adjustment (ratio 1) or a residual correction (0.995) only if it helps.
+    """
+    y = F.col("actual").cast("double")
+    score = lambda c: F.sum(F.abs(y - F.col(c))) / F.greatest(F.sum(y), F.lit(1.0)) * 100
+    scores = val.agg(score(base).alias("wape_base"), score(other).alias("wape_other"))
+    better = F.col("wape_other") < F.col("wape_base") * F.lit(float(ratio))
+    return scores.withColumn("enabled", F.coalesce(better, F.lit(False)))
+
+
+def choose(df: DataFrame, gate: DataFrame, base: str, other: str, out: str = "predicted") -> DataFrame:
+    """The other column if the gate is open, else the base column."""
+    return df.withColumn(out, F.when(gate.select("enabled").scalar(), F.col(other)).otherwise(F.col(base)))

@@ -137,6 +137,15 @@ def day_forecast(hourly: DataFrame, zones: DataFrame, day: str, table: DataFrame
     return known.select(ZONE_KEY, TIME, "hour", F.col("trip_count").alias("actual"), predicted.alias("predicted"))
 
 
+def rows_for_day(features: DataFrame, day: str) -> DataFrame:
+    """Feature rows whose target hour lies in a day (a row predicts the hour after it), with
+    ``target_hour``. Serving reads the same feature columns as training.
+    """
+    target = F.col(TIME) + F.expr("INTERVAL '1' HOUR")
+    inside = (F.col(TIME) >= _start(day) - F.expr("INTERVAL '1' HOUR")) & (F.col(TIME) < _start(day) + F.expr("INTERVAL '23' HOUR"))
+    return features.filter(inside).withColumn("target_hour", target)
+
+
 Step = Callable[[Column, Column], Column]
 
 

@@ -290,3 +290,9 @@ def bucket_loss(df: DataFrame) -> DataFrame:
         point.alias("point"), asym.alias("one_sided"), tails.alias("quantile"),
         (point + F.lit(0.18) * tails + asym).alias("loss"),
     )
+
+
+def align(actual: DataFrame, predicted: DataFrame) -> DataFrame:
+    """Actual and predicted values of the same zone and hour."""
+    keys = ["PULocationID", "window_start"]
+    return actual.select(*keys, "actual").join(predicted.select(*keys, "predicted"), on=keys)

@@ -41,21 +41,23 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(*trip_columns())
 
 
-def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines with their order and part. The tables grow together, so the join strategy is
-    left to the planner's size estimates and AQE.
+def sales(spark: SparkSession, sf_dir: str, category: bool = True) -> DataFrame:
+    """Order lines with their order and, if wanted, the part's type as category. The tables grow
+    together, so the join strategy is left to the planner's size estimates and AQE.
     """
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
-    parts = table(spark, sf_dir, "part").select("p_partkey", "p_type")
-    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    if category:
+        parts = table(spark, sf_dir, "part").select("p_partkey", "p_type")
+        joined = joined.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
     return joined.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("transaction_id"),
         F.col("o_custkey").alias("customer_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_extendedprice").alias("amount"),
         F.col("l_quantity").alias("quantity"),
-        F.col("p_type").alias("category"),
+        *([F.col("p_type").alias("category")] if category else []),
         F.col("o_orderdate").alias("timestamp"),
         F.col("o_orderstatus").alias("status"),
     )

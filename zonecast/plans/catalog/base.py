@@ -8,9 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-
-from zonecast.functions.scalar import rounded
+from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -31,13 +29,13 @@ def _nudge(digits: int) -> float:
 
 
 def shape(df: DataFrame, spec: str) -> DataFrame:
-    def cast(name: str, kind: str) -> Column:
+    def cast(name: str, kind: str) -> str:
         if kind.startswith("d"):
             digits = int(kind[1:] or 6)
-            return rounded(F.col(f"`{name}`").cast("double") + F.lit(_nudge(digits)), digits).alias(name)
-        return F.col(f"`{name}`").cast(_TYPES[kind][0]).alias(name)
+            return f"round(CAST(`{name}` AS DOUBLE) + {_nudge(digits)!r}D, {digits}) + 0D AS `{name}`"
+        return f"CAST(`{name}` AS {_TYPES[kind][0]}) AS `{name}`"
 
-    return df.select([cast(n, k) for n, k in _columns(spec)])
+    return df.selectExpr(*[cast(n, k) for n, k in _columns(spec)])
 
 
 def shape_sql(inner: str, spec: str, with_clause: str = "") -> str:

@@ -349,3 +349,38 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     return met.evaluate(_routed(spark, sf_dir).filter(F.col("split") == "test"), ["model_used"])
+
+
+@query(
+    "improvement_gate",
+    "wape_base:d wape_other:d enabled:b",
+    """SELECT *, wape_other < wape_base * 0.995 AS enabled FROM (SELECT sum(abs(actual - naive_day)) / greatest(sum(actual), 1) * 100 AS wape_base,
+     sum(abs(actual - baseline_blend)) / greatest(sum(actual), 1) * 100 AS wape_other FROM val WHERE hour >= 22)""",
+    "val",
+)
+def _(spark, sf_dir):
+    late = _val(spark, sf_dir).filter(F.col("hour").isin(fixed.LATE_HOURS))
+    return cal.improvement(late, "naive_day", "baseline_blend", 0.995)
+
+
+@query(
+    "gated_predictions",
+    "PULocationID:l window_start:t predicted:d",
+    """SELECT "PULocationID", window_start, CASE WHEN (SELECT sum(abs(actual - naive_week)) < sum(abs(actual - naive_day)) FROM val) THEN naive_week ELSE naive_day END AS predicted FROM test""",
+    "val test",
+)
+def _(spark, sf_dir):
+    rows = stored_forecasts(spark, sf_dir)
+    gate = cal.improvement(rows.filter(F.col("split") == "val"), "naive_day", "naive_week")
+    return cal.choose(rows.filter(F.col("split") == "test"), gate, "naive_day", "naive_week")
+
+
+@query(
+    "aligned_predictions",
+    "PULocationID:l window_start:t actual:d predicted:d",
+    'SELECT "PULocationID", window_start, actual, predicted FROM evening_final',
+    "evening_final",
+)
+def _(spark, sf_dir):
+    rows = stored_forecasts(spark, sf_dir)
+    return met.align(rows, _evening(rows))

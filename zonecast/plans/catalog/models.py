@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from zonecast import rules as fixed
-from zonecast.operators import features as feat, metrics as met, models, postprocess as post, prep
+from zonecast.operators import features as feat, forecast, metrics as met, models, postprocess as post, prep
 from zonecast.plans.adapters import calendar
 from zonecast.plans.catalog.base import query
-from zonecast.plans.tables import main_table, specialist_table, stored_gold
+from zonecast.plans.tables import main_table, stored_gold
 from zonecast.session import materialize
 
 METRICS = "model:s n:l mae:d rmse:d r2:d wape:d"
@@ -87,3 +87,13 @@ def _(spark, sf_dir):
     rows = prep.add_split(feat.add_calendar(source), source=source)
     train = rows.filter(F.col("split") == "train")
     return models.sunday_expert(train, train, min_train=1, min_val=1)
+
+
+@query("model_day_forecast", "hour:i actual:d predicted_known:b")
+def _(spark, sf_dir):
+    table = materialize(main_table(spark, sf_dir), "main-features")
+    fitted = models.fit_main(table.filter(F.col("split") == "train"), fixed.MAIN_FEATURES, weight=None, trees=4, depth=3)
+    rows = fitted.predict(forecast.rows_for_day(table, "2024-01-29"))
+    return rows.groupBy(F.hour("target_hour").alias("hour")).agg(
+        F.sum("target_demand").alias("actual"), (F.sum("predicted") >= 0).alias("predicted_known")
+    )

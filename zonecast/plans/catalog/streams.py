@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
 from zonecast.operators import clean
@@ -97,3 +99,28 @@ def _(spark, sf_dir):
     return written.withColumn("rows_in", rows_in).select("rows_in", "rows_out", py_round(share, 1).alias("filtered_pct"))
 
 
+
+
+@query("stream_replayed_batches", "rows:l batches:l total:d4", "SELECT count(*) AS rows, ceil(count(*) / 2000.0) AS batches, sum(fare_amount) AS total FROM trips", "trips")
+def _(spark, sf_dir):
+    path = scratch_path(spark, "replay")
+    # Files of 2000 rows from one writer, one file per micro-batch.
+    source = table(spark, sf_dir, "events")
+    st.write_replay(source.coalesce(1), os.path.join(path, "files"), rows_per_file=2000)
+    stream = st.read_files(spark, os.path.join(path, "files"), source.schema, files_per_batch=1).select(*trip_columns())
+    _finish(st.start_table_replay(stream, path))
+    written = spark.read.parquet(os.path.join(path, "data"))
+    return written.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("batch").alias("batches"), F.sum("fare_amount").alias("total"))
+
+
+@query("stream_chained_tables", "PULocationID:l window_start:t trip_count:l", "SELECT * FROM demand", "demand")
+def _(spark, sf_dir):
+    path = scratch_path(spark, "chain")
+    bronze = st.bronze_stream(_trips(spark, sf_dir))
+    _finish(st.start_append(bronze, os.path.join(path, "bronze")))
+    silver = st.silver_stream(st.read_files(spark, os.path.join(path, "bronze", "data"), bronze.schema))
+    _finish(st.start_append(silver, os.path.join(path, "silver")))
+    events = st.with_event_time(st.read_files(spark, os.path.join(path, "silver", "data"), silver.schema), delay="40 days")
+    counts = st.hourly_counts(events)
+    _finish(st.start_upsert(counts, os.path.join(path, "gold")))
+    return st.upserted(spark, os.path.join(path, "gold"), counts.schema, ["PULocationID", "window_start"])

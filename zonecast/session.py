@@ -27,6 +27,8 @@ def build_session(app_name: str = "zonecast", master: str | None = None, **conf:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.parquet.compression.codec": "zstd",
+        # Plans here have hundreds of columns; recording the Python line of each one is slow.
+        "spark.sql.dataFrameQueryContext.enabled": "false",
     }
     settings.update(conf)
     for key, value in settings.items():

@@ -8,6 +8,7 @@ it stopped, also after losing executors.
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
@@ -35,6 +36,11 @@ def read_kafka(spark: SparkSession, servers: str, topic: str, schema: T.StructTy
     return raw.select(F.from_json(F.col("value").cast("string"), schema).alias("r")).select("r.*")
 
 
+def write_replay(df: DataFrame, path: str, rows_per_file: int = 10_000) -> None:
+    """A table as a folder of files of at most ``rows_per_file`` rows, to be replayed as a stream."""
+    df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(path)
+
+
 def start_append(stream: DataFrame, path: str, name: str | None = None) -> StreamingQuery:
     """Appends the stream to a parquet table, exactly once, and stops when the input is used up."""
     writer = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", os.path.join(path, "_state"))
@@ -103,19 +109,19 @@ def upserted(spark: SparkSession, path: str, schema: T.StructType, keys: list[st
 
 
 def start_table_replay(stream: DataFrame, path: str) -> StreamingQuery:
-    """First micro-batch replaces the table, later ones add to it.
+    """A new run replaces the table with its first micro-batch and adds the later ones.
 
-    Every batch owns one folder and batch 0 starts a fresh table, so repeating a batch is safe.
+    Every batch owns one partition, which a repeated batch overwrites. The first batch overwrites
+    the whole table, so rows of an earlier run do not survive.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        if number == 0:
-            batch.limit(0).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(os.path.join(path, "data"))
-        batch.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(os.path.join(path, "data", f"batch={number}"))
+        mode = "static" if number == 0 else "dynamic"
+        numbered = batch.withColumn("batch", F.lit(number).cast("long"))
+        numbered.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("batch").parquet(os.path.join(path, "data"))
 
-    return (
-        stream.writeStream.foreachBatch(write).option("checkpointLocation", os.path.join(path, "_state")).trigger(availableNow=True).start()
-    )
+    state = os.path.join(path, f"_state-{uuid.uuid4().hex}")
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", state).trigger(availableNow=True).start()
 
 
 PROGRESS_SCHEMA = "name string, batch_id long, input_rows long, rows_per_second double, dropped_late long, state string"
