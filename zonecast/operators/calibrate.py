@@ -1,7 +1,7 @@
 """Calibration factors fitted on validation rows, and their application.
 
-Every fitted table is keyed by hour, weekday and flags only, so it has at most 24 × 7 × 4 rows
-whatever the data size; that bound is why these tables are broadcast.
+Every fitted table has one row per combination of hour, weekday and flags, so at most 24 × 7 × 4
+rows whatever the data size; that bound is why these tables, and no others, are broadcast.
 """
 
 from __future__ import annotations

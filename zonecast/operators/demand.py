@@ -112,8 +112,7 @@ def hour_profile(gold: DataFrame, column: str = "trip_count") -> DataFrame:
 def active_zones(df: DataFrame, threshold: float, column: str = "target_demand", fallback: int = 10) -> DataFrame:
     """Zones whose mean reaches the threshold; if none does, the ``fallback`` busiest ones.
 
-    One row per zone at most (a few hundred), so the fallback test is a one-row subquery and the
-    result is safe to broadcast.
+    The means hold one row per zone; the fallback test is a one-row subquery on them.
     """
     means = df.groupBy(ZONE_KEY).agg(F.avg(column).alias("zone_avg"))
     busiest = means.orderBy(F.desc("zone_avg"), F.asc(ZONE_KEY)).limit(fallback)
@@ -123,8 +122,8 @@ def active_zones(df: DataFrame, threshold: float, column: str = "target_demand",
 
 
 def keep_active(df: DataFrame, threshold: float, column: str = "target_demand", fallback: int = 10) -> DataFrame:
-    """Semi join with the active zones."""
-    return df.join(F.broadcast(active_zones(df, threshold, column, fallback)), on=ZONE_KEY, how="left_semi")
+    """Semi join with the active zones; broadcast if the planner or AQE finds them small."""
+    return df.join(active_zones(df, threshold, column, fallback), on=ZONE_KEY, how="left_semi")
 
 
 def hour_bucket(df: DataFrame, bucket: str) -> DataFrame:

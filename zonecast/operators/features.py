@@ -43,9 +43,11 @@ def add_calendar(df: DataFrame) -> DataFrame:
 
 
 def add_holiday(df: DataFrame, calendar: DataFrame) -> DataFrame:
-    """``is_holiday`` from a table of dates (a few per year, broadcast); dates may repeat."""
+    """``is_holiday`` from a table of dates; dates may repeat. The dates are few, so the planner
+    broadcasts them by their size; no hint forces it.
+    """
     days = calendar.select(F.to_date("date").alias("_day")).distinct().withColumn("_hit", F.lit(1))
-    joined = df.withColumn("_day", F.to_date(TIME)).join(F.broadcast(days), on="_day", how="left")
+    joined = df.withColumn("_day", F.to_date(TIME)).join(days, on="_day", how="left")
     return joined.withColumn("is_holiday", F.coalesce("_hit", F.lit(0))).drop("_day", "_hit")
 
 

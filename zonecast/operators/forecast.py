@@ -216,6 +216,6 @@ def resolve_day(hourly: DataFrame, calendar: DataFrame, year: int, month: int, t
     chosen = F.lit(target).cast("date") if target else F.col("regular_date")
     named = picked.withColumn("target_date", chosen)
     labels = holidays.select(F.col("d").alias("target_date"), F.col("name").alias("holiday_name"))
-    return named.join(F.broadcast(labels), on="target_date", how="left").select(
+    return named.join(labels, on="target_date", how="left").select(
         "target_date", F.coalesce("holiday_name", F.lit("")).alias("holiday_name"), "regular_date", "holiday_date"
     )

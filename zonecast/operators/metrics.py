@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from zonecast import rules as fixed
 from zonecast.functions.scalar import clip, huber, pinball, py_round
-from zonecast.functions.stats import percentiles_of_counts, running_totals, value_histogram
+from zonecast.functions.stats import exact_quantiles, percentiles_of_counts, running_totals, value_histogram
 
 
 def _yp() -> tuple[Column, Column]:
@@ -126,8 +126,6 @@ def with_tertile(df: DataFrame, column: str = "zone_hour_mean") -> DataFrame:
 
     The edges come from an exact distributed quantile, the label is a comparison per row.
     """
-    from zonecast.functions.stats import exact_quantiles
-
     edges = exact_quantiles(df, column, {"t1": 1.0 / 3.0, "t2": 2.0 / 3.0}).select(F.struct("t1", "t2").alias("e"))
     v, e = F.col(column), F.col("_e")
     label = F.when(v <= e["t1"], "low").when(v <= e["t2"], "mid").otherwise("high")

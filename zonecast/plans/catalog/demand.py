@@ -252,13 +252,13 @@ def _(spark, sf_dir):
     "shifted_context",
     "PULocationID:l window_start:t trip_count:l",
     """SELECT "PULocationID", TIMESTAMP '2024-03-01 00:00:00' - INTERVAL 1 HOUR - (m - window_start) AS window_start, trip_count
-     FROM demand, (SELECT max(window_start) AS m FROM demand) WHERE window_start >= m - INTERVAL 167 HOUR AND "PULocationID" <= 2""",
+     FROM demand, (SELECT max(window_start) AS m FROM demand) WHERE window_start >= m - INTERVAL 167 HOUR
+     AND "PULocationID" IN (SELECT "PULocationID" FROM demand GROUP BY 1 HAVING avg(trip_count) >= 2.0)""",
     "demand",
 )
 def _(spark, sf_dir):
     source = materialize(hourly(spark, sf_dir), "hourly")
-    zones = source.filter(F.col("PULocationID") <= 2).select("PULocationID").distinct()
-    return forecast.shifted_context(source, "2024-03-01", zones)
+    return forecast.shifted_context(source, "2024-03-01", dem.active_zones(source, 2.0, "trip_count", fallback=0))
 
 
 ZDH_AT = """coalesce((SELECT mean FROM zdh a WHERE a."PULocationID" = s."PULocationID" AND a.day_of_week = isodow(s.window_start) - 1 AND a.hour = hour(s.window_start)),

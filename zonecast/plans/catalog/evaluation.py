@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from zonecast import rules as fixed
 from zonecast.operators import features as feat, metrics as met, prep, quality
-from zonecast.plans.adapters import calendar
+from zonecast.functions.stats import exact_quantiles
+from zonecast.plans.adapters import calendar, table
 from zonecast.plans.catalog.base import SPLIT, ZONE_ROWS, query, sql_table
 from zonecast.plans.tables import gold, main_table, stored_forecasts, stored_gold
 from zonecast.session import materialize
@@ -224,7 +225,7 @@ def _(spark, sf_dir):
     start, end = (F.lit(f"2024-01-{d} 00:00:00").cast("timestamp_ntz") for d in (16, 17))
     day = stored_forecasts(spark, sf_dir).filter((F.col("window_start") >= start) & (F.col("window_start") < end))
     busiest = day.groupBy("PULocationID").agg(F.sum("actual").alias("total")).orderBy(F.desc("total"), "PULocationID").limit(TOP_ZONES)
-    series = day.join(F.broadcast(busiest), on="PULocationID", how="left_semi")
+    series = day.join(busiest, on="PULocationID", how="left_semi")
     return series.groupBy("PULocationID", "hour").agg(F.sum("actual").alias("actual"), F.sum("predicted").alias("predicted"))
 
 
@@ -420,8 +421,6 @@ def _histogram(expression: str, source: str, bins: int = 80) -> str:
 
 @query("histogram_of_values", "bin:i n:l low:d high:d", _histogram("value", "events"))
 def _(spark, sf_dir):
-    from zonecast.plans.adapters import table
-
     return quality.histogram(table(spark, sf_dir, "events"), "value")
 
 
@@ -436,8 +435,6 @@ def _(spark, sf_dir):
     "SELECT value, n, sum(n) OVER (ORDER BY value) / (SELECT count(value)::DOUBLE FROM events) AS cdf FROM (SELECT value, count(*) AS n FROM events GROUP BY 1)",
 )
 def _(spark, sf_dir):
-    from zonecast.plans.adapters import table
-
     return quality.cdf(table(spark, sf_dir, "events"), "value")
 
 
@@ -447,7 +444,4 @@ def _(spark, sf_dir):
     "SELECT event_type, count(*) AS n, quantile_cont(value, 0.05) AS q05, median(value) AS median, quantile_cont(value, 0.99) AS q99 FROM events GROUP BY 1",
 )
 def _(spark, sf_dir):
-    from zonecast.functions.stats import exact_quantiles
-    from zonecast.plans.adapters import table
-
     return exact_quantiles(table(spark, sf_dir, "events"), "value", {"q05": 0.05, "median": 0.5, "q99": 0.99}, ["event_type"])
