@@ -82,7 +82,7 @@ def main() -> int:
         try:
             message, rows, took = compare(spark, con, name, fn, oracle.get(name), sf_dir)
         except Exception as e:  # noqa: BLE001
-            message, rows, took = f"{type(e).__name__}: {str(e)[:700]}", -1, 0.0
+            message, rows, took = f"{type(e).__name__}: {str(e)[:2500]}", -1, 0.0
         failed += bool(message)
         kind = "sql" if name in oracle else "rows"
         print(f"{'FAIL' if message else 'ok  '} {name:36s} {kind} rows={rows:<7d} {took:6.2f}s {message}", flush=True)

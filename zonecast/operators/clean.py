@@ -129,27 +129,22 @@ def adaptive_profile(df: DataFrame, year: int, month: int, min_share: float = 0.
     flags = {**c, **present}
     outcomes = df.select(*[e.alias(f"_{n}") for n, e in flags.items()]).groupBy(*[f"_{n}" for n in flags]).agg(F.count(F.lit(1)).alias("n"))
 
-    def total(condition: Column, name: str) -> Column:
-        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0)).cast("long").alias(name)
+    def total(conditions: list[str], name: str) -> Column:
+        return F.expr(f"coalesce(sum(CASE WHEN {' AND '.join(conditions)} THEN n END), 0L)").alias(name)
 
-    required = F.col("_required")
-    month_ok = required & F.col("_month")
-    essential = month_ok & F.col("_zone")
-    aggs = [total(F.lit(True), "n_all"), total(required, "n_required"), total(month_ok, "n_month"), total(essential, "n_zone")]
+    essential = ["_required", "_month", "_zone"]
+    aggs = [total(["TRUE"], "n_all"), *[total(essential[: i + 1], f"n_{essential[i][1:]}") for i in range(3)]]
     for mask in range(2 ** len(OPTIONAL_RULES)):
-        rows = essential & F.col("_duration")
-        for i, name in enumerate(OPTIONAL_RULES):
-            if mask >> i & 1:
-                rows = rows & F.col(f"_{name}")
+        rows = [*essential, "_duration", *[f"_{name}" for i, name in enumerate(OPTIONAL_RULES) if mask >> i & 1]]
         aggs.append(total(rows, f"n_{mask}"))
-        aggs += [total(rows & F.col(f"_has_{name}"), f"v_{mask}_{name}") for name in OPTIONAL_RULES]
+        aggs += [total([*rows, f"_has_{name}"], f"v_{mask}_{name}") for name in OPTIONAL_RULES]
     counts = outcomes.agg(*aggs)
 
     # One step per optional rule, so that each decision is computed once and then referred to.
     state = counts.withColumn("_mask", F.lit(0))
 
     def at_mask(template: str, masks: int) -> Column:
-        return F.get(F.array(*[F.col(template.format(m)) for m in range(masks)]), F.col("_mask"))
+        return F.expr(f"get(array({', '.join(template.format(m) for m in range(masks))}), _mask)")
 
     for i, name in enumerate(OPTIONAL_RULES):
         share = F.try_divide(at_mask("v_{}_" + name, 2 ** i), at_mask("n_{}", 2 ** i))

@@ -12,8 +12,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from zonecast import rules as fixed
-from zonecast.functions.scalar import clip, cyclic, safe_ratio, smoothed_ratio, weekend_mon0
+from zonecast.functions.scalar import cyclic, safe_ratio, weekend_mon0
 from zonecast.operators.demand import ZONE_KEY
+from zonecast.operators.prep import split_column
 
 TIME = "window_start"
 LAGS = {"lag_1h": 1, "lag_2h": 2, "lag_3h": 3, "lag_24h": 24, "lag_168h": 168}
@@ -116,8 +117,6 @@ def hour_means_before(df: DataFrame, value: str = "target_demand") -> DataFrame:
 
 def train_mean(df: DataFrame, value: str = "target_demand", ratio: float = fixed.TRAIN_RATIO) -> DataFrame:
     """One row: the mean over the training part of the time range."""
-    from zonecast.operators.prep import split_column
-
     return df.withColumn("_split", split_column(df, ratio)).filter(F.col("_split") == "train").agg(F.avg(value).alias("m"))
 
 
@@ -137,9 +136,13 @@ def add_specialist_baselines(df: DataFrame, value: str = "target_demand", source
     return out.withColumn("baseline_blend", F.lit(0.70) * F.col("zone_hour_mean") + F.lit(0.30) * F.col("hour_mean"))
 
 
+def _with_sql(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """Columns given as SQL text over the existing ones."""
+    return df.withColumns({name: F.expr(text) for name, text in columns.items()})
+
+
 def hour_flags(df: DataFrame, bounds: Mapping[str, tuple[int, int]] = fixed.HOUR_FLAGS) -> DataFrame:
-    hour = F.col("hour")
-    return df.withColumns({name: hour.between(lo, hi).cast("int") for name, (lo, hi) in bounds.items()})
+    return _with_sql(df, {name: f"CAST(hour BETWEEN {lo} AND {hi} AS INT)" for name, (lo, hi) in bounds.items()})
 
 
 def serving_flags(df: DataFrame) -> DataFrame:
@@ -150,117 +153,106 @@ def serving_flags(df: DataFrame) -> DataFrame:
 
 def add_regime(df: DataFrame) -> DataFrame:
     """Hour flags, ratios, momentum, growth and acceleration of the main model."""
-    c = F.col
     out = hour_flags(df).withColumns(
         {
-            "lag_ratio_1h_24h": safe_ratio("lag_1h", c("lag_24h") + 1),
-            "lag_ratio_3h_24h": safe_ratio("lag_3h", c("lag_24h") + 1),
-            "rolling_ratio_3h_24h": safe_ratio("rolling_avg_3h", c("rolling_avg_24h") + 1),
-            "lag_diff_1h_24h": c("lag_1h") - c("lag_24h"),
-            "growth_1h": c("lag_1h") - c("lag_2h"),
-            "growth_2h": c("lag_2h") - c("lag_3h"),
-            "growth_3h": c("lag_1h") - c("lag_3h"),
-            "growth_6h": c("lag_1h") - c("rolling_avg_6h"),
-            "growth_24h": c("lag_1h") - c("lag_24h"),
-            "growth_168h": c("lag_1h") - c("lag_168h"),
-            "prev_day_growth_24_168": c("lag_24h") - c("lag_168h"),
+            "lag_ratio_1h_24h": safe_ratio("lag_1h", F.col("lag_24h") + 1),
+            "lag_ratio_3h_24h": safe_ratio("lag_3h", F.col("lag_24h") + 1),
+            "rolling_ratio_3h_24h": safe_ratio("rolling_avg_3h", F.col("rolling_avg_24h") + 1),
         }
     )
-    out = out.withColumns(
+    out = _with_sql(
+        out,
         {
-            "prev_1h_growth": c("growth_1h"),
-            "prev_2h_growth": c("growth_2h"),
-            "prev_3h_growth": c("growth_3h"),
-            "acceleration_1h": c("growth_1h") - c("growth_2h"),
-            "acceleration_3h": c("growth_3h") - c("prev_day_growth_24_168"),
-        }
+            "lag_diff_1h_24h": "lag_1h - lag_24h",
+            "growth_1h": "lag_1h - lag_2h",
+            "growth_2h": "lag_2h - lag_3h",
+            "growth_3h": "lag_1h - lag_3h",
+            "growth_6h": "lag_1h - rolling_avg_6h",
+            "growth_24h": "lag_1h - lag_24h",
+            "growth_168h": "lag_1h - lag_168h",
+            "prev_1h_growth": "lag_1h - lag_2h",
+            "prev_2h_growth": "lag_2h - lag_3h",
+            "prev_3h_growth": "lag_1h - lag_3h",
+            "prev_day_growth_24_168": "lag_24h - lag_168h",
+        },
     )
-
-    def mix(*parts: tuple[float, str]) -> Column:
-        return sum((F.lit(w) * c(name) for w, name in parts[1:]), F.lit(parts[0][0]) * c(parts[0][1]))
-
-    late = c("is_late_drop_23")
-    return out.withColumns(
+    return _with_sql(
+        _with_sql(out, {"acceleration_1h": "growth_1h - growth_2h", "acceleration_3h": "growth_3h - prev_day_growth_24_168"}),
         {
-            "ramp_momentum": c("is_ramp_up_05_08")
-            * mix((0.55, "prev_1h_growth"), (0.25, "prev_2h_growth"), (0.20, "prev_day_growth_24_168")),
-            "night_decay_signal": (c("is_post_midnight") + late) * (c("lag_1h") - c("rolling_avg_24h")),
-            "ramp_growth_signal": c("is_ramp_up_05_08")
-            * mix((0.50, "growth_1h"), (0.30, "acceleration_1h"), (0.20, "growth_24h")),
-            "peak_growth_signal": (c("is_morning_peak") + c("is_evening_peak"))
-            * mix((0.60, "growth_1h"), (0.25, "growth_3h"), (0.15, "growth_168h")),
-            "night_over_signal": (c("is_late_night") + late) * (c("lag_1h") - c("zone_hour_mean")),
-        }
+            "ramp_momentum": "is_ramp_up_05_08 * (0.55D * prev_1h_growth + 0.25D * prev_2h_growth + 0.20D * prev_day_growth_24_168)",
+            "night_decay_signal": "(is_post_midnight + is_late_drop_23) * (lag_1h - rolling_avg_24h)",
+            "ramp_growth_signal": "is_ramp_up_05_08 * (0.50D * growth_1h + 0.30D * acceleration_1h + 0.20D * growth_24h)",
+            "peak_growth_signal": "(is_morning_peak + is_evening_peak) * (0.60D * growth_1h + 0.25D * growth_3h + 0.15D * growth_168h)",
+            "night_over_signal": "(is_late_night + is_late_drop_23) * (lag_1h - zone_hour_mean)",
+        },
     )
 
 
 def _gaps(df: DataFrame) -> DataFrame:
     """Columns both specialists derive from lags and the blended baseline."""
-    c = F.col
-    return df.withColumns(
+    return _with_sql(
+        df,
         {
-            "lag_ratio_1h_24h": smoothed_ratio("lag_1h", "lag_24h"),
-            "lag_diff_1h_24h": c("lag_1h") - c("lag_24h"),
-            "rolling_ratio_3h_24h": smoothed_ratio("rolling_avg_3h", "rolling_avg_24h"),
-            "momentum_1h_2h": c("lag_1h") - c("lag_2h"),
-            "momentum_1h_3h": c("lag_1h") - c("lag_3h"),
-            "baseline_gap_1h": c("lag_1h") - c("baseline_blend"),
-            "baseline_gap_24h": c("lag_24h") - c("baseline_blend"),
-            "baseline_ratio_1h": smoothed_ratio("lag_1h", "baseline_blend"),
-            "baseline_ratio_24h": smoothed_ratio("lag_24h", "baseline_blend"),
-        }
+            "lag_ratio_1h_24h": "(lag_1h + 1) / (lag_24h + 1)",
+            "lag_diff_1h_24h": "lag_1h - lag_24h",
+            "rolling_ratio_3h_24h": "(rolling_avg_3h + 1) / (rolling_avg_24h + 1)",
+            "momentum_1h_2h": "lag_1h - lag_2h",
+            "momentum_1h_3h": "lag_1h - lag_3h",
+            "baseline_gap_1h": "lag_1h - baseline_blend",
+            "baseline_gap_24h": "lag_24h - baseline_blend",
+            "baseline_ratio_1h": "(lag_1h + 1) / (baseline_blend + 1)",
+            "baseline_ratio_24h": "(lag_24h + 1) / (baseline_blend + 1)",
+        },
     )
 
 
-def _is_hour(h: int) -> Column:
-    return (F.col("hour") == h).cast("int")
-
-
 def add_low_hour(df: DataFrame) -> DataFrame:
     """Columns of the 00-09 model."""
-    hour = F.col("hour")
-    out = _gaps(df).withColumns({f"is_{h:02d}": _is_hour(h) for h in fixed.HOUR_BUCKETS["00_09"]})
-    out = out.withColumns(
-        {
-            "night_order": F.when(hour <= 9, hour).otherwise(F.lit(-1)),
-            "is_deep_night": hour.between(0, 2).cast("int"),
-            "is_pre_ramp": hour.between(3, 4).cast("int"),
-            "is_morning_ramp": hour.between(5, 9).cast("int"),
-            "is_ramp_low": hour.between(3, 4).cast("int"),
-            "ramp_strength": clip((hour - F.lit(2.0)) / F.lit(2.0), 0.0, 1.0),
-            "morning_ramp_strength": F.when(hour <= 9, clip((hour - F.lit(2.0)) / F.lit(7.0), 0.0, 1.0)).otherwise(F.lit(0.0)),
-        }
+    is_hour = {f"is_{h:02d}": f"CAST(hour = {h} AS INT)" for h in fixed.HOUR_BUCKETS["00_09"]}
+    out = _with_sql(
+        _gaps(df),
+        is_hour
+        | {
+            "night_order": "CASE WHEN hour <= 9 THEN hour ELSE -1 END",
+            "is_deep_night": "CAST(hour BETWEEN 0 AND 2 AS INT)",
+            "is_pre_ramp": "CAST(hour BETWEEN 3 AND 4 AS INT)",
+            "is_morning_ramp": "CAST(hour BETWEEN 5 AND 9 AS INT)",
+            "is_ramp_low": "CAST(hour BETWEEN 3 AND 4 AS INT)",
+            "ramp_strength": "least(greatest((hour - 2) / 2.0D, 0D), 1D)",
+            "morning_ramp_strength": "CASE WHEN hour <= 9 THEN least(greatest((hour - 2) / 7.0D, 0D), 1D) ELSE 0D END",
+        },
     )
-    return out.withColumns(
+    return _with_sql(
+        out,
         {
-            "pre_ramp_gap": F.col("baseline_gap_1h") * F.col("is_pre_ramp"),
-            "morning_gap_1h": F.col("baseline_gap_1h") * F.col("is_morning_ramp"),
-            "ramp_baseline_signal": F.col("baseline_blend") * F.col("ramp_strength"),
-        }
+            "pre_ramp_gap": "baseline_gap_1h * is_pre_ramp",
+            "morning_gap_1h": "baseline_gap_1h * is_morning_ramp",
+            "ramp_baseline_signal": "baseline_blend * ramp_strength",
+        },
     )
 
 
 def add_evening(df: DataFrame) -> DataFrame:
     """Columns of the 17-23 model."""
-    hour = F.col("hour")
-    inside = hour.between(17, 23)
-    out = _gaps(df).withColumns({f"is_h{h}": _is_hour(h) for h in fixed.EVENING_HOURS})
-    out = out.withColumns(
-        {
-            "evening_slot": F.when(inside, hour - 17).otherwise(F.lit(-1)),
-            "is_evening_segment_early": hour.between(17, 19).cast("int"),
-            "is_evening_segment_late": hour.between(21, 23).cast("int"),
-            "evening_decay": F.when(inside, (F.lit(23.0) - hour) / F.lit(6.0)).otherwise(F.lit(0.0)),
-            "decline_2h_to_1h": F.greatest(F.col("lag_2h") - F.col("lag_1h"), F.lit(0.0)),
-        }
+    is_hour = {f"is_h{h}": f"CAST(hour = {h} AS INT)" for h in fixed.EVENING_HOURS}
+    out = _with_sql(
+        _gaps(df),
+        is_hour
+        | {
+            "evening_slot": "CASE WHEN hour >= 17 THEN hour - 17 ELSE -1 END",
+            "is_evening_segment_early": "CAST(hour BETWEEN 17 AND 19 AS INT)",
+            "is_evening_segment_late": "CAST(hour BETWEEN 21 AND 23 AS INT)",
+            "evening_decay": "CASE WHEN hour >= 17 THEN (23 - hour) / 6.0D ELSE 0D END",
+            "decline_2h_to_1h": "greatest(lag_2h - lag_1h, 0D)",
+        },
     )
-    out = out.withColumn("decline_ratio_2h_to_1h", F.col("decline_2h_to_1h") / (F.col("lag_2h") + 1.0))
-    late = F.col("is_evening_segment_late")
-    return out.withColumns(
+    out = _with_sql(out, {"decline_ratio_2h_to_1h": "decline_2h_to_1h / (lag_2h + 1)"})
+    return _with_sql(
+        out,
         {
-            "evening_baseline_gap": F.col("baseline_gap_1h") * late,
-            "late_decline_signal": F.col("decline_ratio_2h_to_1h") * late,
-        }
+            "evening_baseline_gap": "baseline_gap_1h * is_evening_segment_late",
+            "late_decline_signal": "decline_ratio_2h_to_1h * is_evening_segment_late",
+        },
     )
 
 

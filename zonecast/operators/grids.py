@@ -23,10 +23,14 @@ def linspace(start: float, stop: float, count: int) -> list[float]:
     return [start + i * step for i in range(count - 1)] + [stop]
 
 
+def _literals(values: Sequence[float]) -> Column:
+    return F.expr("array(" + ", ".join(f"{float(v)!r}D" for v in values) + ")")
+
+
 def _grid(rows: Sequence[dict[str, float]]) -> Column:
-    return F.array(
-        *[F.struct(F.lit(i).alias("ord"), *[F.lit(float(v)).alias(k) for k, v in row.items()]) for i, row in enumerate(rows)]
-    )
+    """Parameter sets as one literal array of structs, numbered in order."""
+    items = (", ".join([f"'ord', {i}", *[f"'{k}', {float(v)!r}D" for k, v in row.items()]]) for i, row in enumerate(rows))
+    return F.expr("array(" + ", ".join(f"named_struct({item})" for item in items) + ")")
 
 
 def _first_best(df: DataFrame, keys: Sequence[str], keep: Sequence[str], score: str, *ties: str) -> DataFrame:
@@ -38,7 +42,7 @@ def _first_best(df: DataFrame, keys: Sequence[str], keep: Sequence[str], score:
 def late_affine(val: DataFrame) -> DataFrame:
     """Per late hour: the factor (25 values) and bias (24 values) with the lowest WAPE."""
     late = val.filter(F.col("hour").isin(fixed.LATE_HOURS))
-    options = F.struct(F.array(*map(F.lit, linspace(0.55, 1.15, 25))).alias("f"), F.array(*map(F.lit, linspace(-15.0, 8.0, 24))).alias("b"))
+    options = F.struct(_literals(linspace(0.55, 1.15, 25)).alias("f"), _literals(linspace(-15.0, 8.0, 24)).alias("b"))
     y, p = F.col("actual").cast("double"), F.col("predicted").cast("double")
     index = F.explode(F.sequence(F.lit(0), F.lit(25 * 24 - 1)))
     tried = late.select("hour", y.alias("y"), p.alias("p"), index.alias("ord")).withColumn("o", options)
@@ -67,13 +71,9 @@ def _span_table() -> Column:
                 bounds = (0.66, 1.00, -8.0, 6.0)
             else:
                 bounds = (0.72, 1.00, -14.0, 4.0)
-            names = ("f_min", "f_max", "b_min", "b_max")
-            rows.append(
-                F.struct(
-                    F.lit(dow).alias("dow"), F.lit(hour).alias("h"), *[F.lit(v).alias(n) for n, v in zip(names, bounds)]
-                )
-            )
-    return F.array(*rows)
+            values = ", ".join(f"'{n}', {v!r}D" for n, v in zip(("f_min", "f_max", "b_min", "b_max"), bounds))
+            rows.append(f"named_struct('dow', {dow}, 'h', {hour}, {values})")
+    return F.expr("array(" + ", ".join(rows) + ")")
 
 
 def weekend_adjust(val: DataFrame, points: int = 17) -> DataFrame:

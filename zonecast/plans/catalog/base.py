@@ -1,7 +1,7 @@
 """Registry: a query, its output columns and, where SQL can state it, the same result in SQL.
 
 The column list fixes names, types and rounding for both sides. Types: i int, l bigint, d double
-(6 digits), d4 double (4 digits), s text, t timestamp, D date, b boolean.
+(6 digits), d4 double (4 digits), f double (as it is), s text, t timestamp, D date, b boolean.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
 _TYPES = {"i": ("int", "INTEGER"), "l": ("bigint", "BIGINT"), "s": ("string", "VARCHAR"), "t": ("timestamp_ntz", "TIMESTAMP"),
-          "D": ("date", "DATE"), "b": ("boolean", "BOOLEAN")}
+          "D": ("date", "DATE"), "b": ("boolean", "BOOLEAN"), "f": ("double", "DOUBLE")}
 
 
 def _columns(spec: str) -> list[tuple[str, str]]:

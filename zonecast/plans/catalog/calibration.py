@@ -173,12 +173,11 @@ sql_table("evening_final", "forecasts eh_factor edh_factor late_grid weekend_gri
 def _evening(rows):
     """Factors and searches fitted on the training rows, applied to the evening rows of all splits.
 
-    The fitted tables hold at most 7 × 24 rows; writing them cuts the plan between the searches
-    and their use.
+    Each fitted table is read once, as a broadcast of at most 7 × 24 rows, so none is written.
     """
     past = rows.filter(F.col("split") == "train")
-    hours, dow_hours = (materialize(t, "factors") for t in cal.evening_factors(past))
-    late, weekend = materialize(grids.late_affine(past), "late"), materialize(grids.weekend_adjust(past), "weekend")
+    hours, dow_hours = cal.evening_factors(past)
+    late, weekend = grids.late_affine(past), grids.weekend_adjust(past)
     evening = rows.filter(F.col("hour") >= 17)
     return post.evening_caps(cal.apply_evening(evening, hours, dow_hours, late, weekend))
 
@@ -252,7 +251,7 @@ sql_table("zi_final", "zi zi_best", """SELECT "PULocationID", window_start, hour
 
 def _low_hour(rows):
     low = _zero_inflated_rows(rows)
-    best = materialize(grids.as_parameters(grids.zero_inflated_search(low.filter(F.col("split") == "train"))), "params")
+    best = grids.as_parameters(grids.zero_inflated_search(low.filter(F.col("split") == "train")))
     return post.zero_inflated(low.withColumn("_p", best.scalar()), F.col("_p")).drop("_p")
 
 

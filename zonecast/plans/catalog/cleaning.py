@@ -36,7 +36,7 @@ def _(spark, sf_dir):
 
 @query(
     "bronze_normalized_orders",
-    "o_orderkey:d o_custkey:d o_orderstatus:s o_totalprice:d o_orderdate:t o_orderpriority:s",
+    "o_orderkey:f o_custkey:f o_orderstatus:s o_totalprice:f o_orderdate:t o_orderpriority:s",
     "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders",
 )
 def _(spark, sf_dir):
@@ -66,7 +66,7 @@ def _(spark, sf_dir):
 
 @query(
     "null_safe_table",
-    "PULocationID:d store_and_fwd_flag:s airport_fee:d promo_code:s comment:s",
+    "PULocationID:f store_and_fwd_flag:s airport_fee:f promo_code:s comment:s",
     """
     SELECT "PULocationID", store_and_fwd_flag, airport_fee, '' AS promo_code,
      coalesce(CASE WHEN passenger_count IS NULL THEN NULL ELSE store_and_fwd_flag END, '') AS comment FROM trips
@@ -160,9 +160,9 @@ def _(spark, sf_dir):
 
 @query(
     "silver_strict",
-    "VendorID:d tpep_pickup_datetime:t tpep_dropoff_datetime:t passenger_count:d trip_distance:d RatecodeID:d store_and_fwd_flag:s "
-    "PULocationID:d DOLocationID:d payment_type:d fare_amount:d extra:d mta_tax:d tip_amount:d tolls_amount:d improvement_surcharge:d "
-    "total_amount:d congestion_surcharge:d airport_fee:d trip_duration_min:d pickup_year:i pickup_month:i pickup_day:i pickup_hour:i "
+    "VendorID:f tpep_pickup_datetime:t tpep_dropoff_datetime:t passenger_count:f trip_distance:f RatecodeID:f store_and_fwd_flag:s "
+    "PULocationID:f DOLocationID:f payment_type:f fare_amount:f extra:f mta_tax:f tip_amount:f tolls_amount:f improvement_surcharge:f "
+    "total_amount:f congestion_surcharge:f airport_fee:f trip_duration_min:d pickup_year:i pickup_month:i pickup_day:i pickup_hour:i "
     "pickup_dayofweek:i pickup_date:D _layer:s",
     """
     SELECT *, (epoch(date_trunc('second', tpep_dropoff_datetime)) - epoch(date_trunc('second', tpep_pickup_datetime))) / 60 AS trip_duration_min,
@@ -178,7 +178,7 @@ def _(spark, sf_dir):
 
 @query(
     "silver_loose",
-    "tpep_pickup_datetime:t PULocationID:d DOLocationID:d trip_distance:d fare_amount:d passenger_count:d",
+    "tpep_pickup_datetime:t PULocationID:f DOLocationID:f trip_distance:f fare_amount:f passenger_count:f",
     "SELECT * FROM trips WHERE " + " AND ".join(f"({r})" for r in LOOSE_RULES),
     "trips",
 )
@@ -229,7 +229,7 @@ ADAPTIVE = f"{ESSENTIAL} AND {DURATION} AND trip_distance BETWEEN 0.1 AND 100 AN
 
 @query(
     "silver_adaptive",
-    "tpep_pickup_datetime:t tpep_dropoff_datetime:t PULocationID:i trip_distance:d fare_amount:d passenger_count:d",
+    "tpep_pickup_datetime:t tpep_dropoff_datetime:t PULocationID:i trip_distance:f fare_amount:f passenger_count:f",
     f"SELECT * FROM trips WHERE {ADAPTIVE}",
     "trips",
 )
@@ -243,7 +243,7 @@ SPARSE = "CASE WHEN DOLocationID > 100 THEN NULL ELSE passenger_count END"
 
 @query(
     "silver_adaptive_sparse_column",
-    "tpep_pickup_datetime:t PULocationID:i trip_distance:d fare_amount:d passenger_count:d",
+    "tpep_pickup_datetime:t PULocationID:i trip_distance:f fare_amount:f passenger_count:f",
     f"""SELECT tpep_pickup_datetime, "PULocationID", trip_distance, fare_amount, {SPARSE} AS passenger_count FROM trips
      WHERE {ESSENTIAL} AND {DURATION} AND trip_distance BETWEEN 0.1 AND 100 AND fare_amount >= 1""",
     "trips",
@@ -254,7 +254,7 @@ def _(spark, sf_dir):
 
 @query(
     "silver_adaptive_fallback",
-    "tpep_pickup_datetime:t PULocationID:i trip_distance:d fare_amount:d",
+    "tpep_pickup_datetime:t PULocationID:i trip_distance:f fare_amount:f",
     f'SELECT tpep_pickup_datetime, "PULocationID", trip_distance, -fare_amount AS fare_amount FROM trips WHERE {ESSENTIAL}',
     "trips",
 )
@@ -264,7 +264,7 @@ def _(spark, sf_dir):
 
 @query(
     "silver_essential",
-    "tpep_pickup_datetime:t PULocationID:i trip_distance:d",
+    "tpep_pickup_datetime:t PULocationID:i trip_distance:f",
     f"SELECT * FROM trips WHERE {ESSENTIAL}",
     "trips",
 )
@@ -291,7 +291,7 @@ def _(spark, sf_dir):
 
 @query(
     "trip_durations",
-    "tpep_pickup_datetime:t fare_amount:d whole:d exact:d",
+    "tpep_pickup_datetime:t fare_amount:f whole:d exact:d",
     """SELECT tpep_pickup_datetime, fare_amount,
      (epoch(date_trunc('second', tpep_dropoff_datetime)) - epoch(date_trunc('second', tpep_pickup_datetime))) / 60 AS whole,
      (epoch_us(tpep_dropoff_datetime) - epoch_us(tpep_pickup_datetime)) / 60000000.0 AS exact FROM trips""",
@@ -363,7 +363,7 @@ def _(spark, sf_dir):
 
 @query(
     "latest_records",
-    "tpep_pickup_datetime:s PULocationID:d passenger_count:d total_amount:d",
+    "tpep_pickup_datetime:s PULocationID:f passenger_count:f total_amount:f",
     """SELECT strftime(tpep_pickup_datetime, '%Y-%m-%d %H:%M:%S') AS tpep_pickup_datetime, "PULocationID", passenger_count, total_amount
      FROM trips ORDER BY trips.tpep_pickup_datetime DESC NULLS LAST, total_amount DESC LIMIT 8""",
     "trips",
@@ -376,7 +376,7 @@ def _(spark, sf_dir):
 
 @query(
     "feature_projection",
-    "PULocationID:d trip_distance:d surge_level:d fare_amount:d",
+    "PULocationID:f trip_distance:f surge_level:f fare_amount:f",
     """SELECT "PULocationID", trip_distance, 0 AS surge_level, fare_amount FROM trips""",
     "trips",
 )
@@ -408,7 +408,7 @@ def _(spark, sf_dir):
 
 @query(
     "scalar_ratios",
-    "l_orderkey:l l_linenumber:i l_extendedprice:d ratio:d division:d smoothed:d clipped:d half_even:d",
+    "l_orderkey:l l_linenumber:i l_extendedprice:f ratio:d division:d smoothed:d clipped:d half_even:d",
     """SELECT l_orderkey, l_linenumber, l_extendedprice, least(greatest(coalesce(CASE WHEN l_tax = 0 THEN NULL ELSE l_discount / l_tax END, 0), 0), 10) AS ratio,
      CASE WHEN abs(l_discount) > 1e-6 THEN l_tax / l_discount ELSE 0 END AS division, (l_quantity + 1) / (l_tax + 1) AS smoothed,
      least(greatest(l_quantity - 25, -10), 10) AS clipped, CAST(round_even(round(l_quantity / 4, 9), 1) AS DOUBLE) AS half_even FROM lineitem""",

@@ -11,7 +11,7 @@ from zonecast.plans.catalog.base import query, sql_table
 sql_table("sales", "", """SELECT l_orderkey * 10 + l_linenumber AS transaction_id, o_custkey AS customer_id, l_partkey AS product_id, l_extendedprice AS amount, l_quantity AS quantity,
  p_type AS category, o_orderdate AS timestamp, o_orderstatus AS status FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN part ON l_partkey = p_partkey""")
 sql_table("sales_typed", "sales", """SELECT *, amount * quantity AS total_value, CASE WHEN status = 'F' THEN 1 ELSE 0 END AS is_completed, strftime(timestamp, '%Y-%m') AS event_month FROM sales""")
-SPEC = "transaction_id:l customer_id:l product_id:l amount:d quantity:d category:s timestamp:t status:s total_value:d4 is_completed:i event_month:s"
+SPEC = "transaction_id:l customer_id:l product_id:l amount:f quantity:f category:s timestamp:t status:s total_value:f is_completed:i event_month:s"
 
 
 @query(
