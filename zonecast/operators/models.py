@@ -16,12 +16,22 @@ from zonecast import rules as fixed
 from zonecast.functions.scalar import clip, floor_zero
 from zonecast.functions.stats import exact_quantiles
 from zonecast.operators.prep import log_minmax, log_minmax_inverse, target_scaler
+from zonecast.session import scratch_path
 
 
 def _assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
 
 
+def _fit(stages: list, data: DataFrame) -> PipelineModel:
+    """Fits, saves to the shared folder and loads back: the model used for predictions carries
+    coefficients only, not the training summary with its plan, and outlives the session.
+    """
+    path = scratch_path(data.sparkSession, "model")
+    Pipeline(stages=stages).fit(data).write().overwrite().save(path)
+    return PipelineModel.load(path)
+
+
 def _linear_stages(features: Sequence[str], model) -> list:
     """Constant columns (a month in one month of data) are dropped: they make the normal equations
     of a linear model singular. Collinear ones are handled by its regularisation.
@@ -58,7 +68,7 @@ def fit_main(train: DataFrame, features: Sequence[str], weight: str | None = "we
         labelCol="label", featuresCol="features", maxIter=trees, maxDepth=depth, stepSize=0.1, subsamplingRate=0.85,
         lossType="absolute", seed=seed, **({"weightCol": weight} if weight else {}),
     )
-    return MainModel(Pipeline(stages=[_assembler(features), gbt]).fit(data), scaler)
+    return MainModel(_fit([_assembler(features), gbt], data), scaler)
 
 
 @dataclass
@@ -84,7 +94,7 @@ def fit_zero_inflated(train: DataFrame, features: Sequence[str], iterations: int
         family="poisson", link="log", labelCol="target_demand", weightCol="w_intensity", maxIter=25, regParam=0.1
     )
     return ZeroInflatedModel(
-        Pipeline(stages=_linear_stages(features, classifier)).fit(data), Pipeline(stages=_linear_stages(features, intensity)).fit(data)
+        _fit(_linear_stages(features, classifier), data), _fit(_linear_stages(features, intensity), data)
     )
 
 
@@ -94,7 +104,7 @@ def fit_tweedie(train: DataFrame, features: Sequence[str], power: float = 1.25)
     glm = GeneralizedLinearRegression(
         family="tweedie", variancePower=power, linkPower=0.0, labelCol="target_demand", weightCol="weight", maxIter=25, regParam=0.1
     )
-    return Pipeline(stages=_linear_stages(features, glm)).fit(data)
+    return _fit(_linear_stages(features, glm), data)
 
 
 def predict(model: PipelineModel, df: DataFrame, out: str) -> DataFrame:
@@ -125,7 +135,7 @@ def fit_residual(train: DataFrame, val: DataFrame, features: Sequence[str], min_
         {"label": F.col("actual") - F.col("predicted"), "weight": clip(F.col("actual") / 8.0, 0.8, 3.0)}
     )
     glm = GeneralizedLinearRegression(family="gaussian", link="identity", labelCol="label", weightCol="weight", regParam=1.0)
-    return Pipeline(stages=_linear_stages(inputs, glm)).fit(data)
+    return _fit(_linear_stages(inputs, glm), data)
 
 
 def residual_delta(model: PipelineModel, df: DataFrame, out: str = "delta") -> DataFrame:
