@@ -67,6 +67,20 @@ def test_top_zone_ties_and_active_zones(spark):
     assert [r[0] for r in dem.active_zones(g, 50.0, fallback=2).orderBy("PULocationID").collect()] == [1, 3]
 
 
+def test_range_prunes_partitions_and_columns(spark, tmp_path):
+    from zonecast.sources import sinks
+
+    counts = demand(spark, [(1, h, h % 5) for h in range(0, 24 * 70, 7)])
+    sinks.overwrite_partitions(dem.gold_features(dem.dense_grid(counts, 2)), str(tmp_path / "gold"), ["year", "month"])
+    df = dem.range_demand(spark.read.parquet(str(tmp_path / "gold")), "2024-02-03 00:00:00", "2024-02-20 23:00:00")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert "year" in filters and "month" in filters
+    assert "GreaterThanOrEqual(window_start" in plan and "lag_1h" not in plan
+    hours = {r["window_start"] for r in df.collect()}
+    assert min(hours) >= datetime(2024, 2, 3) and max(hours) < datetime(2024, 2, 21) and len(hours) > 50
+
+
 def test_weekday_conventions(spark):
     # 2024-01-06 is a Saturday, 2024-01-07 a Sunday.
     g = spark.createDataFrame([(1, datetime(2024, 1, 6)), (1, datetime(2024, 1, 7)), (1, datetime(2024, 1, 8))], "PULocationID bigint, window_start timestamp_ntz")

@@ -134,10 +134,14 @@ def hour_bucket(df: DataFrame, bucket: str) -> DataFrame:
 
 def range_demand(gold: DataFrame, start: str, end: str, column: str = "trip_count") -> DataFrame:
     """Hourly demand between two times (both included): the range and the three columns reach the
-    scan, duplicates of a key are summed.
+    scan, duplicates of a key are summed. On a table partitioned by year and month the range also
+    prunes partitions.
     """
     ts = F.col("window_start")
     lo, hi = (F.lit(t).cast("timestamp_ntz") for t in (start, end))
+    if {"year", "month"} <= set(gold.columns):
+        months = [int(t[:4]) * 100 + int(t[5:7]) for t in (start, end)]
+        gold = gold.filter((F.col("year") * 100 + F.col("month")).between(*months))
     return (
         gold.select(ZONE_KEY, "window_start", F.col(column).alias("trip_count"))
         .filter((ts >= lo) & (ts <= hi))
