@@ -133,9 +133,11 @@ def test_sequences_need_unbroken_history(spark):
 
 def test_features_share_one_shuffle_by_zone(spark, tmp_path):
     gold(spark, list(range(30))).write.parquet(str(tmp_path / "g"))
-    df = feat.main_features(spark.read.parquet(str(tmp_path / "g")), holidays(spark))
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning(PULocationID") == 1
+    stored = spark.read.parquet(str(tmp_path / "g"))
+    tables = [feat.main_features(stored, holidays(spark)), feat.specialist_features(stored, holidays(spark), "evening")]
+    for df in tables:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(PULocationID") == 1
 
 
 def test_split_covers_the_time_range(spark):

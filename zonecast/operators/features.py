@@ -115,6 +115,13 @@ def hour_means_before(df: DataFrame, value: str = "target_demand") -> DataFrame:
     return slots.select(TIME, F.try_divide(F.sum("s").over(order).cast("double"), F.sum("n").over(order)).alias("_hour_mean"))
 
 
+def with_hour_means(df: DataFrame, source: DataFrame, value: str = "target_demand") -> DataFrame:
+    """Adds ``_hour_mean``. To be joined before the zone windows, so that a shuffle for the join
+    does not undo the partitioning by zone.
+    """
+    return df.join(hour_means_before(source, value), on=TIME, how="left")
+
+
 def train_mean(df: DataFrame, value: str = "target_demand", ratio: float = fixed.TRAIN_RATIO) -> DataFrame:
     """One row: the mean over the training part of the time range."""
     return df.withColumn("_split", split_column(df, ratio)).filter(F.col("_split") == "train").agg(F.avg(value).alias("m"))
@@ -128,10 +135,11 @@ def add_specialist_baselines(df: DataFrame, value: str = "target_demand", source
     """
     source = df if source is None else source
     overall = F.coalesce(train_mean(source, value).scalar(), F.lit(0.0))
+    if "_hour_mean" not in df.columns:
+        df = with_hour_means(df, source, value)
     out = df.withColumn("_overall", overall)
     out = out.withColumn("zone_mean", F.coalesce(_earlier_mean(value, 1), F.col("_overall")))
     out = out.withColumn("zone_hour_mean", F.coalesce(_earlier_mean(value, 1, "hour"), F.col("zone_mean")))
-    out = out.join(hour_means_before(source, value), on=TIME, how="left")
     out = out.withColumn("hour_mean", F.coalesce("_hour_mean", F.col("_overall"))).drop("_hour_mean", "_overall")
     return out.withColumn("baseline_blend", F.lit(0.70) * F.col("zone_hour_mean") + F.lit(0.30) * F.col("hour_mean"))
 
@@ -277,14 +285,16 @@ def project(df: DataFrame, features: Sequence[str], missing: str = "zero", keep:
     return df.select(columns)
 
 
-def base_features(gold: DataFrame, calendar: DataFrame, basis: str = "trip_count") -> DataFrame:
+def base_features(gold: DataFrame, calendar: DataFrame, basis: str = "trip_count", hour_means: bool = False) -> DataFrame:
     """Calendar, holiday, lags and rolling means on the Gold table.
 
-    The holiday join comes before the windows: if the planner has to shuffle for it, the rows are
-    still partitioned by zone only once.
+    Joins come before the windows: if the planner has to shuffle for one, the rows are still
+    partitioned by zone only once.
     """
-    keys = gold.select(ZONE_KEY, TIME, "trip_count", "target_demand")
-    return add_lags(add_holiday(add_calendar(keys), calendar), basis)
+    rows = add_calendar(gold.select(ZONE_KEY, TIME, "trip_count", "target_demand"))
+    if hour_means:
+        rows = with_hour_means(rows, gold)
+    return add_lags(add_holiday(rows, calendar), basis)
 
 
 def main_features(gold: DataFrame, calendar: DataFrame, basis: str = "trip_count") -> DataFrame:
@@ -296,7 +306,7 @@ def specialist_features(gold: DataFrame, calendar: DataFrame, kind: str, basis:
 
     ``gold`` feeds several branches (means by slot, the training mean): pass a written table.
     """
-    base = add_specialist_baselines(base_features(gold, calendar, basis), source=gold)
+    base = add_specialist_baselines(base_features(gold, calendar, basis, hour_means=True), source=gold)
     if kind == "low_hour":
         return add_low_hour(base).filter(F.col("hour") <= 9)
     if kind == "evening":

@@ -50,8 +50,7 @@ def forecast_table(gold_df: DataFrame, holidays: DataFrame) -> DataFrame:
     zone_dow_hour_mean, hour_mean, baseline_blend, naive_day, naive_week, predicted. ``predicted``
     is the blended baseline; rows without a value a week earlier are left out.
     """
-    base = feat.add_calendar(gold_df.select(ZONE_KEY, "window_start", "trip_count", "target_demand"))
-    base = feat.add_specialist_baselines(feat.add_lags(feat.add_holiday(base, holidays)), source=gold_df)
+    base = feat.add_specialist_baselines(feat.base_features(gold_df, holidays, hour_means=True), source=gold_df)
     order = Window.partitionBy(ZONE_KEY, "day_of_week", "hour").orderBy("window_start").rowsBetween(Window.unboundedPreceding, -1)
     base = base.withColumn(
         "zone_dow_hour_mean",
