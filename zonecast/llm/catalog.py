@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zonecast.llm import exact_dedup
+from zonecast.llm import exact_dedup, mixing, quality_rules
 from zonecast.llm.tables import ROW, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,16 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents")).drop(ROW)
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_rules.judge(docs, quality_rules.fit_rules(docs, table(spark, sf_dir, "labels")))
+
+
 OP4 = r"""
 WITH t AS (
   SELECT doc_id, length(coalesce(text, '')) AS points, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS bare
@@ -34,6 +44,8 @@ FROM t JOIN g ON t.bare = g.bare JOIN k ON t.bare = k.bare
 def queries() -> dict[str, Query]:
     return {
         "op4_exact_dedup": op4_exact_dedup,
+        "op5_mixing": op5_mixing,
+        "op9_quality_rules": op9_quality_rules,
     }
 
 
