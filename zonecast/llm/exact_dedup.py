@@ -200,9 +200,10 @@ def exact_duplicates(docs: DataFrame, row: str | None = None, filter_bits: int =
         .select("fp", F.sha2("bare", 256).alias("text_sha256"))
     )
     first = F.min(F.struct((-F.col("points")).alias("points"), F.col("doc_id").isNull().alias("last"), "doc_id", F.col(row).alias("row")))
+    # Copies meet as one row per task before they are sent.
     groups = (
-        digests.join(materialize(verified, "verified"), ["fp", "text_sha256"], "left_semi")
-        .groupBy("fp", "text_sha256").agg(F.count(F.lit(1)).alias("n"), first.alias("first"))
+        digests.groupBy("fp", "text_sha256").agg(F.count(F.lit(1)).alias("n"), first.alias("first"))
+        .join(materialize(verified, "verified"), ["fp", "text_sha256"], "left_semi")
     )
     alone = F.col("n").isNull()
     return digests.join(groups, ["fp", "text_sha256"], "left").select(
