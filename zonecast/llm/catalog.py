@@ -5,13 +5,25 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from zonecast.llm import exact_dedup, mixing, quality_rules
+from zonecast.llm import exact_dedup, mixing, quality_rules, sharding
 from zonecast.llm.tables import ROW, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sharded = sharding.shard(table(spark, sf_dir, "documents"), shards=24)
+    return sharded.select(
+        "doc_id",
+        sharding.record_size().alias("size"),
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("key").alias("law"),
+        "shard", "slot", "grown_shard",
+    )
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents")).drop(ROW)
 
@@ -43,6 +55,7 @@ FROM t JOIN g ON t.bare = g.bare JOIN k ON t.bare = k.bare
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_sharding": op1_sharding,
         "op4_exact_dedup": op4_exact_dedup,
         "op5_mixing": op5_mixing,
         "op9_quality_rules": op9_quality_rules,

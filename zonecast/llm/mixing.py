@@ -96,8 +96,9 @@ def entropy_tilts(cells: DataFrame, goals: DataFrame, limit: float = LIMIT, tole
             )
         )
         step = materialize(state.join(sums, state["source"].eqNullSafe(sums["of"])).withColumn("gap", F.col("taken") - F.col("target")), "step")
-        worst = step.agg(F.max(F.when((F.col("high") - F.col("low")) > 1e-9 * F.abs("high"), F.abs(F.col("gap")) / F.col("target")))).first()[0]
-        if worst is None or worst <= tolerance:
+        off = F.abs(F.col("gap")) / F.col("target")
+        open_ = (off > tolerance) & (F.col("high") - F.col("low") > 1e-9 * F.abs("high"))
+        if step.agg(F.max(F.when(open_, off))).first()[0] is None:
             break
         low = F.when(F.col("gap") < 0, F.col("tilt")).otherwise(F.col("low"))
         high = F.when(F.col("gap") >= 0, F.col("tilt")).otherwise(F.col("high"))
@@ -105,7 +106,7 @@ def entropy_tilts(cells: DataFrame, goals: DataFrame, limit: float = LIMIT, tole
         inside = newton.isNotNull() & (newton > low) & (newton < high)
         state = step.select(
             "source", "source_size", "target", "scale", low.alias("low"), high.alias("high"),
-            F.when(inside, newton).otherwise((low + high) / 2).alias("tilt"),
+            F.when(~open_, F.col("tilt")).when(inside, newton).otherwise((low + high) / 2).alias("tilt"),
         )
     return materialize(state, "tilts")
 
