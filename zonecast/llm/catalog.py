@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecast.llm import exact_dedup, mixing, quality_rules, sharding
+from zonecast.llm import exact_dedup, mixing, quality_rules, sharding, simhash
 from zonecast.llm.tables import ROW, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,11 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hexadecimal().alias("fingerprint"), "component_id")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_rules.judge(docs, quality_rules.fit_rules(docs, table(spark, sf_dir, "labels")))
@@ -58,6 +63,7 @@ def queries() -> dict[str, Query]:
         "op1_sharding": op1_sharding,
         "op4_exact_dedup": op4_exact_dedup,
         "op5_mixing": op5_mixing,
+        "op6_simhash": op6_simhash,
         "op9_quality_rules": op9_quality_rules,
     }
 
