@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecast.llm import exact_dedup, mixing, quality_rules, sharding, simhash
+from zonecast.llm import bpe, exact_dedup, mixing, quality_rules, sharding, simhash
 from zonecast.llm.tables import ROW, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hexadecimal().alias("fingerprint"), "component_id")
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return bpe.Codec(docs).round_trip(docs)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_rules.judge(docs, quality_rules.fit_rules(docs, table(spark, sf_dir, "labels")))
@@ -64,6 +69,7 @@ def queries() -> dict[str, Query]:
         "op4_exact_dedup": op4_exact_dedup,
         "op5_mixing": op5_mixing,
         "op6_simhash": op6_simhash,
+        "op7_bpe": op7_bpe,
         "op9_quality_rules": op9_quality_rules,
     }
 
