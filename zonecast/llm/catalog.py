@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecast.llm import bpe, exact_dedup, mixing, quality_rules, sharding, simhash
+from zonecast.llm import bpe, exact_dedup, mixing, quality_rules, sharding, simhash, substring_dedup
 from zonecast.llm.tables import ROW, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.Codec(docs).round_trip(docs)
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_rules.judge(docs, quality_rules.fit_rules(docs, table(spark, sf_dir, "labels")))
@@ -70,6 +74,7 @@ def queries() -> dict[str, Query]:
         "op5_mixing": op5_mixing,
         "op6_simhash": op6_simhash,
         "op7_bpe": op7_bpe,
+        "op8_substring_dedup": op8_substring_dedup,
         "op9_quality_rules": op9_quality_rules,
     }
 
