@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecast.llm import bpe, exact_dedup, mixing, quality_rules, sharding, simhash, substring_dedup
+from zonecast.llm import bpe, exact_dedup, mixing, quality_crf, quality_rules, sharding, simhash, substring_dedup
 from zonecast.llm.tables import ROW, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,13 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality_crf.score(docs, quality_crf.fit_quality(docs, table(spark, sf_dir, "labels")))
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % quality_crf.FOLDS == 0
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents")).drop(ROW)
 
@@ -70,6 +77,7 @@ FROM t JOIN g ON t.bare = g.bare JOIN k ON t.bare = k.bare
 def queries() -> dict[str, Query]:
     return {
         "op1_sharding": op1_sharding,
+        "op2_quality_crf": op2_quality_crf,
         "op4_exact_dedup": op4_exact_dedup,
         "op5_mixing": op5_mixing,
         "op6_simhash": op6_simhash,

@@ -55,22 +55,27 @@ def _lines(text: bytes) -> tuple[int, int]:
     return len(full), len(full) - len(set(full))
 
 
-def repeated_words(w: Words) -> np.ndarray:
-    """Per text, the words inside three-word windows that the text has twice or more."""
-    h = word_hashes(w)
-    n, texts = len(h), len(w.first) - 1
+def in_repeated_window(w: Words, h: np.ndarray) -> np.ndarray:
+    """Per word, whether it lies in a three-word window that its text has twice or more."""
+    n = len(h)
     covered = np.zeros(n + 2, bool)
     if n > 2:
         owner = w.owner()
         at = np.flatnonzero(owner[:-2] == owner[2:])
-        key = mix(mix(mix(h[at] + owner[at].astype(U)) + h[at + 1]) + h[at + 2])
-        order = np.argsort(key)
-        same = key[order][1:] == key[order][:-1]
-        twice = at[order[np.concatenate([same, [False]]) | np.concatenate([[False], same])]] if len(at) else at
-        for k in range(3):
-            covered[twice + k] = True
-    total = np.concatenate([[0], np.cumsum(covered[:n])])
-    return total[w.first[1:]] - total[w.first[:-1]] if texts else np.zeros(0, np.int64)
+        if len(at):
+            key = mix(mix(mix(h[at] + owner[at].astype(U)) + h[at + 1]) + h[at + 2])
+            order = np.argsort(key)
+            same = key[order][1:] == key[order][:-1]
+            twice = at[order[np.concatenate([same, [False]]) | np.concatenate([[False], same])]]
+            for k in range(3):
+                covered[twice + k] = True
+    return covered[:n]
+
+
+def repeated_words(w: Words) -> np.ndarray:
+    """Per text, the words inside three-word windows that the text has twice or more."""
+    total = np.concatenate([[0], np.cumsum(in_repeated_window(w, word_hashes(w)))])
+    return total[w.first[1:]] - total[w.first[:-1]]
 
 
 def statistics(texts: list[bytes]) -> dict[str, np.ndarray]:
