@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecast.llm import bpe, exact_dedup, mixing, quality_crf, quality_rules, sharding, simhash, substring_dedup
+from zonecast.llm import bpe, exact_dedup, language, mixing, quality_crf, quality_rules, sharding, simhash, substring_dedup, surrogates
 from zonecast.llm.tables import ROW, table
 
+#: The registered query's key; a real one comes from the caller.
+SURROGATE_KEY = b"registered query"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -31,6 +33,10 @@ def op2_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents")).drop(ROW)
 
@@ -59,6 +65,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, quality_rules.fit_rules(docs, table(spark, sf_dir, "labels")))
 
 
+def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.replace_personal_data(table(spark, sf_dir, "documents"), SURROGATE_KEY)
+
+
 OP4 = r"""
 WITH t AS (
   SELECT doc_id, length(coalesce(text, '')) AS points, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS bare
@@ -78,12 +88,14 @@ def queries() -> dict[str, Query]:
     return {
         "op1_sharding": op1_sharding,
         "op2_quality_crf": op2_quality_crf,
+        "op3_language": op3_language,
         "op4_exact_dedup": op4_exact_dedup,
         "op5_mixing": op5_mixing,
         "op6_simhash": op6_simhash,
         "op7_bpe": op7_bpe,
         "op8_substring_dedup": op8_substring_dedup,
         "op9_quality_rules": op9_quality_rules,
+        "op10_surrogates": op10_surrogates,
     }
 
 
