@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,8 +97,12 @@ def queries() -> dict[str, Query]:
         "op8_substring_dedup": op8_substring_dedup,
         "op9_quality_rules": op9_quality_rules,
         "op10_surrogates": op10_surrogates,
+        "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": OP4}
+    stated = {"op4_exact_dedup": OP4}
+    if corpus_pipeline.ORACLE_SQL:
+        stated["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return stated

@@ -257,7 +257,7 @@ def links(nodes: DataFrame, distance: int = 2, hot: int = 2048) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, carried: tuple[str, ...] = (), shingle: int = 3, distance: int = 2) -> DataFrame:
-    """doc_id, fp (the fingerprint as a signed integer), component_id and ``carried`` of each document."""
+    """doc_id, fp (the fingerprint as a signed integer), root (a number of the component), component_id and ``carried`` of each document."""
     keep = ["doc_id", "text", *carried]
     ids = ", ".join(f"`{c}` {kind(docs, c)}" for c in keep if c != "text")
     rows = materialize(docs.select(*keep).mapInArrow(_fingerprinted(shingle), f"{ids}, fp long"), "fingerprints")
@@ -266,8 +266,8 @@ def near_duplicates(docs: DataFrame, carried: tuple[str, ...] = (), shingle: int
     placed = nodes.join(found, nodes["fp"] == found["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     placed = materialize(placed, "placed")
     names = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = placed.join(names, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id", *carried)
+    named = placed.join(names, "root").select("fp", "root", "component_id")
+    return rows.join(named, "fp").select("doc_id", "fp", "root", "component_id", *carried)
 
 
 def hexadecimal(fp: str = "fp"):
