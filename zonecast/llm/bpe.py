@@ -20,6 +20,7 @@ import hashlib
 import heapq
 import json
 import mmap
+import re
 import tempfile
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -33,11 +34,23 @@ from pyspark.sql import functions as F
 
 from zonecast.llm.tables import kind
 from zonecast.llm.text import slices
+from zonecast.session import materialize
 
 #: Fixed value: how byte-level BPE splits a text into pieces.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Letters of a plain text, and what a plain text does not hold; in it the same rule needs no tables of Unicode.
+_LATIN = r"A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f"
+_NOT_PLAIN = re.compile(rf"[^\t-\r -~{_LATIN}]")
+_PLAIN = re.compile(
+    rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LATIN}]+| ?[0-9]+| ?[^\t-\r 0-9{_LATIN}]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
+)
+_ANY = regex.compile(PIECES)
 ENTRIES = 1 << 15
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 17
+#: Longest piece that is remembered and merged with others, in bytes.
+SHORT = 48
+#: Text that is cut into pieces at once.
+ENCODED_BYTES = 2 << 20
 #: Pieces a task counts before it sends the counts on.
 COUNTED = 1 << 18
 
@@ -48,6 +61,11 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def cut(text: str) -> list[str]:
+    """The pieces of a text without special tokens."""
+    return (_ANY if _NOT_PLAIN.search(text) else _PLAIN).findall(text)
+
+
 def _alphabet() -> dict[str, int]:
     """The byte behind each letter of a byte-level vocabulary: printable bytes stand for themselves, the rest follow from 256 on."""
     shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
@@ -72,16 +90,21 @@ class Vocabulary:
             self.bytes[i] = token.encode()
         self.letter = [self.ids[bytes([b])] for b in range(256)]
         self.ranks: dict[int, int] = {}
-        self.merged: list[int] = []
+        self.merged: list[int] = []  # by rank
         for rank, pair in enumerate(model["merges"]):
             a, b = (bytes(byte[c] for c in x) for x in (pair.split(" ") if isinstance(pair, str) else pair))
             self.ranks[self.ids[a] << 32 | self.ids[b]] = rank
             self.merged.append(self.ids[a + b])
+        self.letters, self.merged_ids = np.array(self.letter, np.int32), np.array(self.merged, np.int32)
+        pairs = np.fromiter(self.ranks, np.int64, len(self.ranks))
+        order = np.argsort(pairs)
+        self.pair_keys, self.pair_ranks = pairs[order], np.fromiter(self.ranks.values(), np.int32, len(pairs))[order]
+        self.letter_ranks = self._ranks_of(self.letters[:, None], self.letters[None, :])
 
     def merge(self, piece: bytes) -> list[int]:
         """The ids of one piece: always the pair of the lowest rank, from the left."""
         parts = [self.letter[b] for b in piece]
-        if len(parts) > 48:
+        if len(parts) > SHORT:
             return self._merge_long(parts)
         rank, none = self.ranks.get, len(self.merged)
         found = [rank(a << 32 | b, none) for a, b in zip(parts, parts[1:])]
@@ -98,6 +121,56 @@ class Vocabulary:
                 found[i] = rank(parts[i] << 32 | parts[i + 1], none)
         return parts
 
+    def merge_all(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of many short pieces as little-endian 32-bit integers; a step merges one pair of each piece."""
+        if not pieces:
+            return []
+        none = len(self.merged)
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        out: list[bytes] = [b""] * len(pieces)
+        order = np.argsort(sizes, kind="stable")
+        for part in np.array_split(order, max(1, -(-len(order) // 2048))):
+            width = int(sizes[part].max())
+            held = np.zeros((len(part), width), np.uint8)
+            inside = np.arange(width) < sizes[part][:, None]
+            held[inside] = np.frombuffer(b"".join([pieces[i] for i in part.tolist()]), np.uint8)
+            ids = np.where(inside, self.letters[held], -1)
+            ranks = np.where(inside[:, 1:], self.letter_ranks[held[:, :-1], held[:, 1:]], none)
+            rows = part
+            while width > 1:
+                at = ranks.argmin(axis=1)
+                best = ranks[np.arange(len(rows)), at]
+                done = best == none
+                if done.any():
+                    self._put(out, rows[done], ids[done])
+                    rows, ids, ranks, at, best = rows[~done], ids[~done], ranks[~done], at[~done], best[~done]
+                n = len(rows)
+                if not n:
+                    break
+                ids[np.arange(n), at] = self.merged_ids[best]
+                columns = np.arange(width)
+                width -= 1
+                ids = ids[columns != at[:, None] + 1].reshape(n, width)
+                ranks = ranks[columns[:width] != at[:, None]].reshape(n, width - 1)
+                for row, first in ((np.flatnonzero(at < width - 1), 0), (np.flatnonzero(at > 0), -1)):
+                    i = at[row] + first
+                    ranks[row, i] = self._ranks_of(ids[row, i], ids[row, i + 1])
+            self._put(out, rows, ids)
+        return out
+
+    @staticmethod
+    def _put(out: list[bytes], rows: np.ndarray, ids: np.ndarray) -> None:
+        held = ids.astype("<u4").tobytes()
+        step = 4 * ids.shape[1]
+        for i, (row, n) in enumerate(zip(rows.tolist(), (ids >= 0).sum(axis=1).tolist())):
+            out[row] = held[i * step : i * step + 4 * n]
+
+    def _ranks_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Rank of each pair; as many as there are merges if it has none."""
+        key = np.where(b >= 0, a.astype(np.int64) << 32 | b, -1)
+        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == key, self.pair_ranks[at], np.int32(len(self.merged)))
+
     def _merge_long(self, parts: list[int]) -> list[int]:
         """The same with a queue: n log n for a piece of n bytes."""
         n = len(parts)
@@ -158,49 +231,63 @@ def compile_lexicon(entries: dict[bytes, list[int]]) -> bytes:
     close(0)
     states.append((path[0][0], tuple(path[0][1])))
     below: list[int] = []  # words that end at or below each state
-    first, label, target, output = [0], [], [], []
-    for final, edges in states:
+    key, target, output = [], [], []
+    for state, (final, edges) in enumerate(states):
         held = int(final)
         for byte, to in edges:
-            label.append(byte), target.append(to), output.append(held)
+            key.append(state << 8 | byte), target.append(to), output.append(held)
             held += below[to]
         below.append(held)
-        first.append(len(label))
     ends = np.cumsum([0] + [len(entries[w]) for w in ordered])
     ids = [i for w in ordered for i in entries[w]]
-    arrays = [np.array(x, "<u4") for x in ([f for f, _ in states], first, target, output, ends, ids)]
-    head = np.array([len(x) for x in arrays] + [len(label)], "<u4")
-    return head.tobytes() + b"".join(x.tobytes() for x in arrays) + bytes(label)
+    arrays = [np.array(x, "<u4") for x in ([f for f, _ in states], key, target, output, ends, ids)]
+    return np.array([len(x) for x in arrays], "<u4").tobytes() + b"".join(x.tobytes() for x in arrays)
 
 
 class Lexicon:
-    """A compiled lexicon, memory-mapped from an unnamed file of this worker."""
+    """A compiled lexicon, memory-mapped from an unnamed file of this worker.
+
+    A transition is found by its key, state and byte, in the sorted keys of all transitions; many words walk side by side.
+    """
 
     def __init__(self, compiled: bytes):
         with tempfile.TemporaryFile() as file:
             file.write(compiled)
             file.flush()
             mapped = mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)
-        at, out = 28, []
-        for n in np.frombuffer(mapped, "<u4", 6):
-            out.append(memoryview(mapped)[at : at + 4 * int(n)].cast("I"))
-            at += 4 * int(n)
-        self.final, self.first, self.target, self.output, self.ends, self.ids = out
-        self.mapped, self.labels, self.root = mapped, at, len(self.final) - 1
+        at, out = 24, []
+        for n in np.frombuffer(mapped, "<u4", 6).tolist():
+            out.append(np.frombuffer(mapped, "<u4", n, at))
+            at += 4 * n
+        self.final, self.key, self.target, self.output, self.ends, self.ids = out
+
+    def find_all(self, found: list[bytes]) -> list[bytes | None]:
+        """The ids of each known word as little-endian 32-bit integers; of others None."""
+        out: list[bytes | None] = [None] * len(found)
+        if not found or not len(self.key):
+            return out
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        begin = np.cumsum(sizes) - sizes
+        data = np.frombuffer(b"".join(found) + b"\0", np.uint8)
+        live = np.arange(len(found))
+        state = np.full(len(found), len(self.final) - 1, np.int64)
+        rank = np.zeros(len(found), np.int64)
+        depth = 0
+        while len(live):
+            ended = sizes[live] == depth
+            known = ended & (self.final[state] > 0)
+            for i, r in zip(live[known].tolist(), rank[known].tolist()):
+                out[i] = self.ids[self.ends[r] : self.ends[r + 1]].tobytes()
+            live, state, rank = live[~ended], state[~ended], rank[~ended]
+            key = (state << 8 | data[begin[live] + depth]).astype("<u4")
+            at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+            there = self.key[at] == key
+            live, state, rank = live[there], self.target[at[there]].astype(np.int64), rank[there] + self.output[at[there]]
+            depth += 1
+        return out
 
     def find(self, word: bytes) -> bytes | None:
-        """The ids of a known word as little-endian 32-bit integers."""
-        state, rank, at = self.root, 0, self.labels
-        first, seek = self.first, self.mapped.find
-        for i in range(len(word)):
-            edge = seek(word[i : i + 1], at + first[state], at + first[state + 1]) - at
-            if edge < 0:
-                return None
-            rank += self.output[edge]
-            state = self.target[edge]
-        if not self.final[state]:
-            return None
-        return self.ids[self.ends[rank] : self.ends[rank + 1]].tobytes()
+        return self.find_all([word])[0]
 
 
 class Encoder(dict):
@@ -208,31 +295,40 @@ class Encoder(dict):
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon | None):
         self.vocabulary, self.lexicon = vocabulary, lexicon
-        self.pieces = regex.compile(PIECES)
         specials = sorted(vocabulary.special, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, specials)) + ")") if specials else None
 
     def __missing__(self, piece: str) -> bytes:
-        word = piece.encode()
-        found = self.lexicon.find(word) if self.lexicon else None
-        if found is None:
-            found = np.array(self.vocabulary.merge(word), "<u4").tobytes()
+        """A piece that is not remembered, by itself; too long ones are never remembered."""
+        return np.array(self.vocabulary.merge(piece.encode()), "<u4").tobytes()
+
+    def learn(self, pieces: set[str]) -> None:
+        """Ids of all new pieces: from the lexicon where it has them, merged together where not."""
         if len(self) >= REMEMBERED:
             self.clear()
-        if len(piece) <= 64:
-            self[piece] = found
-        return found
-
-    def encode(self, text: str) -> bytes:
-        """All ids of a text as little-endian 32-bit integers."""
-        parts = self.special.split(text) if self.special else [text]
+        fresh = [p for p in pieces - self.keys() if len(p) <= SHORT]
+        words = [p.encode() for p in fresh]
+        found = self.lexicon.find_all(words) if self.lexicon else [None] * len(words)
+        open_ = [i for i, ids in enumerate(found) if ids is None and len(words[i]) <= SHORT]
+        for i, ids in zip(open_, self.vocabulary.merge_all([words[i] for i in open_])):
+            found[i] = ids
+        self.update((p, ids) for p, ids in zip(fresh, found) if ids is not None)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """All ids of each text as little-endian 32-bit integers."""
+        held, seen = [], set()
+        for text in texts:
+            parts = self.special.split(text) if self.special else [text]
+            pieces = [part if i % 2 else cut(part) for i, part in enumerate(parts)]
+            for part in pieces[::2]:
+                seen.update(part)
+            held.append(pieces)
+        self.learn(seen)
         out = []
-        for i, part in enumerate(parts):
-            if i % 2:
-                out.append(np.array([self.vocabulary.special[part]], "<u4").tobytes())
-            else:
-                out.extend(map(self.__getitem__, self.pieces.findall(part)))
-        return b"".join(out)
+        for pieces in held:
+            ids = [np.array([self.vocabulary.special[x]], "<u4").tobytes() if i % 2 else b"".join(map(self.__getitem__, x)) for i, x in enumerate(pieces)]
+            out.append(b"".join(ids))
+        return out
 
     def decode(self, ids: np.ndarray) -> str:
         return b"".join(map(self.vocabulary.bytes.__getitem__, ids.tolist())).decode("utf-8", "replace")
@@ -240,8 +336,7 @@ class Encoder(dict):
 
 def _count(special: list[str]):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = regex.compile(PIECES)
-        cut = regex.compile("|".join(map(regex.escape, special))) if special else None
+        apart = regex.compile("|".join(map(regex.escape, special))) if special else None
         seen: Counter = Counter()
 
         def emit():
@@ -249,8 +344,8 @@ def _count(special: list[str]):
 
         for _, texts in slices(batches):
             for text in texts:
-                for part in cut.split(text.decode()) if cut else [text.decode()]:
-                    seen.update(pieces.findall(part))
+                for part in apart.split(text.decode()) if apart else [text.decode()]:
+                    seen.update(cut(part))
                 if len(seen) >= COUNTED:
                     yield emit()
                     seen.clear()
@@ -261,16 +356,29 @@ def _count(special: list[str]):
 
 
 def frequent_pieces(docs: DataFrame, special: list[str], entries: int = ENTRIES) -> list[str]:
-    """The most frequent pieces of all texts, at most ``entries``; ties by the piece itself."""
+    """The most frequent pieces of all texts, at most ``entries``; of those with the count at the border none is taken.
+
+    The border comes from the number of pieces per count, a table with few rows; only the pieces above it come to the driver.
+    """
     counts = docs.select("text").mapInArrow(_count(special), "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
-    return [r["piece"] for r in counts.orderBy(F.desc("n"), "piece").limit(entries).collect()]
+    counts = materialize(counts, "pieces")
+    spread = counts.groupBy("n").agg(F.count(F.lit(1)).alias("pieces"))
+    held, border = 0, None
+    for r in spread.orderBy(F.desc("n")).limit(entries).collect():
+        held += r["pieces"]
+        if held > entries:
+            break
+        border = r["n"]
+    if border is None:
+        return []
+    return [r["piece"] for r in counts.where(F.col("n") >= border).select("piece").collect()]
 
 
 def _encoded(content, lexicon, carried: list[str], ids: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(_vocabulary(content.value), Lexicon(lexicon.value) if lexicon.value else None)
-        for batch, texts in slices(batches):
-            made = [encoder.encode(t.decode()) for t in texts]
+        for batch, texts in slices(batches, limit=ENCODED_BYTES):
+            made = encoder.encode([t.decode() for t in texts])
             out = {c: batch.column(batch.schema.get_field_index(c)) for c in carried}
             out["n_tokens"] = pa.array([len(m) // 4 for m in made], pa.int64())
             out["ids_sha256"] = pa.array([hashlib.sha256(m).hexdigest() for m in made])

@@ -54,7 +54,7 @@ def pack(fingerprints: np.ndarray, counts: np.ndarray, block_bits: int) -> Itera
     low = 64 - block_bits - QUOTIENT_BITS
     width = -(-low // 8)
     block = (fingerprints >> U(64 - block_bits)) if block_bits else np.zeros(len(fingerprints), U)
-    edges = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1], [True]]))
+    edges = np.concatenate([[0], np.flatnonzero(block[1:] != block[:-1]) + 1, [len(block)]]) if len(block) else np.zeros(1, int)
     for a, b in zip(edges[:-1], edges[1:]):
         part = fingerprints[a:b]
         quotient = ((part >> U(low)) & U((1 << QUOTIENT_BITS) - 1)).astype(np.int64)

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 SLICE_BYTES = 8 << 20
@@ -28,18 +29,19 @@ def encoded(column: pa.Array) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+def slices(batches: Iterable[pa.RecordBatch], column_name: str = "text", limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Runs of rows with at most ``limit`` bytes of text (one row at least), and their texts."""
     for batch in batches:
-        texts = encoded(batch.column(batch.schema.get_field_index(column)))
-        first, held = 0, 0
-        for i, text in enumerate(texts):
-            if i > first and held + len(text) > limit:
-                yield batch.slice(first, i - first), texts[first:i]
-                first, held = i, 0
-            held += len(text)
-        if texts:
-            yield batch.slice(first), texts[first:]
+        column = batch.column(batch.schema.get_field_index(column_name))
+        sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+        total = np.cumsum(sizes)
+        first = 0
+        while first < len(sizes):
+            before = int(total[first - 1]) if first else 0
+            last = max(int(np.searchsorted(total, before + limit, "right")), first + 1)
+            part = batch.slice(first, last - first)
+            yield part, encoded(part.column(part.schema.get_field_index(column_name)))
+            first = last
 
 
 @dataclass
