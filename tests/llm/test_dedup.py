@@ -55,14 +55,9 @@ def test_filters_merge_losslessly(values, block_bits, parts):
     assert merged == {v: values.count(v) for v in set(values)}
 
 
-def test_texts_with_one_fingerprint_part_in_verification(spark, monkeypatch):
-    monkeypatch.setattr(exact_dedup.xxhash, "xxh64_intdigest", lambda b: 5)
-    # Workers are forked before; the digest runs here, on one batch.
-    import pyarrow as pa
-
-    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["a", "b"]})
-    out = next(exact_dedup._digest([batch]))
-    assert out.column("fp").to_pylist() == [5, 5] and len(set(out.column("text_sha256").to_pylist())) == 2
+def test_texts_with_one_fingerprint_part_in_verification(odd, docs, texts):
+    check_duplicates(list(texts.items()), exact_dedup.exact_duplicates(docs, bits=3, filter_bits=10, block_rows=16).collect())
+    check_duplicates([r[:2] for r in ODD_ROWS], exact_dedup.exact_duplicates(odd, bits=1).collect())
 
 
 def plain_fingerprint(text):
@@ -154,12 +149,8 @@ def plain_passages(rows, window=20):
 
 
 @pytest.mark.parametrize("chunk", [4 << 20, 20000])
-def test_passages_of_documents(docs, texts, monkeypatch, chunk):
-    # The size of a chunk is bound when the tasks are built in this process.
-    original = substring_dedup.slices
-    monkeypatch.setattr(substring_dedup, "CHUNK_BYTES", chunk)
-    assert substring_dedup.slices is original
-    rows = substring_dedup.repeated_passages(docs, texts=True).collect()
+def test_passages_of_documents(docs, texts, chunk):
+    rows = substring_dedup.repeated_passages(docs, texts=True, chunk_bytes=chunk).collect()
     expected = plain_passages(sorted(texts.items()))
     assert {r["doc_id"]: [(r["n_words"], r["n_removed"], r["kept_sha256"], r["text"])] for r in rows} == expected
     assert sum(r["n_removed"] for r in rows) > 0
@@ -169,7 +160,7 @@ def test_passages_of_documents(docs, texts, monkeypatch, chunk):
 def test_passages_of_short_texts(spark, window):
     rng = np.random.default_rng(window)
     rows = [(i, " ".join(rng.choice(list("abc"), rng.integers(0, 60)))) for i in range(60)]
-    found = substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), window=window).collect()
+    found = substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), window=window, chunk_bytes=300).collect()
     assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in found} == {d: v[0][:3] for d, v in plain_passages(rows, window).items()}
 
 

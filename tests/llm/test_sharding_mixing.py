@@ -20,7 +20,7 @@ def check_shards(rows, shards):
 
 def test_shards_of_documents(spark, sf_dir, texts):
     rows = catalog.op1_sharding(spark, sf_dir).collect()
-    assert Counter(r["doc_id"] for r in rows) == Counter(texts)
+    assert Counter(r["doc_id"] for r in rows) == Counter(list(texts))
     check_shards(rows, 24)
     assert all(r["size"] == len(texts[r["doc_id"]].encode()) + 8 for r in rows)
 

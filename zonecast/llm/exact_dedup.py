@@ -45,6 +45,11 @@ def normalised(text: bytes) -> bytes:
     return text.translate(None, SPACES)
 
 
+def fingerprint(bare: bytes, bits: int) -> int:
+    """The top ``bits`` of a 64-bit hash; fewer bits only send more texts to verification."""
+    return xxhash.xxh64_intdigest(bare) >> (64 - bits) << (64 - bits)
+
+
 def pack(fingerprints: np.ndarray, counts: np.ndarray, block_bits: int) -> Iterator[dict]:
     """The filter of sorted distinct fingerprints, a record per block.
 
@@ -135,23 +140,30 @@ def repeated_fingerprints(fingerprints: DataFrame, rows: int, block_rows: int =
     return filters.groupBy("block").applyInArrow(_repeated(block_bits), "fp long, seen long")
 
 
-def _digest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch, texts in slices(batches):
-        bare = [normalised(t) for t in texts]
-        column = batch.schema.get_field_index("text")
-        rest = [i for i in range(batch.num_columns) if i != column]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(i) for i in rest]
-            + [
-                pc.fill_null(pc.utf8_length(batch.column(column)), 0).cast(pa.int64()),
-                pa.array(np.fromiter((xxhash.xxh64_intdigest(b) for b in bare), U, len(bare)).view(np.int64)),
-                pa.array([hashlib.sha256(b).hexdigest() for b in bare]),
-            ],
-            [batch.schema.names[i] for i in rest] + ["points", "fp", "text_sha256"],
-        )
+def _digest(bits: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in slices(batches):
+            yield _digested(batch, texts, bits)
+
+    return run
+
+
+def _digested(batch: pa.RecordBatch, texts: list[bytes], bits: int) -> pa.RecordBatch:
+    bare = [normalised(t) for t in texts]
+    column = batch.schema.get_field_index("text")
+    rest = [i for i in range(batch.num_columns) if i != column]
+    return pa.RecordBatch.from_arrays(
+        [batch.column(i) for i in rest]
+        + [
+            pc.fill_null(pc.utf8_length(batch.column(column)), 0).cast(pa.int64()),
+            pa.array(np.fromiter((fingerprint(b, bits) for b in bare), U, len(bare)).view(np.int64)),
+            pa.array([hashlib.sha256(b).hexdigest() for b in bare]),
+        ],
+        [batch.schema.names[i] for i in rest] + ["points", "fp", "text_sha256"],
+    )
 
 
-def _route(bits: np.ndarray, filter_bits: int):
+def _route(occupied, filter_bits: int, bits: int):
     """Normalised texts whose fingerprint has its occupancy bit set."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,9 +171,9 @@ def _route(bits: np.ndarray, filter_bits: int):
             found, kept = [], []
             for text in texts:
                 bare = normalised(text)
-                fp = xxhash.xxh64_intdigest(bare)
+                fp = fingerprint(bare, bits)
                 at = fp >> (64 - filter_bits)
-                if (int(bits.value[at >> 6]) >> (at & 63)) & 1:
+                if (int(occupied.value[at >> 6]) >> (at & 63)) & 1:
                     found.append(fp)
                     kept.append(bare)
             yield pa.RecordBatch.from_arrays([pa.array(np.array(found, U).view(np.int64)), pa.array(kept, pa.binary())], ["fp", "bare"])
@@ -179,7 +191,7 @@ def _occupancy(repeated: DataFrame, filter_bits: int) -> np.ndarray:
     return out
 
 
-def exact_duplicates(docs: DataFrame, row: str | None = None, filter_bits: int = 24, block_rows: int = 1 << 18) -> DataFrame:
+def exact_duplicates(docs: DataFrame, row: str | None = None, filter_bits: int = 24, block_rows: int = 1 << 18, bits: int = 64) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256 and the row number.
 
     ``row`` names a unique column; without one the digests are numbered as they are written.
@@ -187,12 +199,12 @@ def exact_duplicates(docs: DataFrame, row: str | None = None, filter_bits: int =
     spark = docs.sparkSession
     keep = ["doc_id", "text"] + ([row] if row else [])
     ids = ", ".join(f"`{c}` {kind(docs, c)}" for c in keep if c != "text")
-    digests = docs.select(*keep).mapInArrow(_digest, f"{ids}, points long, fp long, text_sha256 string")
+    digests = docs.select(*keep).mapInArrow(_digest(bits), f"{ids}, points long, fp long, text_sha256 string")
     digests = materialize(digests if row else digests.withColumn(ROW, F.monotonically_increasing_id()), "digests")
     row = row or ROW
     repeated = materialize(repeated_fingerprints(digests.select("fp"), digests.count(), block_rows), "repeated")
-    bits = spark.sparkContext.broadcast(_occupancy(repeated, filter_bits))
-    routed = docs.select("text").mapInArrow(_route(bits, filter_bits), "fp long, bare binary")
+    occupied = spark.sparkContext.broadcast(_occupancy(repeated, filter_bits))
+    routed = docs.select("text").mapInArrow(_route(occupied, filter_bits, bits), "fp long, bare binary")
     verified = (
         routed.join(repeated.select("fp"), "fp", "left_semi")
         .groupBy("fp", "bare").agg(F.count(F.lit(1)).alias("n"))

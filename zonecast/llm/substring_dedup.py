@@ -26,6 +26,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window
@@ -41,16 +42,26 @@ TOGETHER = 4
 _K = U(0x9E3779B97F4A7C15)
 
 
-def _pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    packer = zstandard.ZstdCompressor(level=3)
-    for batch, texts in slices(batches, limit=CHUNK_BYTES):
-        ids = batch.column(batch.schema.get_field_index("doc_id"))
-        order = pa.compute.sort_indices(ids, null_placement="at_end")
-        ids = ids.take(order)
-        bare = [b" ".join(texts[i].split()) for i in order.to_pylist()]
-        seqs = [xxhash.xxh3_128_digest(b) for b in bare]
-        row = [pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), pa.array([seqs], pa.list_(pa.binary())), pa.array([packer.compress(b"\n".join(bare))])]
-        yield pa.RecordBatch.from_arrays(row, ["ids", "seqs", "packed"])
+def _pack(chunk_bytes: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in slices(batches, limit=chunk_bytes):
+            yield _packed(batch, texts)
+
+    return run
+
+
+def _packed(batch: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
+    """Ids in order, sequence digests and compressed words of some documents, as one row."""
+    ids = batch.column(batch.schema.get_field_index("doc_id"))
+    order = pc.sort_indices(ids, null_placement="at_end")
+    ids = ids.take(order)
+    bare = [b" ".join(texts[i].split()) for i in order.to_pylist()]
+    row = [
+        pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+        pa.array([[xxhash.xxh3_128_digest(b) for b in bare]], pa.list_(pa.binary())),
+        pa.array([zstandard.ZstdCompressor(level=3).compress(b"\n".join(bare))]),
+    ]
+    return pa.RecordBatch.from_arrays(row, ["ids", "seqs", "packed"])
 
 
 def _sliding(a: np.ndarray, width: int, least) -> np.ndarray:
@@ -195,12 +206,12 @@ def _kept(window: int, id_type: pa.DataType, texts: bool):
     return run
 
 
-def repeated_passages(docs: DataFrame, window: int = 20, texts: bool = False) -> DataFrame:
+def repeated_passages(docs: DataFrame, window: int = 20, texts: bool = False, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of each document, and with ``texts`` the kept words."""
     from pyspark.sql.pandas.types import to_arrow_type
 
     id_kind, id_type = kind(docs, "doc_id"), to_arrow_type(docs.schema["doc_id"].dataType)
-    packed = docs.select("doc_id", "text").mapInArrow(_pack, f"ids array<{id_kind}>, seqs array<binary>, packed binary")
+    packed = docs.select("doc_id", "text").mapInArrow(_pack(chunk_bytes), f"ids array<{id_kind}>, seqs array<binary>, packed binary")
     work = materialize(packed.withColumn("chunk", F.monotonically_increasing_id()), "chunks")
     tasks = max(1, -(-work.count() // TOGETHER))
 
