@@ -7,7 +7,7 @@
    a tree splits a subsample at random values of random statistics until its points stand alone. An
    unusual document stands alone after few splits; the mean path length gives its anomaly score.
 4. The threshold is calibrated on the sample: the score that best separates the labels (sensitivity
-   plus specificity), among those that reject at most ``spoiled`` of the rows labelled good.
+   plus specificity), among those that reject at most ``spoiled`` of the rows labelled good (or two of them).
 
 A document is kept if it passes the base rules (50 words or more, at most half of its words in repeated
 three-word windows) and its score does not pass the threshold.
@@ -177,13 +177,13 @@ def fit_forest(points: np.ndarray, allowance: np.ndarray, trees: int = 64, subsa
 
 
 def calibrate(scores: np.ndarray, labels: np.ndarray, spoiled: float) -> float:
-    """The threshold with the best sensitivity plus specificity that rejects at most ``spoiled`` of the good rows."""
+    """The threshold with the best sensitivity plus specificity that rejects at most ``spoiled`` of the good rows, or two of them."""
     good = np.sort(scores[labels == 1])
     bad = np.sort(scores[labels == 0])
     cuts = np.unique(scores)
     lost = 1 - np.searchsorted(good, cuts, "right") / len(good)
     caught = 1 - np.searchsorted(bad, cuts, "right") / len(bad)
-    allowed = lost <= spoiled
+    allowed = lost * len(good) <= max(spoiled * len(good), 2) + 1e-9
     best = np.argmax(np.where(allowed, caught - lost, -np.inf))
     following = cuts[min(best + 1, len(cuts) - 1)]
     return float((cuts[best] + following) / 2)
