@@ -1,8 +1,8 @@
 """Quality rules: an isolation forest on rule statistics.
 
 1. One pass counts the rule statistics of each whole text.
-2. Each statistic gets an allowance, the quantile ``1 - spoiled`` of the rows labelled good; what counts
-   is the excess over it, so that the usual variety of good text isolates nobody.
+2. Each statistic gets an allowance, calibrated on labelled rows like the threshold below; what counts is the excess over it, so
+   that the usual variety of good text isolates nobody. A statistic that no bad row exceeds is not looked at.
 3. A forest of random trees is fitted on a bounded sample of labelled rows (``bound`` of either label):
    a tree splits a subsample at random values of random statistics until its points stand alone. An
    unusual document stands alone after few splits; the mean path length gives its anomaly score.
@@ -189,6 +189,12 @@ def calibrate(scores: np.ndarray, labels: np.ndarray, spoiled: float) -> float:
     return float((cuts[best] + following) / 2)
 
 
+def allowances(points: np.ndarray, labels: np.ndarray, spoiled: float) -> np.ndarray:
+    """Per statistic the value up to which nothing counts."""
+    cuts = np.array([calibrate(column, labels, spoiled) for column in points.T])
+    return np.where((points[labels == 0] > cuts).any(axis=0), cuts, np.inf)
+
+
 def fit_rules(docs: DataFrame, labels: DataFrame, bound: int = 4000, spoiled: float = 0.002) -> Forest | None:
     sample = labelled_sample(docs, labels, "quality", bound).mapInArrow(_measured(None, ["label"]), _schema("label int", True))
     rows = sample.orderBy("label", *COUNTS).toPandas()
@@ -198,7 +204,7 @@ def fit_rules(docs: DataFrame, labels: DataFrame, bound: int = 4000, spoiled: fl
     if len(np.unique(truth)) < 2:
         return None
     points = np.stack(rows["values"].to_numpy())
-    forest = fit_forest(points, np.quantile(points[truth == 1], 1 - spoiled, axis=0))
+    forest = fit_forest(points, allowances(points, truth, spoiled))
     forest.threshold = calibrate(forest.scores(points), truth, spoiled)
     return forest
 
