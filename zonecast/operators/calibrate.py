@@ -142,13 +142,11 @@ def apply_hour_calibration(
 
 
 def apply_evening(
-    df: DataFrame, hours: DataFrame, dow_hours: DataFrame, late: DataFrame | None = None,
-    weekend: DataFrame | None = None, predicted: str = "predicted",
+    df: DataFrame, hours: DataFrame, dow_hours: DataFrame, late: DataFrame | None = None, predicted: str = "predicted"
 ) -> DataFrame:
-    """Weekday-hour factor (else hour factor) plus the late bias, then the weekend adjustment.
+    """Weekday-hour factor (else hour factor) plus the late bias.
 
-    ``late``: hour, factor, bias (its factor replaces the hour factor); ``weekend``: day_of_week,
-    hour, factor, bias.
+    ``late``: hour, factor, bias; its factor replaces the hour factor.
     """
     p = F.col(predicted)
     out = df.join(F.broadcast(dow_hours.select("day_of_week", "hour", F.col("factor").alias("_dh"))), on=["day_of_week", "hour"], how="left")
@@ -160,13 +158,21 @@ def apply_evening(
         names.insert(1, F.col("_lf"))
         bias = F.coalesce("_lb", F.lit(0.0))
     out = out.withColumn(predicted, floor_zero(p * F.coalesce(*names, F.lit(1.0)) + bias))
-    if weekend is not None:
-        w = weekend.select("day_of_week", "hour", F.col("factor").alias("_wf"), F.col("bias").alias("_wb"))
-        out = out.join(F.broadcast(w), on=["day_of_week", "hour"], how="left")
-        out = out.withColumn(predicted, F.when(F.col("_wf").isNull(), p).otherwise(floor_zero(p * F.col("_wf") + F.col("_wb"))))
     return out.select(*df.columns)
 
 
+def apply_weekend(df: DataFrame, weekend: DataFrame, predicted: str = "predicted", out: str = "predicted") -> DataFrame:
+    """Factor and bias of weekend late hours; ``weekend``: day_of_week, hour, factor, bias.
+
+    They belong to predictions that are calibrated already: fit them on such rows.
+    """
+    w = weekend.select("day_of_week", "hour", F.col("factor").alias("_wf"), F.col("bias").alias("_wb"))
+    p = F.col(predicted)
+    joined = df.join(F.broadcast(w), on=["day_of_week", "hour"], how="left")
+    adjusted = F.when(F.col("_wf").isNull(), p).otherwise(floor_zero(p * F.col("_wf") + F.col("_wb")))
+    return joined.withColumn(out, adjusted).select(*dict.fromkeys([*df.columns, out]))
+
+
 def inverse_mae_weights(val: DataFrame, predictions: Sequence[str]) -> DataFrame:
     """One row with a weight per prediction column: (1 / MAE) over the sum of these."""
     y = F.col("actual").cast("double")

@@ -7,6 +7,7 @@ instead. Every window starts with the zone, so one shuffle by zone serves all of
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -63,11 +64,13 @@ def add_lags(df: DataFrame, basis: str = "trip_count", lags: Mapping[str, int] =
     return df.withColumns(columns)
 
 
-def add_extras(df: DataFrame, basis: str = "trip_count", alpha: float = 0.3, depth: int = 48) -> DataFrame:
-    """Rolling maxima, relative change and an exponentially weighted mean of the previous rows.
+def add_extras(df: DataFrame, basis: str = "trip_count", alpha: float = 0.3) -> DataFrame:
+    """Rolling maxima, relative change and an exponentially weighted mean of all previous rows.
 
-    The weighted mean uses the last ``depth`` values; older ones weigh less than 1e-7.
+    A double holds 53 bits: values so old that their weight is below the last bit of the newest
+    one's, with a margin, cannot change the mean. How far back that is follows from ``alpha``.
     """
+    depth = math.ceil(60 * math.log(2.0) / -math.log1p(-alpha))
     order = _zone_order()
     recent = F.collect_list(F.col(basis).cast("double")).over(order.rowsBetween(-depth, -1))
     keep = 1.0 - alpha

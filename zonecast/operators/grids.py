@@ -52,7 +52,9 @@ def late_affine(val: DataFrame) -> DataFrame:
         F.get(F.col("o.b"), F.col("ord") % 24).alias("bias"),
     )
     error = F.abs(F.col("y") - F.greatest(F.col("p") * F.col("factor") + F.col("bias"), F.lit(0.0)))
-    scored = tried.groupBy("hour", "ord", "factor", "bias").agg(
+    # Factor and bias follow from the number, so only the number is a key.
+    scored = tried.groupBy("hour", "ord").agg(
+        F.first("factor").alias("factor"), F.first("bias").alias("bias"),
         (F.sum(error) / F.greatest(F.sum("y"), F.lit(1.0)) * 100).alias("wape")
     )
     return _first_best(scored, ["hour"], ["factor", "bias", "wape"], "wape")
@@ -109,7 +111,8 @@ def weekend_adjust(val: DataFrame, points: int = 17) -> DataFrame:
     )
     q = F.greatest(F.col("p") * F.col("factor") + F.col("bias"), F.lit(0.0))
     y = F.col("y")
-    scored = tried.groupBy("day_of_week", "hour", "n", "ord", "factor", "bias").agg(
+    scored = tried.groupBy("day_of_week", "hour", "ord").agg(
+        F.first("n").alias("n"), F.first("factor").alias("factor"), F.first("bias").alias("bias"),
         (F.sum(F.abs(y - q)) / F.greatest(F.sum("y"), F.lit(1.0)) * 100).alias("wape"),
         F.avg(q - y).alias("drift"), F.avg((q > y).cast("double")).alias("over"), F.avg((q < y).cast("double")).alias("under"),
     )

@@ -43,9 +43,9 @@ def residual_correction(df: DataFrame, delta: str, predicted: str = "predicted")
 
 
 def expert_blend(df: DataFrame, expert: str, weight: float | Column, predicted: str = "predicted") -> DataFrame:
-    """Mix of an expert model on Sunday late hours."""
+    """Mix of an expert model on Sunday late hours, where it says something."""
     w = weight if isinstance(weight, Column) else F.lit(float(weight))
-    rows = (F.col("day_of_week") == 6) & F.col("hour").isin(fixed.WEEKEND_LATE_HOURS)
+    rows = (F.col("day_of_week") == 6) & F.col("hour").isin(fixed.WEEKEND_LATE_HOURS) & F.col(expert).isNotNull()
     p = F.col(predicted)
     return df.withColumn(predicted, F.when(rows, (F.lit(1.0) - w) * p + w * floor_zero(expert)).otherwise(p))
 

@@ -138,26 +138,46 @@ def residual_weights(df: DataFrame, column: str = "target_demand") -> DataFrame:
     return df.withColumn("weight", clip(F.col(column) / 8.0, 0.8, 3.0))
 
 
-def critical_resample(df: DataFrame, factor: float = 3.0, seed: int = 42) -> DataFrame:
+#: Largest expected number of copies drawn at once; a sum of Poisson draws is a Poisson draw.
+POISSON_PART = 64.0
+
+
+def uniform(*parts: Column | str) -> Column:
+    """A number in [0, 1) from an MD5 digest of the parts, the same in every run and engine."""
+    digest = F.md5(F.concat_ws("|", *parts))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
+
+
+def poisson(rate: Column, draw: Column) -> Column:
+    """The number of cumulative Poisson probabilities at or below ``draw``, for rates up to ``POISSON_PART``.
+
+    The terms go on until the remaining probability is below the last bit of ``draw``.
+    """
+    last = F.ceil(rate + 12.0 * F.sqrt(rate) + 40.0).cast("int")
+    zero = F.struct(F.exp(-rate).alias("p"), F.lit(0.0).alias("c"), F.lit(0).alias("k"))
+
+    def add(acc: Column, i: Column) -> Column:
+        reached = acc["c"] + acc["p"]
+        return F.struct((acc["p"] * rate / (i + 1)).alias("p"), reached.alias("c"), (acc["k"] + (reached <= draw).cast("int")).alias("k"))
+
+    return F.aggregate(F.sequence(F.lit(0), last), zero, add, lambda acc: acc["k"])
+
+
+def critical_resample(df: DataFrame, factor: float = 3.0, seed: int = 42, keys: Sequence[str] = ("PULocationID", TIME)) -> DataFrame:
     """Resampling with replacement that draws critical hours ``factor`` times as often.
 
     Each row is drawn a Poisson number of times with its expected share, which is what drawing
-    as many rows as there are with replacement tends to at scale. No shuffle.
+    as many rows as there are with replacement tends to at scale. The draw is a digest of the
+    seed and the row's keys, so it depends on neither partitions nor run. No shuffle, no cap.
     """
-    weight = F.when(F.col("hour").isin(fixed.CRITICAL_HOURS), factor).otherwise(1.0)
-    weighted = df.withColumn("_w", weight)
+    weighted = df.withColumn("_w", F.when(F.col("hour").isin(fixed.CRITICAL_HOURS), F.lit(float(factor))).otherwise(1.0))
     mean = weighted.agg(F.avg("_w").alias("m")).scalar()
-    rate = weighted.withColumn("_rate", F.col("_w") / mean).withColumn("_u", F.rand(seed))
-    # Inverse transform of the Poisson law: the number of cumulative probabilities below u.
-    terms = F.aggregate(
-        F.sequence(F.lit(0), F.lit(40)),
-        F.struct(F.exp(-F.col("_rate")).alias("p"), F.lit(0.0).alias("c"), F.lit(0).alias("k")),
-        lambda acc, i: F.struct(
-            (acc["p"] * F.col("_rate") / (i + 1)).alias("p"),
-            (acc["c"] + acc["p"]).alias("c"),
-            (acc["k"] + (acc["c"] + acc["p"] < F.col("_u")).cast("int")).alias("k"),
-        ),
-        lambda acc: acc["k"],
+    rated = weighted.withColumn("_rate", F.col("_w") / mean)
+    parts = F.ceil(F.col("_rate") / POISSON_PART).cast("int")
+    text = [F.col(k).cast("string") for k in keys]
+    drawn = F.aggregate(
+        F.sequence(F.lit(1), parts), F.lit(0),
+        lambda acc, i: acc + poisson(F.col("_rate") / parts, uniform(F.lit(str(seed)), *text, i.cast("string"))),
     )
-    drawn = rate.withColumn("_k", terms).filter(F.col("_k") > 0)
-    return drawn.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_k")))).drop("_w", "_rate", "_u", "_k", "_copy")
+    copies = rated.withColumn("_k", drawn).filter(F.col("_k") > 0)
+    return copies.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_k")))).drop("_w", "_rate", "_k", "_copy")

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from zonecast.session import size_shuffles
-
 ZONES = 4  # zones the trip view contains (1..4, plus the invalid 265)
 
 
@@ -46,11 +44,10 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sales(spark: SparkSession, sf_dir: str, category: bool = True) -> DataFrame:
     """Order lines with their order and, if wanted, the part's type as category. The tables grow
     together, so the join strategy is left to the planner's size estimates and AQE (which also
-    splits a key that holds very many lines); only the number of partitions is fitted to them.
+    splits a key that holds very many lines).
     """
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
-    size_shuffles(spark, lines, orders)
     joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     if category:
         parts = table(spark, sf_dir, "part").select("p_partkey", "p_type")

@@ -214,7 +214,6 @@ SELECT * FROM (SELECT "PULocationID", window_start, hour, day_of_week, is_weeken
  CAST(target_demand AS DOUBLE) AS actual, zone_hour_mean,
  coalesce({earlier('target_demand', 3, 'day_of_week', 'hour')}, zone_hour_mean) AS zone_dow_hour_mean, hour_mean, baseline_blend,
  CAST(lag(target_demand, 24) OVER w AS DOUBLE) AS naive_day, CAST(lag(target_demand, 168) OVER w AS DOUBLE) AS naive_week,
- baseline_blend AS predicted FROM special WINDOW w AS ({ZONE_ROWS})) WHERE naive_week IS NOT NULL""")
+ baseline_blend AS predicted FROM special WINDOW w AS ({ZONE_ROWS}))""")
 sql_table("val", "forecasts", "SELECT * FROM forecasts WHERE split = 'val'")
 sql_table("test", "forecasts", "SELECT * FROM forecasts WHERE split = 'test'")
-sql_table("history", "forecasts", "SELECT * FROM forecasts WHERE split = 'train'")

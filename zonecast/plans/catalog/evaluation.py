@@ -82,9 +82,9 @@ def _(spark, sf_dir):
     return met.evaluate(_part(spark, sf_dir, "test"), ["hour"])
 
 
-@query("metrics_by_hour_and_weekday", "hour:i day_of_week:i " + RATE_SPEC, f"SELECT hour, day_of_week, {METRICS}{RATES} FROM history GROUP BY 1, 2", "history")
+@query("metrics_by_hour_and_weekday", "hour:i day_of_week:i " + RATE_SPEC, f"SELECT hour, day_of_week, {METRICS}{RATES} FROM test GROUP BY 1, 2", "test")
 def _(spark, sf_dir):
-    return met.segment_stats(_part(spark, sf_dir, "train"), ["hour", "day_of_week"])
+    return met.segment_stats(_part(spark, sf_dir, "test"), ["hour", "day_of_week"])
 
 
 @query("metrics_late_by_weekday", "day_of_week:i " + RATE_SPEC, f"SELECT day_of_week, {METRICS}{RATES} FROM forecasts WHERE hour >= 22 GROUP BY 1", "forecasts")

@@ -106,7 +106,7 @@ def _(spark, sf_dir):
      FROM (SELECT *, row_number() OVER (w) AS rn, coalesce(max(trip_count) OVER ({ZONE_ROWS} ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING), 0) AS m3,
       coalesce(max(trip_count) OVER ({ZONE_ROWS} ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING), 0) AS m6 FROM base WINDOW w AS ({ZONE_ROWS})) a
      LEFT JOIN (SELECT "PULocationID", trip_count, row_number() OVER ({ZONE_ROWS}) AS rn FROM base) b
-      ON a."PULocationID" = b."PULocationID" AND b.rn < a.rn AND b.rn >= a.rn - 48 GROUP BY 1, 2""",
+      ON a."PULocationID" = b."PULocationID" AND b.rn < a.rn GROUP BY 1, 2""",
     "base",
 )
 def _(spark, sf_dir):

@@ -25,6 +25,8 @@ def build_session(app_name: str = "zonecast", master: str | None = None, **conf:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # What a task reads after a shuffle; AQE merges small partitions up to it and splits skewed ones.
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.parquet.compression.codec": "zstd",
         # Plans here have hundreds of columns; recording the Python line of each one is slow.
@@ -68,17 +70,3 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
-
-def size_shuffles(spark: SparkSession, *inputs: DataFrame, target_bytes: int = 256 << 20, cap: int = 20_000) -> int:
-    """Raises the initial number of shuffle partitions to fit tables that will be shuffled whole.
-
-    The planner's size of the (column-pruned) inputs is divided by a size one task can sort in
-    memory. AQE merges partitions that turn out small, so the number is only ever raised.
-    """
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    size = sum(int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in inputs)
-    current = int(spark.conf.get(key, None) or spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = max(current, min(cap, -(-size // target_bytes)))
-    if wanted > current:
-        spark.conf.set(key, str(wanted))
-    return wanted
