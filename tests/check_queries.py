@@ -71,7 +71,7 @@ def main() -> int:
 
     sf_dir = sys.argv[1]
     wanted = sys.argv[2:]
-    spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"})
+    spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)
     oracle = oracle_sql()

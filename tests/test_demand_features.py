@@ -165,6 +165,35 @@ def test_resample_prefers_critical_hours(spark):
     assert critical / (total - critical) == pytest.approx(3.0, rel=0.12)
 
 
+def test_resample_has_no_cap_and_no_randomness(spark):
+    g = gold(spark, [1] * 24 * 4).withColumn("hour", F.when(F.hour("window_start") == 0, 0).otherwise(12))
+    drawn = prep.critical_resample(g, factor=1e6)
+    copies = [r["count"] for r in drawn.groupBy("window_start").count().collect()]
+    # Four critical rows share all 95 copies; four rows at a rate of about 24 each.
+    assert sum(copies) == pytest.approx(g.count(), rel=0.35) and len(copies) <= 4
+    few = g.filter("hour = 0").limit(1).unionByName(g.filter("hour = 12").limit(9999).withColumn("hour", F.lit(12)))
+    big = prep.critical_resample(few.withColumn("hour", F.when(F.col("hour") == 0, 0).otherwise(12)), factor=1e9)
+    assert big.count() == pytest.approx(few.count(), rel=0.4) and big.count() > 41
+    assert big.count() == prep.critical_resample(few.repartition(7), factor=1e9).count()
+
+
+def test_poisson_draws_in_parts(spark):
+    rates = spark.range(400).select(F.lit(900.0).alias("rate"), F.col("id").cast("string").alias("k"))
+    parts = F.lit(15)
+    draw = F.aggregate(F.sequence(F.lit(1), parts), F.lit(0), lambda acc, i: acc + prep.poisson(F.col("rate") / parts, prep.uniform(F.col("k"), i.cast("string"))))
+    row = rates.select(draw.alias("n")).agg(F.avg("n"), F.var_samp("n")).collect()[0]
+    assert row[0] == pytest.approx(900, rel=0.01) and row[1] == pytest.approx(900, rel=0.25)
+
+
+def test_weighted_mean_uses_all_rows(spark):
+    values = [1000] * 200 + [0] * 98 + [0]
+    rows = feat.add_extras(feat.add_lags(gold(spark, values)), alpha=0.05).orderBy("window_start").collect()
+    w = s = 0.0
+    for v, r in zip(values, rows):
+        assert r["ewm_alpha03"] == pytest.approx(s / w if w else 0.0, rel=1e-9, abs=1e-12)
+        s, w = s * 0.95 + v, w * 0.95 + 1
+
+
 def test_context_precedence_and_copies(spark):
     old, new = demand(spark, [(1, 0, 5), (1, 0, 6), (1, 1, 2)]), demand(spark, [(1, 1, 9), (1, 2, 3)])
     got = {r["window_start"].hour: r["trip_count"] for r in forecast.merge_context(old, new).collect()}

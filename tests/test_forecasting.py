@@ -198,7 +198,15 @@ def test_models_learn_a_simple_relation(spark):
     pair = models.fit_zero_inflated(df, ["lag_1h", "flat"]).predict(df)
     low, high = (pair.filter(c).agg(F.avg("prob")).collect()[0][0] for c in ("lag_1h = 0", "lag_1h > 5"))
     assert low < high
-    assert models.fit_residual(df.limit(10), df.limit(10), ["lag_1h"]) is None
-    assert models.sunday_expert(df.limit(10), df.limit(10)) is None
+    stopped = models.fit_main(df, ["lag_1h", "hour"], val=df.filter("hour < 5"), trees=200, depth=4, tolerance=0.01)
+    assert stopped.model.stages[-1].getNumTrees < 200
+    few, none = models.expert_enabled(df.limit(10), df.limit(10)), models.residual_enabled(df, df, 10, 1000)
+    assert few.collect()[0]["enabled"] is False and none.collect()[0].asDict() == {"n_train": 50, "n_val": 50, "enabled": False}
+    assert models.sunday_expert(df, few).count() == 0
+    assert models.sunday_expert(df, models.expert_enabled(df, df, 1, 1)).count() == 3
+    late = df.withColumns({"actual": F.col("target_demand").cast("double"), "predicted": F.col("zone_hour_mean")})
+    model = models.fit_residual(late, ["lag_1h", "zone_hour_mean"])
+    on, off = (models.residual_delta(model, late, models.residual_enabled(late, late, 1, n)) for n in (1, 10**6))
+    assert off.filter(F.col("delta").isNotNull()).count() == 0 and on.filter(F.col("delta").isNull()).count() == 0
     head = models.with_quantile(df, models.quantile_head(df, 0.5))
     assert head.filter(F.col("pred_quantile").isNull()).count() == 0

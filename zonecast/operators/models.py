@@ -10,7 +10,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VarianceThresholdSelector, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from zonecast import rules as fixed
 from zonecast.functions.scalar import clip, floor_zero
@@ -59,14 +59,26 @@ class MainModel:
         )
 
 
-def fit_main(train: DataFrame, features: Sequence[str], weight: str | None = "weight", trees: int = 20, depth: int = 5, seed: int = 42) -> MainModel:
-    """Main regressor with absolute-error loss (robust like the Huber loss it stands for)."""
+def fit_main(
+    train: DataFrame, features: Sequence[str], weight: str | None = "weight", val: DataFrame | None = None, trees: int = 5000, depth: int = 7,
+    tolerance: float = 1e-4, seed: int = 42,
+) -> MainModel:
+    """Main regressor with absolute-error loss (robust like the Huber loss it stands for).
+
+    With ``val`` rounds stop once the error on these rows no longer falls by ``tolerance``; ``trees`` is the most rounds. Rows of
+    ``val`` weigh 1 and are not trained on.
+    """
     scaler = target_scaler(train)
-    data = _trimmed(train, features, "target_demand", *([weight] if weight else []))
+    inputs = ["target_demand", *([weight] if weight else [])]
+    data = _trimmed(train, features, *inputs).withColumn("held", F.lit(False))
+    if val is not None:
+        rows = val.withColumn(weight, F.lit(1.0)) if weight else val
+        data = data.unionByName(_trimmed(rows, features, *inputs).withColumn("held", F.lit(True)))
     data = data.withColumn("_s", scaler.scalar()).withColumn("label", log_minmax(F.col("target_demand"), F.col("_s"))).drop("_s")
     gbt = GBTRegressor(
         labelCol="label", featuresCol="features", maxIter=trees, maxDepth=depth, stepSize=0.1, subsamplingRate=0.85,
-        lossType="absolute", seed=seed, **({"weightCol": weight} if weight else {}),
+        lossType="absolute", seed=seed, validationTol=tolerance, **({"weightCol": weight} if weight else {}),
+        **({"validationIndicatorCol": "held"} if val is not None else {}),
     )
     return MainModel(_fit([_assembler(features), gbt], data), scaler)
 
@@ -124,27 +136,41 @@ def with_quantile(df: DataFrame, head: DataFrame, out: str = "pred_quantile") ->
     return joined.withColumn(out, F.coalesce("quantile", "zone_hour_mean")).drop("quantile")
 
 
-def fit_residual(train: DataFrame, val: DataFrame, features: Sequence[str], min_train: int = 500, min_val: int = 150) -> PipelineModel | None:
-    """Linear model of the late-hour residual; None with too few rows."""
-    late = lambda df: df.filter(F.col("hour").isin(fixed.LATE_HOURS))
-    enough = late(train).limit(min_train).count() >= min_train and late(val).limit(min_val).count() >= min_val
-    if not enough:
-        return None
+def enough_rows(train: DataFrame, val: DataFrame, where: Column, min_train: int, min_val: int) -> DataFrame:
+    """One row: n_train, n_val and whether a specialist has enough rows to be used."""
+    counted = train.filter(where).select(F.lit(1).alias("t"), F.lit(0).alias("v")).unionByName(val.filter(where).select(F.lit(0).alias("t"), F.lit(1).alias("v")))
+    sums = counted.agg(F.coalesce(F.sum("t"), F.lit(0)).alias("n_train"), F.coalesce(F.sum("v"), F.lit(0)).alias("n_val"))
+    return sums.withColumn("enabled", (F.col("n_train") >= min_train) & (F.col("n_val") >= min_val))
+
+
+def residual_enabled(train: DataFrame, val: DataFrame, min_train: int = 500, min_val: int = 150) -> DataFrame:
+    return enough_rows(train, val, F.col("hour").isin(fixed.LATE_HOURS), min_train, min_val)
+
+
+def expert_enabled(train: DataFrame, val: DataFrame, min_train: int = 400, min_val: int = 80) -> DataFrame:
+    return enough_rows(train, val, _sunday_late(), min_train, min_val)
+
+
+def _sunday_late() -> Column:
+    return (F.col("day_of_week") == 6) & F.col("hour").isin(fixed.WEEKEND_LATE_HOURS)
+
+
+def fit_residual(train: DataFrame, features: Sequence[str]) -> PipelineModel:
+    """Linear model of the late-hour residual; ``residual_enabled`` says whether it is to be used."""
     inputs = list(dict.fromkeys([*features, "predicted"]))
-    data = _trimmed(late(train), inputs, "actual").withColumns(
+    data = _trimmed(train.filter(F.col("hour").isin(fixed.LATE_HOURS)), inputs, "actual").withColumns(
         {"label": F.col("actual") - F.col("predicted"), "weight": clip(F.col("actual") / 8.0, 0.8, 3.0)}
     )
     glm = GeneralizedLinearRegression(family="gaussian", link="identity", labelCol="label", weightCol="weight", regParam=1.0)
     return _fit(_linear_stages(inputs, glm), data)
 
 
-def residual_delta(model: PipelineModel, df: DataFrame, out: str = "delta") -> DataFrame:
-    return model.transform(df).withColumn(out, F.col("prediction")).select(*df.columns, out)
+def residual_delta(model: PipelineModel, df: DataFrame, enabled: DataFrame, out: str = "delta") -> DataFrame:
+    """The residual the model expects, NULL (no correction) if it is not enabled."""
+    delta = F.when(enabled.select("enabled").scalar(), F.col("prediction"))
+    return model.transform(df).withColumn(out, delta).select(*df.columns, out)
 
 
-def sunday_expert(train: DataFrame, val: DataFrame, alpha: float = 0.40, min_train: int = 400, min_val: int = 80) -> DataFrame | None:
-    """Quantile table for Sunday late hours; None with too few rows."""
-    rows = lambda df: df.filter((F.col("day_of_week") == 6) & F.col("hour").isin(fixed.WEEKEND_LATE_HOURS))
-    if rows(train).limit(min_train).count() < min_train or rows(val).limit(min_val).count() < min_val:
-        return None
-    return quantile_head(rows(train), alpha)
+def sunday_expert(train: DataFrame, enabled: DataFrame, alpha: float = 0.40) -> DataFrame:
+    """Quantile table for Sunday late hours, empty if it is not enabled."""
+    return quantile_head(train.filter(_sunday_late()), alpha).filter(enabled.select("enabled").scalar())

@@ -9,6 +9,7 @@ from zonecast.functions import scalar
 from zonecast.operators import clean, features as feat
 from zonecast.plans.adapters import table, trips
 from zonecast.plans.catalog.base import LOOSE_RULES, STRICT_RULES, query
+from zonecast.plans.tables import clean_trips
 from zonecast.session import scratch_path
 from zonecast.sources import bronze, inspect, sinks
 
@@ -153,9 +154,14 @@ def _(spark, sf_dir):
     return parts[0].unionByName(parts[1])
 
 
-@query("layer_files", "prefix:s files:l bytes:l")
+@query("layer_files", "prefix:s files:l sized:b", "SELECT 'clean/hour=' || h AS prefix, 1 AS files, TRUE AS sized FROM (SELECT DISTINCT hour(tpep_pickup_datetime) AS h FROM clean)", "clean")
 def _(spark, sf_dir):
-    return inspect.layer_files(spark, sf_dir)
+    """Files of a layer this query writes: cleaned trips by hour of day, one file each."""
+    root = scratch_path(spark, "layer")
+    rows = clean_trips(spark, sf_dir).withColumn("hour", F.hour("tpep_pickup_datetime"))
+    rows.repartition(24, "hour").write.partitionBy("hour").parquet(f"{root}/clean")
+    files = inspect.layer_files(spark, root, depth=2).filter(F.col("prefix").startswith("clean/hour="))
+    return files.withColumn("sized", F.col("bytes") > 0)
 
 
 @query(

@@ -9,7 +9,7 @@ from zonecast.operators import features as feat, metrics as met, prep, quality
 from zonecast.functions.stats import exact_quantiles
 from zonecast.plans.adapters import calendar, table
 from zonecast.plans.catalog.base import SPLIT, ZONE_ROWS, query, sql_table
-from zonecast.plans.tables import gold, main_table, stored_forecasts, stored_gold
+from zonecast.plans.tables import gold, main_table, shared, stored_forecasts, stored_gold
 from zonecast.session import materialize
 
 E = "abs(actual - predicted)"
@@ -282,28 +282,24 @@ def _(spark, sf_dir):
 CHECK_SPEC = "check:s status:s value:d threshold:d"
 
 
-@query(
-    "quality_columns",
-    CHECK_SPEC,
-    """SELECT 'required:' || c AS check, 'PASS' AS status, NULL AS value, NULL AS threshold FROM (VALUES ('target_demand'), ('window_start'), ('PULocationID')) AS t(c)
+COLUMN_CHECKS = """SELECT 'required:' || c AS check, 'PASS' AS status, NULL AS value, NULL AS threshold FROM (VALUES ('target_demand'), ('window_start'), ('PULocationID')) AS t(c)
      UNION ALL SELECT 'feature:' || c, s, NULL, NULL FROM (VALUES ('lag_3h', 'WARN'), ('lag_24h', 'FAIL'), ('lag_168h', 'WARN'), ('rolling_avg_6h', 'WARN'), ('rolling_avg_24h', 'WARN'), ('hour_sin', 'FAIL'), ('hour_cos', 'FAIL'),
       ('dow_sin', 'FAIL'), ('dow_cos', 'FAIL'), ('month_sin', 'FAIL'), ('month_cos', 'FAIL'), ('is_holiday', 'WARN')) AS t(c, s)
      UNION ALL SELECT 'nulls:' || c, CASE WHEN p = 0 THEN 'PASS' WHEN p < 5 THEN 'WARN' ELSE 'FAIL' END, p, 5 FROM (
       SELECT 'lag_1h' AS c, 100.0 * (count(*) - count(lag_1h)) / count(*) AS p FROM gold UNION ALL SELECT 'lag_2h', 100.0 * (count(*) - count(lag_2h)) / count(*) FROM gold
-      UNION ALL SELECT 'rolling_avg_3h', 100.0 * (count(*) - count(rolling_avg_3h)) / count(*) FROM gold UNION ALL SELECT 'is_weekend', 0 UNION ALL SELECT 'target_demand', 0)""",
-    "gold",
-)
+      UNION ALL SELECT 'rolling_avg_3h', 100.0 * (count(*) - count(rolling_avg_3h)) / count(*) FROM gold UNION ALL SELECT 'is_weekend', 0 UNION ALL SELECT 'target_demand', 0)"""
+
+
+@query("quality_columns", CHECK_SPEC, COLUMN_CHECKS, "gold")
 def _(spark, sf_dir):
     return quality.column_checks(gold(spark, sf_dir))
 
 
-@query(
-    "quality_distribution",
-    CHECK_SPEC,
-    f"""SELECT 'spike_ratio' AS check, CASE WHEN spike_ratio > 10 THEN 'WARN' ELSE 'PASS' END AS status, spike_ratio AS value, 10 AS threshold FROM ({DIST})
-     UNION ALL SELECT 'zero_share', CASE WHEN zero_pct > 30 THEN 'WARN' ELSE 'PASS' END, zero_pct, 30 FROM ({DIST})""",
-    "gold",
-)
+DISTRIBUTION_CHECKS = f"""SELECT 'spike_ratio' AS check, CASE WHEN spike_ratio > 10 THEN 'WARN' ELSE 'PASS' END AS status, spike_ratio AS value, 10 AS threshold FROM ({DIST})
+     UNION ALL SELECT 'zero_share', CASE WHEN zero_pct > 30 THEN 'WARN' ELSE 'PASS' END, zero_pct, 30 FROM ({DIST})"""
+
+
+@query("quality_distribution", CHECK_SPEC, DISTRIBUTION_CHECKS, "gold")
 def _(spark, sf_dir):
     return quality.distribution_checks(gold(spark, sf_dir))
 
@@ -319,14 +315,12 @@ def _(spark, sf_dir):
     return quality.scaling_stats(stored_gold(spark, sf_dir))
 
 
-@query(
-    "quality_scaling",
-    CHECK_SPEC,
-    """SELECT 'scaler_ceiling' AS check, CASE WHEN abs(ceiling - data_max) > data_max * 0.05 THEN 'WARN' ELSE 'PASS' END AS status, ceiling AS value, 0.05 AS threshold FROM scaling
+SCALING_CHECKS = """SELECT 'scaler_ceiling' AS check, CASE WHEN abs(ceiling - data_max) > data_max * 0.05 THEN 'WARN' ELSE 'PASS' END AS status, ceiling AS value, 0.05 AS threshold FROM scaling
      UNION ALL SELECT 'peak_threshold', CASE WHEN pct_above_half < 3 THEN 'FAIL' WHEN pct_above_half < 10 THEN 'WARN' ELSE 'PASS' END, pct_above_half, 3 FROM scaling
-     UNION ALL SELECT 'log_helps', CASE WHEN pct_above_half > pct_above_half_plain THEN 'PASS' ELSE 'WARN' END, pct_above_half_plain, NULL FROM scaling""",
-    "scaling",
-)
+     UNION ALL SELECT 'log_helps', CASE WHEN pct_above_half > pct_above_half_plain THEN 'PASS' ELSE 'WARN' END, pct_above_half_plain, NULL FROM scaling"""
+
+
+@query("quality_scaling", CHECK_SPEC, SCALING_CHECKS, "scaling")
 def _(spark, sf_dir):
     return quality.scaling_checks(stored_gold(spark, sf_dir))
 
@@ -350,13 +344,11 @@ def _(spark, sf_dir):
     return quality.top_correlations(_base(spark, sf_dir), fixed.QUALITY_FEATURES)
 
 
-@query(
-    "quality_leakage",
-    CHECK_SPEC,
-    f"""SELECT 'corr:' || feature AS check, CASE WHEN corr IS NULL THEN 'WARN' WHEN abs(corr) > 0.85 THEN 'FAIL' WHEN abs(corr) > 0.7 THEN 'WARN' ELSE 'PASS' END AS status, corr AS value, 0.85 AS threshold FROM ({CORR})
-     UNION ALL SELECT 'lag_shift', CASE WHEN d < 1e-6 THEN 'FAIL' ELSE 'PASS' END, d, 1e-6 FROM (SELECT avg(abs(target_demand - nxt)) AS d FROM (SELECT target_demand, lead(lag_1h) OVER ({ZONE_ROWS}) AS nxt FROM base))""",
-    "base",
-)
+LEAKAGE_CHECKS = f"""SELECT 'corr:' || feature AS check, CASE WHEN corr IS NULL THEN 'WARN' WHEN abs(corr) > 0.85 THEN 'FAIL' WHEN abs(corr) > 0.7 THEN 'WARN' ELSE 'PASS' END AS status, corr AS value, 0.85 AS threshold FROM ({CORR})
+     UNION ALL SELECT 'lag_shift', CASE WHEN d < 1e-6 THEN 'FAIL' ELSE 'PASS' END, d, 1e-6 FROM (SELECT avg(abs(target_demand - nxt)) AS d FROM (SELECT target_demand, lead(lag_1h) OVER ({ZONE_ROWS}) AS nxt FROM base))"""
+
+
+@query("quality_leakage", CHECK_SPEC, LEAKAGE_CHECKS, "base")
 def _(spark, sf_dir):
     return quality.leakage_checks(materialize(_base(spark, sf_dir), "features"), fixed.QUALITY_FEATURES)
 
@@ -402,16 +394,24 @@ def _(spark, sf_dir):
     return quality.metric_checks(_metric_row(spark, sf_dir))
 
 
+ALL_CHECKS = [COLUMN_CHECKS, DISTRIBUTION_CHECKS, SCALING_CHECKS, LEAKAGE_CHECKS, SPLIT_CHECKS, METRIC_CHECKS]
+
+
 @query(
     "quality_summary",
     "pass:l warn:l fail:l",
     f"""SELECT count(*) FILTER (status = 'PASS') AS pass, count(*) FILTER (status = 'WARN') AS warn, count(*) FILTER (status = 'FAIL') AS fail FROM (
-     {SPLIT_CHECKS} UNION ALL {METRIC_CHECKS})""",
-    "splits valid_seq gate",
+     {' UNION ALL '.join(f"SELECT CAST(status AS VARCHAR) AS status FROM ({c})" for c in ALL_CHECKS)})""",
+    "gold base scaling splits valid_seq gate",
 )
 def _(spark, sf_dir):
-    checks = quality.report([quality.split_checks(stored_gold(spark, sf_dir)), quality.metric_checks(_metric_row(spark, sf_dir))])
-    return quality.summary(checks)
+    source = stored_gold(spark, sf_dir)
+    features = shared(spark, sf_dir, "base-features", lambda: feat.base_features(source, calendar(spark)))
+    parts = [
+        quality.column_checks(source), quality.distribution_checks(source), quality.scaling_checks(source),
+        quality.leakage_checks(features, fixed.QUALITY_FEATURES), quality.split_checks(source), quality.metric_checks(_metric_row(spark, sf_dir)),
+    ]
+    return quality.summary(quality.report(parts))
 
 
 def _histogram(expression: str, source: str, bins: int = 80) -> str:
@@ -424,9 +424,9 @@ def _(spark, sf_dir):
     return quality.histogram(table(spark, sf_dir, "events"), "value")
 
 
-@query("histogram_of_log_target", "bin:i n:l low:d high:d", _histogram("ln(target_demand + 1)", "gold", 20), "gold")
+@query("histogram_of_log_target", "bin:i n:l low:d high:d", _histogram("ln(target_demand + 1)", "gold"), "gold")
 def _(spark, sf_dir):
-    return quality.histogram(stored_gold(spark, sf_dir), "target_demand", bins=20, transform=F.log1p)
+    return quality.histogram(stored_gold(spark, sf_dir), "target_demand", transform=F.log1p)
 
 
 @query(

@@ -61,9 +61,20 @@ def _(spark, sf_dir):
     return marts.monthly_mart(_typed(spark, sf_dir))
 
 
-@query("mart_months_approximate", "event_month:s txn_count:l monthly_revenue:d4 avg_order_value:d4 active_customers:l")
+@query(
+    "mart_months_approximate",
+    "event_month:s txn_count:l monthly_revenue:d4 avg_order_value:d4 exact_customers:l close:b",
+    """SELECT event_month, count(*) AS txn_count, sum(amount) AS monthly_revenue, avg(amount) AS avg_order_value, count(DISTINCT customer_id) AS exact_customers, TRUE AS close
+     FROM sales_typed GROUP BY 1""",
+    "sales_typed",
+)
 def _(spark, sf_dir):
-    return marts.monthly_mart(_typed(spark, sf_dir), approximate=True)
+    """The sketch's count must lie within four of its relative standard deviations (5 %) of the exact one, or one customer."""
+    typed = _typed(spark, sf_dir)
+    exact = marts.monthly_mart(typed).select("event_month", F.col("active_customers").alias("exact_customers"))
+    both = marts.monthly_mart(typed, approximate=True).join(exact, "event_month")
+    away = F.abs(F.col("active_customers") - F.col("exact_customers"))
+    return both.withColumn("close", away <= F.greatest(F.lit(1.0), F.lit(4 * 0.05) * F.col("exact_customers")))
 
 
 @query(

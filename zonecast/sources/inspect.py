@@ -57,7 +57,10 @@ def rows_per_file(df: DataFrame) -> DataFrame:
 def layer_files(spark: SparkSession, root: str, depth: int = 1) -> DataFrame:
     """Number of files and bytes per folder below ``root`` (folder cut at ``depth``)."""
     files = spark.read.option("recursiveFileLookup", True).format("binaryFile").load(root).select("path", "length")
-    relative = F.regexp_replace(F.col("path"), "^.*?" + root.rstrip("/").replace(".", r"\.") + "/", "")
+    # The scan names a root with its scheme, which the caller's text may lack: cut after the root's last occurrence of itself.
+    inner = root.rstrip("/").split("://")[-1].removeprefix("file:") + "/"
+    relative = F.expr("substring(path, position(root, path) + length(root))")
+    files = files.withColumn("root", F.lit(inner))
     parts = F.split(relative, "/")
     folder = F.array_join(F.slice(parts, 1, depth), "/")
     return files.groupBy(folder.alias("prefix")).agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
