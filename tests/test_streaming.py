@@ -2,6 +2,8 @@ import os
 import time
 from datetime import datetime, timedelta
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from zonecast.streaming import trips as st
@@ -28,9 +30,11 @@ def counts(spark, folder, out, delay):
     schema = spark.createDataFrame([], SCHEMA).schema
     stream = st.with_event_time(st.read_files(spark, folder, schema, files_per_batch=1), delay=delay)
     result = st.hourly_counts(stream)
-    query = st.start_upsert(result, out, name="counts")
-    query.awaitTermination()
-    return st.upserted(spark, out, result.schema, ["PULocationID", "window_start"]), query
+    with st.ProgressLog(spark) as log:
+        query = st.start_upsert(result, out, name="counts")
+        query.awaitTermination()
+        log.wait(query)
+    return st.upserted(spark, out, result.schema, ["PULocationID", "window_start"]), log
 
 
 def as_dict(df):
@@ -42,19 +46,19 @@ BATCHES = [[trip(1, 5, 1), trip(1, 5, 2)], [trip(1, 6, 3), trip(2, 9, 4)], [trip
 
 def test_wide_watermark_equals_batch(spark, tmp_path):
     write_files(spark, str(tmp_path / "in"), BATCHES)
-    got, query = counts(spark, str(tmp_path / "in"), str(tmp_path / "out"), "12 hours")
+    got, log = counts(spark, str(tmp_path / "in"), str(tmp_path / "out"), "12 hours")
     assert as_dict(got) == {(1, 5): 3, (1, 6): 1, (2, 9): 2}
-    rows = st.progress_rows(query)
-    assert sum(r[2] for r in rows) == 6 and sum(r[4] for r in rows) == 0
+    assert sum(r[3] for r in log.rows) == 6 and sum(r[5] for r in log.rows) == 0 and log.rows[-1][6] == "done"
 
 
 def test_late_rows_are_dropped_and_counted(spark, tmp_path):
     # A watermark filters rows from the second batch after the one that moved it.
     batches = [BATCHES[0], BATCHES[1], [trip(2, 9, 7)], BATCHES[2]]
     write_files(spark, str(tmp_path / "in"), batches)
-    got, query = counts(spark, str(tmp_path / "in"), str(tmp_path / "out"), "1 hour")
+    got, log = counts(spark, str(tmp_path / "in"), str(tmp_path / "out"), "1 hour")
     assert as_dict(got) == {(1, 5): 2, (1, 6): 1, (2, 9): 3}
-    assert st.progress_frame(spark, query).agg(F.sum("dropped_late")).collect()[0][0] == 1
+    log.save(str(tmp_path / "progress"))
+    assert spark.read.parquet(str(tmp_path / "progress")).agg(F.sum("dropped_late")).collect()[0][0] == 1
 
 
 def test_stopped_query_continues(spark, tmp_path):
@@ -94,17 +98,35 @@ def test_replay_files_have_bounded_size(spark, tmp_path):
     assert sizes == [5, 10, 10]
 
 
-def test_progress_listener_follows_a_query(spark, tmp_path):
-    log = st.ProgressLog()
-    spark.streams.addListener(log)
-    try:
-        write_files(spark, str(tmp_path / "in"), BATCHES)
-        _, query = counts(spark, str(tmp_path / "in"), str(tmp_path / "out"), "12 hours")
-        key = str(query.id)
-        for _ in range(100):
-            if log.states.get(key) == "done":
-                break
-            time.sleep(0.1)
-        assert log.states[key] == "done" and log.rows[key] == 6
-    finally:
-        spark.streams.removeListener(log)
+def test_no_progress_of_a_long_run_is_lost(spark, tmp_path):
+    write_files(spark, str(tmp_path / "in"), [[trip(1, 5, i)] for i in range(130)])
+    schema = spark.createDataFrame([], SCHEMA).schema
+    with st.ProgressLog(spark) as log:
+        query = st.start_append(st.read_files(spark, str(tmp_path / "in"), schema, files_per_batch=1), str(tmp_path / "out"))
+        query.awaitTermination()
+        log.wait(query)
+    assert sum(r[3] for r in log.rows) == 130 and len({r[2] for r in log.rows if r[2] is not None}) >= 130
+
+
+def test_failed_query_is_an_error(spark, tmp_path):
+    write_files(spark, str(tmp_path / "in"), BATCHES[:1])
+    stream = st.read_files(spark, str(tmp_path / "in"), spark.createDataFrame([], SCHEMA).schema)
+    with st.ProgressLog(spark) as log:
+        query = st.start_append(stream.withColumn("x", F.raise_error(F.lit("broken row")).cast("int")), str(tmp_path / "out"))
+        with pytest.raises(StreamingQueryException):
+            query.awaitTermination()
+        log.wait(query)
+    assert log.rows[-1][6] == "error" and "broken row" in log.rows[-1][7]
+
+
+def test_compaction_keeps_the_table(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    write_files(spark, folder, BATCHES[:2])
+    got, _ = counts(spark, folder, out, "12 hours")
+    before = as_dict(got)
+    st.compact(spark, out, got.schema, ["PULocationID", "window_start"])
+    assert as_dict(st.upserted(spark, out, got.schema, ["PULocationID", "window_start"])) == before
+    extra = str(tmp_path / "more")
+    write_files(spark, extra, BATCHES[2:])
+    os.rename(os.path.join(extra, "part-0.parquet"), os.path.join(folder, "part-9.parquet"))
+    assert as_dict(counts(spark, folder, out, "12 hours")[0]) == {(1, 5): 3, (1, 6): 1, (2, 9): 2}

@@ -88,7 +88,7 @@ def _evening_parts(spark, sf_dir):
 EVENING_ROWS = f"SELECT *, {SPLIT} AS split FROM special WHERE hour >= 17"
 
 
-@query("model_evening_tweedie", LEARNED, _learned_sql(EVENING_ROWS, "baseline_blend", ["tweedie"]), "special bounds")
+@query("model_evening_pair", LEARNED, _learned_sql(EVENING_ROWS, "baseline_blend", ["tweedie"]), "special bounds")
 def _(spark, sf_dir):
     parts = _evening_parts(spark, sf_dir)
     tweedie = models.fit_tweedie(parts["train"], fixed.EVENING_FEATURES)

@@ -6,10 +6,12 @@ import os
 
 from pyspark.sql import functions as F
 
+from zonecast.functions.scalar import py_round
 from zonecast.operators import clean
-from zonecast.plans.adapters import table, trip_columns
-from zonecast.plans.catalog.base import query
-from zonecast.session import scratch_path
+from zonecast.plans.adapters import table, trip_columns, trips
+from zonecast.plans.catalog.base import STRICT_RULES, TABLES, query
+from zonecast.plans.catalog.cleaning import ADAPTIVE
+from zonecast.session import materialize, scratch_path
 from zonecast.streaming import trips as st
 
 
@@ -44,12 +46,42 @@ def _(spark, sf_dir):
     return st.appended(spark, path, out.schema)
 
 
+#: Clean trips of any table of events.
+STRICT_SQL = f"SELECT * FROM ({TABLES['trips'][1].replace('FROM events', 'FROM {{source}}')}) WHERE {' AND '.join(f'({r})' for r in STRICT_RULES)}".replace("{{source}}", "{source}")
+#: Days on which the replayed files begin: three slices of the month, each read by a run of its own.
+CUTS = ["2024-01-01", "2024-01-11", "2024-01-21", "2024-12-31"]
+
+
+def _replay(spark, sf_dir, path, start, slices=None, name=None):
+    """Runs a query once per slice of the events, in order: state and watermark go from run to run through its checkpoint."""
+    events = table(spark, sf_dir, "events")
+    slices = slices or [events.filter((F.col("ts") >= a) & (F.col("ts") < b)) for a, b in zip(CUTS[:-1], CUTS[1:])]
+    files = os.path.join(path, "files")
+    with st.ProgressLog(spark) as log:
+        for rows in slices:
+            rows.write.mode("append").parquet(files)
+            running = start(st.read_files(spark, files, events.schema))
+            _finish(running)
+            log.wait(running)
+        log.save(os.path.join(path, "progress"))
+    return spark.read.parquet(os.path.join(path, "progress"))
+
+
+def _strict(stream):
+    return clean.apply_rules(stream.select(*trip_columns()), clean.strict_rules())
+
+
+def _counted(spark, path, like):
+    return st.upserted(spark, path, like.schema, ["PULocationID", "window_start"])
+
+
 @query("stream_hourly_demand", "PULocationID:l window_start:t window_end:t trip_count:l", "SELECT * FROM demand", "demand")
 def _(spark, sf_dir):
-    counts = st.hourly_counts(st.with_event_time(clean.apply_rules(_trips(spark, sf_dir), clean.strict_rules()), delay="40 days"))
+    """In order, a watermark of an hour loses nothing, and state older than that is dropped."""
     path = scratch_path(spark, "stream-gold")
-    _finish(st.start_upsert(counts, path))
-    return st.upserted(spark, path, counts.schema, ["PULocationID", "window_start"])
+    counts = lambda stream: st.hourly_counts(st.with_event_time(_strict(stream), delay="1 hour"))
+    _replay(spark, sf_dir, path, lambda stream: st.start_upsert(counts(stream), path))
+    return _counted(spark, path, counts(table(spark, sf_dir, "events")))
 
 
 @query(
@@ -59,11 +91,35 @@ def _(spark, sf_dir):
     "clean",
 )
 def _(spark, sf_dir):
-    events = st.with_event_time(clean.apply_rules(_trips(spark, sf_dir), clean.strict_rules()), delay="40 days")
-    counts = st.hourly_counts(events, size="3 hours", slide="1 hour")
     path = scratch_path(spark, "stream-sliding")
-    _finish(st.start_upsert(counts, path))
-    return st.upserted(spark, path, counts.schema, ["PULocationID", "window_start"])
+    counts = lambda stream: st.hourly_counts(st.with_event_time(_strict(stream), delay="1 hour"), size="3 hours", slide="1 hour")
+    _replay(spark, sf_dir, path, lambda stream: st.start_upsert(counts(stream), path))
+    return _counted(spark, path, counts(table(spark, sf_dir, "events")))
+
+
+HELD = "event_id % 10 = 0 AND ts < TIMESTAMP '2024-01-11'"
+LATE_CLEAN = STRICT_SQL.format(source=f"(SELECT * FROM events WHERE {HELD})")
+
+
+@query(
+    "stream_late_rows",
+    "on_time:l windows:l dropped_windows:l input_rows:l",
+    f"""SELECT (SELECT count(*) FROM clean) - (SELECT count(*) FROM ({LATE_CLEAN})) AS on_time,
+     (SELECT count(*) FROM (SELECT DISTINCT "PULocationID", date_trunc('hour', tpep_pickup_datetime) FROM ({STRICT_SQL.format(source=f"(SELECT * FROM events WHERE NOT ({HELD}))")}))) AS windows,
+     (SELECT count(*) FROM (SELECT DISTINCT "PULocationID", date_trunc('hour', tpep_pickup_datetime) FROM ({LATE_CLEAN}))) AS dropped_windows, (SELECT count(*) FROM events) AS input_rows""",
+    "clean",
+)
+def _(spark, sf_dir):
+    """A tenth of the first slice arrives last, weeks behind the watermark: it is dropped, and counted by window and zone."""
+    path = scratch_path(spark, "stream-late")
+    events = table(spark, sf_dir, "events")
+    held = F.expr(HELD)
+    counts = lambda stream: st.hourly_counts(st.with_event_time(_strict(stream), delay="1 hour"))
+    slices = [events.filter((F.col("ts") < CUTS[1]) & ~held), events.filter(F.col("ts") >= CUTS[1]), events.filter(held)]
+    progress = _replay(spark, sf_dir, path, lambda stream: st.start_upsert(counts(stream), path), slices)
+    kept = _counted(spark, path, counts(events)).agg(F.sum("trip_count").alias("on_time"), F.count(F.lit(1)).alias("windows"))
+    seen = progress.agg(F.struct(F.sum("dropped_late").alias("dropped_windows"), F.sum("input_rows").alias("input_rows")).alias("p")).scalar()
+    return kept.withColumn("p", seen).select("on_time", "windows", "p.*")
 
 
 @query(
@@ -72,45 +128,68 @@ def _(spark, sf_dir):
     "SELECT user_id, count(*) AS n FROM (SELECT DISTINCT user_id, event_type FROM events) GROUP BY 1",
 )
 def _(spark, sf_dir):
-    schema = table(spark, sf_dir, "events").schema
-    stream = st.with_event_time(st.read_files(spark, sf_dir, schema, glob="events.parquet"), ts="ts", delay="400 days")
-    unique = st.deduplicate(stream, ["user_id", "event_type"]).select("user_id", "event_type")
+    """One row per user and type for good: such keys have no end, so their state is kept for the whole range of times."""
     path = scratch_path(spark, "stream-unique")
-    _finish(st.start_append(unique, path))
-    return st.appended(spark, path, unique.schema).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    unique = lambda stream: st.deduplicate(st.with_event_time(stream, ts="ts", delay="400 days"), ["user_id", "event_type"]).select("user_id", "event_type")
+    _replay(spark, sf_dir, path, lambda stream: st.start_append(unique(stream), path))
+    return st.appended(spark, path, unique(table(spark, sf_dir, "events")).schema).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("stream_redelivered", "event_type:s n:l total:d4", "SELECT event_type, count(*) AS n, sum(value) AS total FROM events GROUP BY 1")
+def _(spark, sf_dir):
+    """Every event is delivered twice; a watermark of an hour is enough to drop the second copies."""
+    path = scratch_path(spark, "stream-redelivered")
+    events = table(spark, sf_dir, "events")
+    slices = [p.unionByName(p) for p in (events.filter((F.col("ts") >= a) & (F.col("ts") < b)) for a, b in zip(CUTS[:-1], CUTS[1:]))]
+    unique = lambda stream: st.deduplicate(st.with_event_time(stream, ts="ts", delay="1 hour"), ["event_id"]).drop("event_time")
+    _replay(spark, sf_dir, path, lambda stream: st.start_append(unique(stream), path), slices)
+    rows = st.appended(spark, path, events.schema)
+    return rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
+
+
+@query(
+    "stream_adaptive_silver",
+    "tpep_pickup_datetime:t PULocationID:i trip_distance:f fare_amount:f passenger_count:f",
+    f"SELECT * FROM trips WHERE {ADAPTIVE}",
+    "trips",
+)
+def _(spark, sf_dir):
+    """The rules are decided once from the stored trips, then applied to every micro-batch."""
+    path = scratch_path(spark, "stream-adaptive")
+    known = clean.coerce_trips(trips(spark, sf_dir))
+    profile = materialize(clean.adaptive_profile(known, 2024, 1), "profile")
+    cleaned = lambda stream: st.adaptive_stream(stream.select(*trip_columns()), 2024, 1, profile)
+    _replay(spark, sf_dir, path, lambda stream: st.start_append(cleaned(stream), path))
+    return st.appended(spark, path, cleaned(table(spark, sf_dir, "events")).schema)
 
 
 @query(
     "stream_filter_progress",
-    "rows_in:l rows_out:l filtered_pct:d",
-    "SELECT (SELECT count(*) FROM trips) AS rows_in, (SELECT count(*) FROM clean) AS rows_out, CAST(round_even(round((1 - (SELECT count(*) FROM clean)::DOUBLE / (SELECT count(*) FROM trips)) * 100, 9), 1) AS DOUBLE) AS filtered_pct",
+    "rows_in:l rows_out:l filtered_pct:d runs:l",
+    "SELECT (SELECT count(*) FROM trips) AS rows_in, (SELECT count(*) FROM clean) AS rows_out, CAST(round_even(round((1 - (SELECT count(*) FROM clean)::DOUBLE / (SELECT count(*) FROM trips)) * 100, 9), 1) AS DOUBLE) AS filtered_pct, 3 AS runs",
     "trips clean",
 )
 def _(spark, sf_dir):
-    from zonecast.functions.scalar import py_round
-
-    out = st.silver_stream(_trips(spark, sf_dir))
     path = scratch_path(spark, "stream-progress")
-    running = st.start_append(out, path)
-    _finish(running)
-    rows_in = st.progress_frame(spark, running).agg(F.sum("input_rows").alias("n")).scalar()
-    written = st.appended(spark, path, out.schema).agg(F.count(F.lit(1)).alias("rows_out"))
+    silver = lambda stream: st.silver_stream(stream.select(*trip_columns()))
+    progress = _replay(spark, sf_dir, path, lambda stream: st.start_append(silver(stream), path))
+    seen = progress.agg(F.struct(F.sum("input_rows").alias("rows_in"), F.count_if(F.col("state") == "done").alias("runs")).alias("p")).scalar()
+    written = st.appended(spark, path, silver(table(spark, sf_dir, "events")).schema).agg(F.count(F.lit(1)).alias("rows_out"))
     share = (F.lit(1.0) - F.col("rows_out") / F.col("rows_in")) * 100
-    return written.withColumn("rows_in", rows_in).select("rows_in", "rows_out", py_round(share, 1).alias("filtered_pct"))
-
-
+    return written.withColumn("p", seen).select("rows_out", "p.*").withColumn("filtered_pct", py_round(share, 1))
 
 
-@query("stream_replayed_batches", "rows:l batches:l total:d4", "SELECT count(*) AS rows, ceil(count(*) / 2000.0) AS batches, sum(fare_amount) AS total FROM trips", "trips")
+@query("stream_replayed_batches", "rows:l enough_batches:b total:d4", "SELECT count(*) AS rows, TRUE AS enough_batches, sum(fare_amount) AS total FROM trips", "trips")
 def _(spark, sf_dir):
+    """Files of 2000 rows at most from as many writers as the scan has, one file per micro-batch."""
     path = scratch_path(spark, "replay")
-    # Files of 2000 rows from one writer, one file per micro-batch.
     source = table(spark, sf_dir, "events")
-    st.write_replay(source.coalesce(1), os.path.join(path, "files"), rows_per_file=2000)
+    st.write_replay(source, os.path.join(path, "files"), rows_per_file=2000)
     stream = st.read_files(spark, os.path.join(path, "files"), source.schema, files_per_batch=1).select(*trip_columns())
     _finish(st.start_table_replay(stream, path))
     written = spark.read.parquet(os.path.join(path, "data"))
-    return written.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("batch").alias("batches"), F.sum("fare_amount").alias("total"))
+    sums = written.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("batch").alias("batches"), F.sum("fare_amount").alias("total"))
+    return sums.withColumn("enough_batches", F.col("batches") >= F.ceil(F.col("rows") / 2000))
 
 
 @query("stream_chained_tables", "PULocationID:l window_start:t trip_count:l", "SELECT * FROM demand", "demand")
@@ -120,6 +199,7 @@ def _(spark, sf_dir):
     _finish(st.start_append(bronze, os.path.join(path, "bronze")))
     silver = st.silver_stream(st.read_files(spark, os.path.join(path, "bronze", "data"), bronze.schema))
     _finish(st.start_append(silver, os.path.join(path, "silver")))
+    # One run reads the whole silver table here, in no order: the watermark must cover its range.
     events = st.with_event_time(st.read_files(spark, os.path.join(path, "silver", "data"), silver.schema), delay="40 days")
     counts = st.hourly_counts(events)
     _finish(st.start_upsert(counts, os.path.join(path, "gold")))

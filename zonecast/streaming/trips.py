@@ -8,13 +8,14 @@ it stopped, also after losing executors.
 from __future__ import annotations
 
 import os
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from zonecast import rules as fixed
-from zonecast.operators.clean import PICKUP, Rules, add_trip_columns, apply_rules, strict_rules
+from zonecast.operators.clean import PICKUP, Rules, adaptive_clean, add_trip_columns, apply_rules, strict_rules
 from zonecast.sources.bronze import audit, normalize
 
 ZONE_KEY = "PULocationID"
@@ -30,12 +31,6 @@ def read_files(spark: SparkSession, path: str, schema: T.StructType, files_per_b
     return reader.parquet(path)
 
 
-def read_kafka(spark: SparkSession, servers: str, topic: str, schema: T.StructType) -> DataFrame:
-    """A stream of JSON records from Kafka (needs the Kafka connector on the class path)."""
-    raw = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic).load()
-    return raw.select(F.from_json(F.col("value").cast("string"), schema).alias("r")).select("r.*")
-
-
 def write_replay(df: DataFrame, path: str, rows_per_file: int = 10_000) -> None:
     """A table as a folder of files of at most ``rows_per_file`` rows, to be replayed as a stream."""
     df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(path)
@@ -58,6 +53,11 @@ def bronze_stream(stream: DataFrame) -> DataFrame:
     return audit(normalize(stream), "bronze")
 
 
+def adaptive_stream(stream: DataFrame, year: int, month: int, profile: DataFrame) -> DataFrame:
+    """Cleaning with the rules a profile of known trips decided on; the stream's own rows are not looked at first."""
+    return adaptive_clean(stream, year, month, profile=profile)
+
+
 def silver_stream(stream: DataFrame, rule_set: Rules | None = None) -> DataFrame:
     """Row-wise cleaning: only new rows are read, nothing is rewritten."""
     cleaned = add_trip_columns(apply_rules(stream, strict_rules() if rule_set is None else rule_set))
@@ -124,40 +124,75 @@ def start_table_replay(stream: DataFrame, path: str) -> StreamingQuery:
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", state).trigger(availableNow=True).start()
 
 
-PROGRESS_SCHEMA = "name string, batch_id long, input_rows long, rows_per_second double, dropped_late long, state string"
+PROGRESS_SCHEMA = "run string, name string, batch_id long, input_rows long, rows_per_second double, dropped_late long, state string, error string"
 
 
-def progress_rows(query: StreamingQuery) -> list[tuple]:
-    """Progress of a finished query, one tuple per micro-batch."""
-    rows = []
-    for p in query.recentProgress:
-        late = sum(int(o.numRowsDroppedByWatermark) for o in p.stateOperators)
-        rows.append((query.name, int(p.batchId), int(p.numInputRows), float(p.processedRowsPerSecond or 0.0), late, "done"))
-    return rows
+class ProgressLog(StreamingQueryListener):
+    """Progress and end of the queries of a session, kept as rows: one per micro-batch, and a last one with the state
+    ``done`` or ``error`` (and its message). Nothing of a long run is forgotten; ``save`` appends the rows to a table.
 
+    Use as a context manager: it is registered on entry and removed on exit.
+    """
 
-class ProgressLog(StreamingQueryListener):
-    """Keeps state and progress of all queries of a session: waiting, running, done or error."""
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.rows: list[tuple] = []
+        self._names: dict[str, str | None] = {}
+        self._ended: dict[str, threading.Event] = {}
+        self._lock = threading.Lock()
 
-    def __init__(self) -> None:
-        self.states: dict[str, str] = {}
-        self.rows: dict[str, int] = {}
+    def __enter__(self) -> ProgressLog:
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.spark.streams.removeListener(self)
+
+    def _end(self, run: str) -> threading.Event:
+        with self._lock:
+            return self._ended.setdefault(run, threading.Event())
 
     def onQueryStarted(self, event) -> None:
-        self.states[str(event.id)] = "waiting"
-        self.rows[str(event.id)] = 0
+        self._names[str(event.runId)] = event.name
+        self._end(str(event.runId))
 
     def onQueryProgress(self, event) -> None:
-        key = str(event.progress.id)
-        self.states[key] = "running"
-        self.rows[key] = self.rows.get(key, 0) + int(event.progress.numInputRows)
+        p = event.progress
+        late = sum(int(o.numRowsDroppedByWatermark) for o in p.stateOperators)
+        self.rows.append((str(p.runId), p.name, int(p.batchId), int(p.numInputRows), float(p.processedRowsPerSecond or 0.0), late, "running", None))
 
     def onQueryIdle(self, event) -> None:
-        self.states.setdefault(str(event.id), "waiting")
+        pass
 
     def onQueryTerminated(self, event) -> None:
-        self.states[str(event.id)] = "error" if event.exception else "done"
+        run = str(event.runId)
+        state = "error" if event.exception else "done"
+        self.rows.append((run, self._names.get(run), None, 0, 0.0, 0, state, event.exception))
+        self._end(run).set()
+
+    def wait(self, query: StreamingQuery, seconds: float = 60.0) -> None:
+        """Until the end of a terminated query has been reported (events arrive a little later)."""
+        if not self._end(str(query.runId)).wait(seconds):
+            raise TimeoutError(f"no end of {query.name or query.id} within {seconds} s")
 
+    def frame(self) -> DataFrame:
+        return self.spark.createDataFrame(list(self.rows), PROGRESS_SCHEMA)
 
-def progress_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    return spark.createDataFrame(progress_rows(query), PROGRESS_SCHEMA)
+    def save(self, path: str) -> None:
+        self.frame().write.mode("append").parquet(path)
+
+
+def compact(spark: SparkSession, path: str, schema: T.StructType, keys: list[str]) -> None:
+    """Shrinks the log of ``start_upsert`` to one row per key, between two runs of its query.
+
+    The rows move to a folder of the last batch's number, which a later batch exceeds; older folders are emptied by the same write.
+    """
+    data = os.path.join(path, "data")
+    last = spark.read.parquet(data).agg(F.max("batch")).first()[0]
+    if last is None:
+        return
+    kept = upserted(spark, path, schema, keys)
+    staged = os.path.join(path, f"_compact-{uuid.uuid4().hex}")
+    kept.withColumn("batch", F.lit(last).cast("long")).write.parquet(staged)
+    whole = spark.read.parquet(staged)
+    whole.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("batch").parquet(data)
