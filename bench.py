@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import json
 import os
+import shutil
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -23,8 +25,9 @@ def main() -> None:
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
+    folder = tempfile.mkdtemp(prefix="zonecast-bench-")
     spark = build_session(
-        "bench", f"local[{cpus}]", **{"spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false", "spark.driver.memory": "16g"}
+        "bench", f"local[{cpus}]", **{"spark.checkpoint.dir": folder, "spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false", "spark.driver.memory": "16g"}
     )
     spark.sparkContext.setLogLevel("ERROR")
     registered = queries()
@@ -41,6 +44,7 @@ def main() -> None:
     }
     print(json.dumps(result))
     spark.stop()
+    shutil.rmtree(folder, ignore_errors=True)
 
 
 if __name__ == "__main__":

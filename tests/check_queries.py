@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -71,7 +72,7 @@ def main() -> int:
 
     sf_dir = sys.argv[1]
     wanted = sys.argv[2:]
-    spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"})
+    spark = build_session("check", "local[8]", **{"spark.checkpoint.dir": tempfile.mkdtemp(prefix="zonecast-check-"), "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)
     oracle = oracle_sql()

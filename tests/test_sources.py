@@ -2,6 +2,7 @@ import os
 from datetime import datetime
 
 import pytest
+from pyspark.errors import AnalysisException
 
 from zonecast.session import materialize, shared_dir
 from zonecast.sources import bronze, inspect, sinks
@@ -14,8 +15,10 @@ def test_ingest_unites_drifting_schemas_and_skips_corrupt_files(spark, tmp_path)
     os.makedirs(c)
     with open(os.path.join(c, "part-0.parquet"), "wb") as f:
         f.write(b"not a parquet file")
-    df, skipped = bronze.ingest(spark, [c, b, a])
-    assert skipped == [c]
+    with pytest.raises(ValueError, match="damaged"):
+        bronze.ingest(spark, [c, b, a])
+    df, damaged = bronze.ingest(spark, [c, b, a], skip_damaged=True)
+    assert [(r["path"], "not a Parquet file" in r["reason"]) for r in damaged.collect()] == [(c, True)]
     assert {f.name: f.dataType.simpleString() for f in df.schema.fields if not f.name.startswith("_")} == {
         "zone": "double", "fare": "double", "day": "timestamp_ntz", "flag": "string", "odd": "string",
     }
@@ -38,8 +41,9 @@ def test_files_of_one_schema_share_a_scan(spark, tmp_path):
 
 
 def test_ingest_without_any_readable_file(spark, tmp_path):
-    with pytest.raises(ValueError):
-        bronze.ingest(spark, [str(tmp_path / "none.parquet")])
+    # An absent path proves no damage, so it is an error even when damaged files may be skipped.
+    with pytest.raises(AnalysisException):
+        bronze.ingest(spark, [str(tmp_path / "none.parquet")], skip_damaged=True)
 
 
 def test_read_table_by_suffix(spark, tmp_path):

@@ -56,13 +56,34 @@ def _(spark, sf_dir):
 
 @query(
     "bronze_skips_unreadable",
-    "row_count:l skipped_files:i",
-    "SELECT count(*) AS row_count, 1 AS skipped_files FROM supplier",
+    "row_count:l damaged_files:l reasons:l",
+    "SELECT count(*) AS row_count, 1 AS damaged_files, 1 AS reasons FROM supplier",
 )
 def _(spark, sf_dir):
-    paths = [f"{sf_dir}/supplier.parquet", f"{sf_dir}/missing-2024-01.parquet"]
-    df, skipped = bronze.ingest(spark, paths, with_audit=False)
-    return df.agg(F.count(F.lit(1)).alias("row_count")).withColumn("skipped_files", F.lit(len(skipped)))
+    """Good files beside one that only calls itself Parquet; it is reported with its reason."""
+    folder = scratch_path(spark, "damaged")
+    table(spark, sf_dir, "supplier").write.parquet(f"{folder}/good")
+    # A text file stands for the damaged one: its writer, too, only needs Spark's file systems.
+    spark.range(1).select(F.lit("no parquet").alias("value")).write.text(f"{folder}/bad")
+    bad = [p for p in bronze.discover(spark, [f"{folder}/bad"], suffix=".txt")]
+    df, damaged = bronze.ingest(spark, [*bronze.discover(spark, [f"{folder}/good"]), *bad], with_audit=False, skip_damaged=True)
+    report = damaged.agg(F.struct(F.count(F.lit(1)).alias("damaged_files"), F.count("reason").alias("reasons")).alias("d")).scalar()
+    return df.agg(F.count(F.lit(1)).alias("row_count")).withColumn("d", report).select("row_count", "d.*")
+
+
+@query(
+    "context_of_fallbacks",
+    "month:s n:l",
+    """SELECT m AS month, count(*) AS n FROM (SELECT CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 'first' ELSE 'second' END AS m FROM events) WHERE m = 'first' GROUP BY 1""",
+)
+def _(spark, sf_dir):
+    """History is looked for in ordered places; only the archive of the year before holds it here."""
+    folder = scratch_path(spark, "context")
+    events = table(spark, sf_dir, "events").filter("ts < TIMESTAMP '2024-01-16'")
+    events.write.parquet(f"{folder}/archive/m-2023-05")
+    candidates = bronze.context_candidates(2024, 5, [folder + "/new/m-{year}-{month:02d}", folder + "/archive/m-{year}-{month:02d}"])
+    found = spark.read.parquet(bronze.first_available(spark, candidates))
+    return found.agg(F.lit("first").alias("month"), F.count(F.lit(1)).alias("n"))
 
 
 @query(

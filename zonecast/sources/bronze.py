@@ -7,24 +7,22 @@ import posixpath
 from collections import defaultdict
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-TIME_TYPES = (T.TimestampType, T.TimestampNTZType, T.DateType)
-NUMBER_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
+def _unified(kind: T.DataType, time_type: str) -> str:
+    """The type a column gets, by family: times, numbers, all else as text."""
+    if isinstance(kind, T.NumericType):
+        return "double"
+    return time_type if kind.typeName() in ("date", "timestamp", "timestamp_ntz") else "string"
 
 
 def normalize(df: DataFrame, time_type: str = "timestamp_ntz") -> DataFrame:
     """Every column as timestamp, double or string; names and order kept."""
-
-    def target(field: T.StructField) -> str:
-        if isinstance(field.dataType, TIME_TYPES):
-            return time_type
-        return "double" if isinstance(field.dataType, NUMBER_TYPES) else "string"
-
-    return df.select([F.col(f"`{f.name}`").cast(target(f)).alias(f.name) for f in df.schema.fields])
+    return df.select([F.col(f"`{f.name}`").cast(_unified(f.dataType, time_type)).alias(f.name) for f in df.schema])
 
 
 def audit(df: DataFrame, layer: str, source_file: bool = False) -> DataFrame:
@@ -37,40 +35,56 @@ def audit(df: DataFrame, layer: str, source_file: bool = False) -> DataFrame:
     return df.withColumn("_ingested_at", F.current_timestamp()).withColumn("_layer", F.lit(layer))
 
 
-def probe_schemas(spark: SparkSession, paths: Iterable[str], parallel: int = 16) -> tuple[dict[str, list[str]], list[str]]:
-    """Paths grouped by schema (JSON text), and the paths whose footer cannot be read.
+#: What Spark's Parquet reader says of a file that is there but is no Parquet file.
+_CORRUPT = ("is not a Parquet file", "is too small to be", "Expected magic number", "can not read class org.apache.parquet.format")
+
+
+def _corrupt(error: Exception) -> str | None:
+    """The reason if an error proves that a file is damaged; other errors (absent, denied, interrupted) prove nothing."""
+    text = str(error)
+    return next((line.strip()[:500] for line in text.splitlines() if any(mark in line for mark in _CORRUPT)), None)
 
-    Only footers are read, each by a task of its own; several are in flight at a time.
+
+def probe_schemas(spark: SparkSession, paths: Iterable[str], parallel: int = 16) -> tuple[dict[str, list[str]], list[tuple[str, str]]]:
+    """Paths grouped by schema (JSON text), and the damaged ones with the reason.
+
+    Only footers are read, each by a task of its own; several are in flight at a time. An error that
+    does not prove damage is raised: a throttled or denied read must not lose a file.
     """
 
-    def schema_of(path: str) -> str | None:
+    def schema_of(path: str) -> tuple[str | None, str | None]:
         try:
-            return spark.read.parquet(path).schema.json()
-        except (PySparkException, Py4JJavaError, OSError):
-            return None
+            return spark.read.parquet(path).schema.json(), None
+        except (PySparkException, Py4JJavaError) as error:
+            reason = _corrupt(error)
+            if reason is None:
+                raise
+            return None, reason
 
     ordered = sorted(paths)
     groups: dict[str, list[str]] = defaultdict(list)
-    skipped: list[str] = []
+    damaged: list[tuple[str, str]] = []
     with ThreadPoolExecutor(max_workers=parallel) as pool:
-        for path, schema in zip(ordered, pool.map(schema_of, ordered)):
+        for path, (schema, reason) in zip(ordered, pool.map(schema_of, ordered)):
             if schema is None:
-                skipped.append(path)
+                damaged.append((path, reason))
             else:
                 groups[schema].append(path)
-    return dict(groups), skipped
+    return dict(groups), damaged
 
 
-def ingest(spark: SparkSession, paths: Sequence[str], with_audit: bool = True) -> tuple[DataFrame, list[str]]:
-    """Union of parquet files whose schemas drift; returns the table and the skipped paths.
+def ingest(spark: SparkSession, paths: Sequence[str], with_audit: bool = True, skip_damaged: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Union of parquet files whose schemas drift, and a table (path, reason) of the damaged ones.
 
-    Only footers are read while planning. Files of equal schema share one scan, read with their
-    own schema, so the vectorised reader stays on and the plan has one branch per schema, not
+    A damaged file is an error unless ``skip_damaged``. Only footers are read while planning. Files of equal
+    schema share one scan, read with their own schema, so the vectorised reader stays on and the plan has one branch per schema, not
     one per file.
     """
-    groups, skipped = probe_schemas(spark, paths)
+    groups, damaged = probe_schemas(spark, paths)
+    if damaged and not skip_damaged:
+        raise ValueError(f"{len(damaged)} damaged file(s), first: {damaged[0]}")
     if not groups:
-        raise ValueError(f"no readable parquet file among {len(skipped)} path(s)")
+        raise ValueError(f"no readable parquet file among {len(damaged)} path(s)")
     table = None
     for schema_text, files in groups.items():
         schema = T.StructType.fromJson(json.loads(schema_text))
@@ -82,7 +96,7 @@ def ingest(spark: SparkSession, paths: Sequence[str], with_audit: bool = True) -
     if with_audit:
         names = [c for c in table.columns if c != "_source_file"] + ["_source_file"]
         table = audit(table.select(*names), "bronze")
-    return table, skipped
+    return table, spark.createDataFrame(damaged, "path string, reason string")
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -95,31 +109,29 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     raise ValueError(f"unsupported format: {path}")
 
 
-def _file_system(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
+def _listed(spark: SparkSession, root: str) -> DataFrame | None:
+    """Paths of all files below ``root`` by a distributed listing (no contents are read), None if it does not exist."""
+    try:
+        return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists on whatever file system it names."""
-    fs, hadoop_path = _file_system(spark, path)
-    return fs.exists(hadoop_path)
+    return _listed(spark, path) is not None
 
 
 def discover(spark: SparkSession, roots: Sequence[str], suffix: str = ".parquet") -> list[str]:
-    """Data files below the roots: missing roots skipped, each file once, sorted by file name."""
-    found: dict[str, str] = {}
-    for root in roots:
-        fs, hadoop_path = _file_system(spark, root)
-        if not fs.exists(hadoop_path):
-            continue
-        listing = fs.listFiles(hadoop_path, True)
-        while listing.hasNext():
-            path = listing.next().getPath()
-            if path.getName().endswith(suffix):
-                found.setdefault(fs.resolvePath(path).toString(), path.getName())
-    return sorted(found, key=lambda p: (found[p], p))
+    """Data files below the roots: missing roots and empty files skipped, each file once, sorted by file name."""
+    listed = [f for f in (_listed(spark, r) for r in roots) if f is not None]
+    if not listed:
+        return []
+    name = F.element_at(F.split("path", "/"), -1)
+    files = reduce(lambda a, b: a.unionByName(b), listed).filter(F.col("path").endswith(suffix)).distinct()
+    return [r["path"] for r in files.orderBy(name, "path").collect()]
 
 
 def context_candidates(year: int, month: int, templates: Sequence[str]) -> list[str]:
