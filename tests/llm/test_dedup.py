@@ -91,7 +91,7 @@ def test_simhash_of_documents(spark, sf_dir, texts):
     assert found == {d: (format(f, "016x"), ids[r]) for d, f, r in zip(ids, fps, roots)}
 
 
-@pytest.mark.parametrize("hot", [2048, 3])
+@pytest.mark.parametrize("hot", [simhash.HOT, 3])
 def test_links_among_crowded_fingerprints(spark, hot):
     rng = np.random.default_rng(4)
     centres = rng.integers(0, 2**63, 6, dtype=np.uint64)
@@ -114,6 +114,13 @@ def test_links_among_crowded_fingerprints(spark, hot):
     assert len(set().union(*groups.values())) == len(groups)
 
 
+def test_forest_of_many_links_is_built_in_parts(monkeypatch):
+    monkeypatch.setattr(simhash, "LINKS_HELD", 50)
+    fp = np.sort(np.array([sum(1 << b for b in range(8) if i >> b & 1) for i in range(256)] + [0xFFF << 40], np.uint64))
+    a, b = simhash.forest(np.zeros(257, np.int64), fp, 2)
+    assert len(a) == 255 and set(b.tolist()) == {0}
+
+
 def test_allocation_is_the_cheapest():
     costs = [{-1: 0.0, 0: 5.0, 1: 9.0}, {-1: 0.0, 0: 1.0, 1: 2.0}, {-1: 0.0, 0: 30.0, 1: 31.0}]
     assert simhash.allocate(costs, 0) == (7.0, [0, 1, -1])

@@ -37,6 +37,12 @@ from zonecast.session import materialize
 
 BITS = 64
 SEED = 42
+#: Largest bucket whose nodes are compared with each other.
+HOT = 8192
+#: Cost of sending one row, in comparisons of two fingerprints.
+ROW_COST = 100.0
+#: Links held at once while a bucket's forest is built.
+LINKS_HELD = 1 << 21
 _LANES = np.uint64(0x0101010101010101)
 
 
@@ -138,8 +144,11 @@ def _mask(bits: list[int]) -> int:
     return m - (1 << 64) if m >> 63 else m
 
 
-def plan(nodes: DataFrame, n: int, distance: int = 2, choices: tuple[int, ...] = (2, 3, 4)) -> list[tuple[list[int], int]]:
-    """(bits, threshold) of each partition in use."""
+def plan(nodes: DataFrame, n: int, distance: int = 2, choices: tuple[int, ...] = (2, 3, 4), hot: int = HOT) -> list[tuple[list[int], int]]:
+    """(bits, threshold) of each partition in use.
+
+    A bucket costs its comparisons, or, where it is too large for them, the rows it is sent as instead.
+    """
     together = co_occurrence(nodes)
     corr = correlation(together, n)
     share = np.diag(together) / max(n, 1)
@@ -147,7 +156,8 @@ def plan(nodes: DataFrame, n: int, distance: int = 2, choices: tuple[int, ...] =
     tries = {m: grouped_bits(corr, m) for m in choices}
     values = [F.struct(F.lit(m).alias("m"), F.lit(i).alias("i"), F.col("fp").bitwiseAND(F.lit(_mask(bits))).alias("v")) for m in tries for i, bits in enumerate(tries[m])]
     sizes = nodes.select(F.explode(F.array(*values)).alias("x")).groupBy("x.m", "x.i", "x.v").agg(F.count(F.lit(1)).alias("c"))
-    pairs = sizes.groupBy("m", "i").agg(F.sum(F.col("c").cast("double") * (F.col("c") - 1) / 2).alias("pairs")).collect()
+    work = F.when(F.col("c") <= hot, F.col("c").cast("double") * (F.col("c") - 1) / 2).otherwise(ROW_COST * (BITS + 1) * F.col("c"))
+    pairs = sizes.groupBy("m", "i").agg(F.sum(work).alias("pairs")).collect()
     equal = {(r["m"], r["i"]): r["pairs"] for r in pairs}
     best = None
     for m, groups in tries.items():
@@ -155,7 +165,7 @@ def plan(nodes: DataFrame, n: int, distance: int = 2, choices: tuple[int, ...] =
         for i, bits in enumerate(groups):
             near = 1 + float(np.sum((1 - agree[bits]) / agree[bits]))
             found = equal.get((m, i), 0.0)
-            costs.append({-1: 0.0, 0: n + found, 1: n * (len(bits) + 1) + found * near})
+            costs.append({-1: 0.0, 0: ROW_COST * n + found, 1: ROW_COST * n * (len(bits) + 1) + found * near})
         cost, chosen = allocate(costs, distance - m + 1)
         if best is None or cost < best[0]:
             best = (cost, [(bits, t) for bits, t in zip(groups, chosen) if t >= 0])
@@ -199,7 +209,7 @@ def forest(key: np.ndarray, fp: np.ndarray, distance: int) -> tuple[np.ndarray,
     n = len(key)
     u, v = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     at = np.arange(n)
-    d = 0
+    d = held = 0
     while len(at):
         # Rows that have another one of their bucket d places on.
         d += 1
@@ -207,6 +217,11 @@ def forest(key: np.ndarray, fp: np.ndarray, distance: int) -> tuple[np.ndarray,
         at = at[key[at] == key[at + d]]
         close = at[np.bitwise_count(fp[at] ^ fp[at + d]) <= distance]
         u.append(close), v.append(close + d)
+        held += len(close)
+        if held > LINKS_HELD:  # a forest says the same with fewer links
+            label = roots(n, np.concatenate(u), np.concatenate(v))
+            moved = np.flatnonzero(label != np.arange(n))
+            u, v, held = [moved], [label[moved]], len(moved)
     u, v = np.concatenate(u), np.concatenate(v)
     label = roots(n, u, v)
     moved = np.flatnonzero(label != np.arange(n))
@@ -242,11 +257,11 @@ def around(nodes: DataFrame) -> DataFrame:
     return met.select(F.explode("members").alias("a"), "b").where("a != b").distinct()
 
 
-def links(nodes: DataFrame, distance: int = 2, hot: int = 2048) -> DataFrame:
+def links(nodes: DataFrame, distance: int = 2, hot: int = HOT) -> DataFrame:
     """Edges (a, b) whose components are those of all pairs of nodes within ``distance`` bits."""
     if distance > 2:
         raise ValueError("the way for hot buckets holds for distances up to 2")
-    partitions = plan(nodes, nodes.count(), distance)
+    partitions = plan(nodes, nodes.count(), distance, hot=hot)
     probes = materialize(nodes.select("fp").mapInArrow(_probes(partitions), "key long, fp long"), "probes")
     sizes = materialize(probes.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
     cold = probes.join(sizes.where(F.col("n") <= hot).select("key"), "key")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecast.session import materialize
+from zonecast.session import scratch_path
 
 #: Row number added by ``numbered``; the name is not one a corpus table would use.
 ROW = "_zc_row"
@@ -19,9 +19,12 @@ def numbered(docs: DataFrame) -> DataFrame:
     """``docs`` written once with a unique row number.
 
     Numbers drawn in a plan that is run twice need not agree; those of a written table do. The
-    number, unlike ``doc_id``, is unique and never null.
+    number, unlike ``doc_id``, is unique and never null. Texts are the bulk of it, so it is packed tightly.
     """
-    return materialize(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+    path = scratch_path(docs.sparkSession, "numbered")
+    rows = docs.withColumn(ROW, F.monotonically_increasing_id())
+    rows.write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def text_or_empty(name: str = "text") -> Column:
