@@ -20,7 +20,7 @@ ODD_ROWS = [
     (1, None, None, None), (2, "", "en", "a"), (3, " \t\n ", "en", "a"), (4, "one", None, "a"), (4, "one", None, "a"),
     (None, "one two three four", "en", None), (None, "one two three four", "en", None), (5, "x" * 30000, "de", "b"),
     (6, "a b c d e f g h i j k l m n o p q r s t u v " * 400, "de", "b"), (7, "A b\nc", "fr", "b"), (8, "Ab c", "fr", "c"),
-    (9, "é ü 東京 😀\x0b<|endoftext|> it's  done", "es", "c"),
+    (9, "é ü 東京 😀\x0b<|endoftext|> it's  done", "es", "c"), (10, "nul\x00 byte", "en", "c"), (11, "", None, "c"),
 ]
 ODD_SCHEMA = "doc_id long, text string, lang string, source string"
 

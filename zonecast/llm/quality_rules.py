@@ -86,12 +86,12 @@ def statistics(texts: list[bytes]) -> dict[str, np.ndarray]:
 
     def count(table: np.ndarray) -> np.ndarray:
         # The line feed that ends each text belongs to none of the tables.
-        return np.add.reduceat(table[w.data], begins, dtype=np.int64) if len(begins) else np.zeros(0, np.int64)
+        return np.add.reduceat(table[w.data[:-8]], begins, dtype=np.int64) if len(begins) else np.zeros(0, np.int64)
 
     lines = np.array([_lines(t) for t in texts], np.int64).reshape(-1, 2)
     return {
         "n_words": np.diff(w.first),
-        "word_chars": count(_IN_WORD & (np.arange(256) > 0)),
+        "word_chars": count(_IN_WORD),
         "n_symbols": count(_IS_SYMBOL),
         "n_dup_lines": lines[:, 1],
         "n_repeat_words": repeated_words(w),
