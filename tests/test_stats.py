@@ -54,3 +54,14 @@ def test_scalar_expressions(spark):
     assert [row[c] for c in "abcdefgh"] == [0.0, 10.0, 0.0, 3.0, None, 2.0, 0.12, 2.5]
     assert row["i"] == pytest.approx(1.8)
     assert str(row["j"]) == "0.0"
+
+
+def test_values_in_a_narrow_range_get_many_bins(spark):
+    values = spark.range(1_000_000).select((F.lit(0.5) + F.col("id") * 1e-8).alias("x"))
+    hist = value_histogram(values, [], "x")
+    largest, bins = hist.groupBy("bin").count().agg(F.max("count"), F.count(F.lit(1))).collect()[0]
+    assert bins >= 50 and largest <= 3 * 16_384
+    order = hist.groupBy("bin").agg(F.min("value").alias("a"), F.max("value").alias("b")).orderBy("bin").collect()
+    assert all(p["b"] < q["a"] for p, q in zip(order, order[1:]))
+    row = exact_quantiles(values, "x", {"q": 0.25}).collect()[0]
+    assert row["q"] == pytest.approx(0.5 + 249_999.75e-8, abs=1e-13)

@@ -3,8 +3,9 @@
 ``percentile`` keeps one counter per distinct value in an aggregation buffer. That is right for
 hourly counts, whose distinct values are few, and is used directly there. For continuous values
 (ratios, residuals, scores) the helpers below work on a value histogram instead: a coarse,
-order-preserving bin splits every group, per-bin totals (a bounded number per group) give each
-bin its offset, and only the bins that hold a wanted rank are ordered in detail.
+order-preserving bin splits every group, per-bin totals (few against the values) give each
+bin its offset, and only the bins that hold a wanted rank are ordered in detail. Bins are split by
+the number of values they hold: values in a narrow range get as many bins as values spread wide.
 """
 
 from __future__ import annotations
@@ -30,15 +31,33 @@ def magnitude_bin(x: Column, per_octave: int = 32) -> Column:
     return (F.signum(x) * F.floor(size)).cast("long")
 
 
-def value_histogram(df: DataFrame, keys: Sequence[str], value: str, weights: dict[str, Column] | None = None) -> DataFrame:
-    """Rows per (keys, value) with a coarse bin; combined before the shuffle."""
+#: Distinct values a bin holds, about; and the bits that number the parts of a magnitude.
+BIN_VALUES = 16_384
+PART_BITS = 24
+
+
+def value_histogram(df: DataFrame, keys: Sequence[str], value: str, weights: dict[str, Column] | None = None, bin_values: int = BIN_VALUES) -> DataFrame:
+    """Rows per (keys, value) with a bin; combined before the shuffle.
+
+    A magnitude that holds more than ``bin_values`` distinct values is cut into parts of equal width between its smallest and
+    largest value, one for each ``bin_values``. The table of magnitudes is small: a row per group and power of two, times 32.
+    """
     aggs = [expr.alias(name) for name, expr in (weights or {"n": F.count(F.lit(1))}).items()]
-    return (
+    hist = (
         df.filter(F.col(value).isNotNull())
         .groupBy(*keys, F.col(value).cast("double").alias("value"))
         .agg(*aggs)
-        .withColumn("bin", magnitude_bin(F.col("value")))
+        .withColumn("_magnitude", magnitude_bin(F.col("value")))
     )
+    place = [*keys, "_magnitude"]
+    held = hist.groupBy(*place).agg(F.count(F.lit(1)).alias("_held"), F.min("value").alias("_low"), F.max("value").alias("_high"))
+    held = held.select(*[F.col(k).alias(f"_of{i}") for i, k in enumerate(place)], "_held", "_low", "_high")
+    same = reduce(lambda a, b: a & b, [hist[k].eqNullSafe(held[f"_of{i}"]) for i, k in enumerate(place)])
+    joined = hist.join(held, same)
+    parts = F.least(F.ceil(F.col("_held") / F.lit(bin_values)), F.lit(1 << PART_BITS)).cast("double")
+    part = F.floor(F.coalesce(F.try_divide(F.col("value") - F.col("_low"), F.col("_high") - F.col("_low")), F.lit(0.0)) * parts)
+    number = F.shiftleft(F.col("_magnitude"), PART_BITS) + F.least(part, parts - 1).cast("long")
+    return joined.withColumn("bin", number).select(*hist.columns, "bin").drop("_magnitude")
 
 
 def running_totals(hist: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:

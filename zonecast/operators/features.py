@@ -327,10 +327,11 @@ def sequences(df: DataFrame, columns: Sequence[str], look_backs: Mapping[str, in
     longest = max(look_backs.values())
     item = F.struct(*[F.col(c).cast("double").alias(c) for c in columns])
     out = df.withColumn("_first", F.lag(TIME, longest).over(order))
-    for name, n in look_backs.items():
-        out = out.withColumn(name, F.collect_list(item).over(order.rowsBetween(-n, -1)))
+    # One array is collected; a row that qualifies has it whole, so the shorter ones are its ends.
+    out = out.withColumn("_all", F.collect_list(item).over(order.rowsBetween(-longest, -1)))
     unbroken = F.col("_first") == F.col(TIME) - F.expr(f"INTERVAL '{longest}' HOUR")
-    return out.filter(unbroken).select(ZONE_KEY, TIME, *keep, *look_backs.keys())
+    arrays = [F.slice("_all", -n, n).alias(name) for name, n in look_backs.items()]
+    return out.filter(unbroken).select(ZONE_KEY, TIME, *keep, *arrays)
 
 
 def lag_shift_check(df: DataFrame) -> DataFrame:

@@ -41,6 +41,11 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(*trip_columns())
 
 
+def product_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the product mart reads of the sales: every line has its order, so orders are not joined."""
+    return table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("product_id"), F.col("l_extendedprice").alias("amount"))
+
+
 def sales(spark: SparkSession, sf_dir: str, category: bool = True) -> DataFrame:
     """Order lines with their order and, if wanted, the part's type as category. The tables grow
     together, so the join strategy is left to the planner's size estimates and AQE (which also

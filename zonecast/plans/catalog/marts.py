@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from zonecast.operators import marts
-from zonecast.plans.adapters import sales
+from zonecast.plans.adapters import product_sales, sales
 from zonecast.plans.catalog.base import query, sql_table
 
 sql_table("sales", "", """SELECT l_orderkey * 10 + l_linenumber AS transaction_id, o_custkey AS customer_id, l_partkey AS product_id, l_extendedprice AS amount, l_quantity AS quantity,
@@ -43,12 +43,12 @@ def _(spark, sf_dir):
 
 @query("mart_products", "product_id:l total_revenue:d4", "SELECT product_id, sum(amount) AS total_revenue FROM sales GROUP BY 1", "sales")
 def _(spark, sf_dir):
-    return marts.product_mart(_typed(spark, sf_dir))
+    return marts.product_mart(product_sales(spark, sf_dir))
 
 
 @query("mart_products_top", "product_id:l total_revenue:d4", "SELECT product_id, sum(amount) AS total_revenue FROM sales GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5", "sales")
 def _(spark, sf_dir):
-    return marts.top_by(marts.product_mart(_typed(spark, sf_dir)), "total_revenue", "product_id")
+    return marts.top_by(marts.product_mart(product_sales(spark, sf_dir)), "total_revenue", "product_id")
 
 
 @query(
