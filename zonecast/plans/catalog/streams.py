@@ -80,8 +80,10 @@ def _(spark, sf_dir):
     """In order, a watermark of an hour loses nothing, and state older than that is dropped."""
     path = scratch_path(spark, "stream-gold")
     counts = lambda stream: st.hourly_counts(st.with_event_time(_strict(stream), delay="1 hour"))
-    _replay(spark, sf_dir, path, lambda stream: st.start_upsert(counts(stream), path))
-    return _counted(spark, path, counts(table(spark, sf_dir, "events")))
+    events = table(spark, sf_dir, "events")
+    halves = [events.filter(F.col("ts") < "2024-01-16"), events.filter(F.col("ts") >= "2024-01-16")]
+    _replay(spark, sf_dir, path, lambda stream: st.start_upsert(counts(stream), path), halves)
+    return _counted(spark, path, counts(events))
 
 
 @query(
