@@ -1,0 +1,30 @@
+from zonecast.llm import surrogates
+
+KEY = b"test"
+
+
+def replaced(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(4)
+    return {r["doc_id"]: r["text"] for r in surrogates.replace_personal_data(docs, KEY).collect()}
+
+
+def test_secret_of_signs_only_is_none(spark):
+    texts = ["Password: ________ end", "token = -------- end", "password: ___a____ end"]
+    found = replaced(spark, texts)
+    assert found[0] == texts[0] and found[1] == texts[1] and found[2] != texts[2]
+
+
+def test_exhausted_forms(spark):
+    digits = [f"{a}.{b}.{c}.{d}" for a in range(1, 10) for b in range(1, 10) for c in range(1, 10) for d in range(1, 10)][:5000]
+    mails = [f"{chr(97 + a)}@{chr(97 + b)}.org" for a in range(26) for b in range(26)][:500]
+    real = digits + mails
+    found = replaced(spark, [f"at {x} end" for x in real])
+    made = {i: t.split(" ")[1] for i, t in found.items()}
+    assert len(set(made.values())) == len(real) and not set(made.values()) & set(real)
+
+
+def test_grown_forms_are_written_whole():
+    for kind, mention in [("phone", "+49 30 123456"), ("ssn", "123-45-6789"), ("card", "4111 1111 1111 1111"), ("iban", "DE12 3456 7890")]:
+        form = surrogates.canonical(kind, mention)
+        made = surrogates.surrogate(KEY, kind, form, surrogates.KEEP_FORM)
+        assert len(made) == len(form) + 1 and surrogates.canonical(kind, surrogates.written(kind, mention, made)) == made

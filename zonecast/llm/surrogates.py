@@ -6,7 +6,8 @@
    octets for octets, first names of the same gender. A card number keeps its first digit and whether its check digit holds. The
    surrogate is drawn for the canonical form and written in the format of each mention.
 3. Collision checks: the distinct entities of the corpus are grouped by surrogate. Where several share one, or one equals a real
-   entity of its type, all but the first draw again, until no collision is left. Distinct entities so stay distinct everywhere, and one entity
+   entity of its type, all but the first draw again, until no collision is left; from attempt ``KEEP_FORM`` on surrogates are longer
+   than their form, as its space may be exhausted. A secret has a letter or digit. Distinct entities so stay distinct everywhere, and one entity
    has one surrogate everywhere.
 4. Only entities that had to draw again are sent to their documents; the planner decides by the written table's size whether by
    broadcast or by a join on ``doc_id``.
@@ -54,7 +55,7 @@ _GENDER = {t: g for g, group in ADDRESS.items() for t in group}
 _NAME = r"[^\W\d_a-zа-яß-öø-ÿ][^\W\d_]+"
 PATTERN = re.compile(
     r"(?P<email>(?<![\w.+-])\w[\w.+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)"
-    r"|\b(?i:tokens?|secret|password|passwd|api[_-]?key)\b\s*[=:]\s*[\"']?(?P<secret>[^\s\"'#$%&*!<>|]{8,})"
+    r"|\b(?i:tokens?|secret|password|passwd|api[_-]?key)\b\s*[=:]\s*[\"']?(?P<secret>(?=[^\s\"'#$%&*!<>|]*[^\W_])[^\s\"'#$%&*!<>|]{8,})"
     r"|(?P<hex>(?<![0-9A-Za-z])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![0-9A-Za-z]))"
     r"|(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d))"
     r"|(?P<iban>(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z]))"
@@ -70,6 +71,8 @@ _HINT = re.compile(rf"(?i:{'|'.join(_HINTS)})|\b(?:{_TITLES})\b")
 #: Characters looked at on either side of such a spot, on to the next white space.
 _REACH = 64
 _SPACE = re.compile(r"\s")
+#: Attempts within the form of the mention; later ones widen it, so the supply never ends.
+KEEP_FORM = 8
 TYPES = ["email", "secret", "hex", "ip", "iban", "phone", "ssn", "card", "name"]
 
 
@@ -147,6 +150,8 @@ def luhn(digits: str) -> bool:
 def surrogate(key: bytes, kind_: str, form: str, attempt: int = 0) -> str:
     """The canonical surrogate of a canonical form."""
     draws = _draws(key, kind_, form, attempt)
+    # A form whose space may be exhausted grows, by one more character every four attempts.
+    more = max(attempt - KEEP_FORM + 4, 0) // 4
     if kind_.startswith("name:"):
         _, gender, written = kind_.split(":")
         last = LAST[written]
@@ -155,22 +160,24 @@ def surrogate(key: bytes, kind_: str, form: str, attempt: int = 0) -> str:
         first = FIRST[gender, written]
         return f"{first[next(draws) % len(first)]} {family}" if " " in form else family
     if kind_ == "ip":
-        return ".".join(str([*range(1, 10)][d % 9] if len(o) == 1 else 10 + d % 90 if len(o) == 2 else 100 + d % 155) for o, d in zip(form.split("."), draws))
+        # Wider octets first, then more of them.
+        sizes = [min(len(o) + more, 3) for o in form.split(".")] + [3] * max(more - 2, 0)
+        return ".".join(str(1 + d % 9 if n == 1 else 10 + d % 90 if n == 2 else 100 + d % 155) for n, d in zip(sizes, draws))
     if kind_ == "card":
-        body = form[0] + "".join(str(next(draws) % 10) for _ in form[1:-1])
+        body = form[0] + "".join(str(next(draws) % 10) for _ in range(len(form) - 2 + more))
         valid = next(str(c) for c in range(10) if luhn(body + str(c)))
         return body + (valid if luhn(form) else str((int(valid) + 1 + next(draws) % 9) % 10))
     if kind_ == "phone" and len(form) == 11 and form[0] == "1":
-        return "1" + _plain(form[1:], draws)  # the country stays
+        return "1" + _plain(form[1:] + "0" * more, draws)  # the country stays
     if kind_ == "iban":
-        return form[:2] + "".join(str(next(draws) % 10) if c.isdigit() else _letter(c, next(draws)) for c in form[2:])
+        return form[:2] + "".join(str(next(draws) % 10) if c.isdigit() else _letter(c, next(draws)) for c in form[2:] + "0" * more)
     if kind_ == "email":
         local, _, domain = form.partition("@")
         host, _, top = domain.rpartition(".")
-        return _plain(local, draws) + "@" + _plain(host, draws) + "." + top
+        return _plain(local + "a" * more, draws) + "@" + _plain(host, draws) + "." + top
     if kind_ == "secret" and re.fullmatch("[0-9a-f]+", form):
-        return "".join("0123456789abcdef"[next(draws) % 16] for _ in form)
-    return _plain(form, draws)
+        return "".join("0123456789abcdef"[next(draws) % 16] for _ in range(len(form) + more))
+    return _plain(form + ("0" if form.isdigit() else "a") * more, draws)
 
 
 def _plain(form: str, draws: Iterator[int]) -> str:
@@ -181,10 +188,10 @@ def written(kind_: str, mention: str, made: str) -> str:
     """The canonical surrogate in the format of a mention."""
     if kind_ in ("phone", "ssn", "card"):
         digits = iter(made)
-        return "".join(next(digits) if c.isdigit() else c for c in mention)
+        return "".join(next(digits) if c.isdigit() else c for c in mention) + "".join(digits)
     if kind_ == "iban":
         chars = iter(made)
-        return "".join(c if c == " " else next(chars) for c in mention)
+        return "".join(c if c == " " else next(chars) for c in mention) + "".join(chars)
     if mention.isupper() and not made.isupper():
         return made.upper()
     return made
@@ -212,12 +219,12 @@ def _drawn(key: bytes):
     return run
 
 
-def assigned(entities: DataFrame, key: bytes, most: int = 64) -> DataFrame:
+def assigned(entities: DataFrame, key: bytes) -> DataFrame:
     """(type, form, attempt) of the entities that had to draw more than once."""
     spark = entities.sparkSession
     schema = "type string, form string, attempt int, made string"
     drawn = materialize(entities.withColumn("attempt", F.lit(0)).mapInArrow(_drawn(key), schema), "surrogates")
-    for _ in range(most):
+    while True:
         first = drawn.groupBy("type", "made").agg(F.min(F.struct("attempt", "form")).alias("first"), F.count(F.lit(1)).alias("n"))
         shared = drawn.join(first.where("n > 1"), ["type", "made"]).where("form != first.form").select("type", "form")
         real = drawn.join(entities.select("type", F.col("form").alias("made")).distinct(), ["type", "made"], "left_semi").select("type", "form")
@@ -227,8 +234,6 @@ def assigned(entities: DataFrame, key: bytes, most: int = 64) -> DataFrame:
         redrawn = drawn.join(again, ["type", "form"], "left_semi").select("type", "form", (F.col("attempt") + 1).alias("attempt"))
         kept = drawn.join(again, ["type", "form"], "left_anti")
         drawn = materialize(kept.unionByName(redrawn.mapInArrow(_drawn(key), schema)), "surrogates")
-    else:
-        raise RuntimeError(f"surrogates still collide after {most} draws")
     return drawn.where("attempt > 0").select("type", "form", "attempt")
 
 
