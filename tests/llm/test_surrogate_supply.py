@@ -28,3 +28,20 @@ def test_grown_forms_are_written_whole():
         form = surrogates.canonical(kind, mention)
         made = surrogates.surrogate(KEY, kind, form, surrogates.KEEP_FORM)
         assert len(made) == len(form) + 1 and surrogates.canonical(kind, surrogates.written(kind, mention, made)) == made
+
+
+def test_names_are_one_entity_whatever_their_title(spark):
+    given, families = ["Berta", "Emil", "Ida"], ["Adler", "Brandt", "Cramer", "Decker", "Engel", "Fuchs", "Gruber", "Haas", "Jung", "Krause", "Lange", "Meier"]
+    names = [f"{g} {f}" for g in given for f in families] + families
+    texts = [f"{t} {n}, said" for n in names for t in ("Dr", "Mrs")] + [f"Mr {f}e, said" for f in families]
+    texts += ["Dr Alma Roth, said", "Mr Kaya Blum, said", "Mrs Kaya Blum, said"]
+    found = replaced(spark, texts)
+    made = {}
+    for i, t in enumerate(texts):
+        old, new = (x.split(", said")[0].split(" ", 1)[1] for x in (t, found[i]))
+        made.setdefault(old, set()).add(new)
+    assert all(len(v) == 1 for v in made.values())
+    assert len({next(iter(v)) for v in made.values()}) == len(made) == len(names) + len(families) + 2
+    first = {n: next(iter(v)).split(" ")[0] for n, v in made.items()}
+    assert all(first[n] in surrogates.FIRST["f", "LATIN"] for n in names if " " in n)
+    assert first["Kaya Blum"] in surrogates.FIRST["n", "LATIN"]

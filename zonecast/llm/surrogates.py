@@ -9,7 +9,9 @@
    entity of its type, all but the first draw again, until no collision is left; from attempt ``KEEP_FORM`` on surrogates are longer
    than their form, as its space may be exhausted. A secret has a letter or digit. Distinct entities so stay distinct everywhere, and one entity
    has one surrogate everywhere.
-4. Only entities that had to draw again are sent to their documents; the planner decides by the written table's size whether by
+   Names are told apart by script and canonical form alone, whatever their form of address; a stated gender wins over that of 'Dr', and a
+   name met with both genders gets a first name that fits either.
+4. Only entities that had to draw again, and names met with several genders, are sent to their documents; the planner decides by the written table's size whether by
    broadcast or by a join on ``doc_id``.
 
 Texts without any such mention pass unchanged. Null text stays null. Null and repeated ids and repeated rows change nothing, as
@@ -105,6 +107,14 @@ def mentions(text: str) -> Iterator[tuple[int, int, str, str]]:
             yield m.start(found), m.end(found), kind_, m[found]
 
 
+def entity(kind_: str) -> tuple[str, str]:
+    """The type that tells entities apart, and the gender a mention states: names are one entity whatever their form of address."""
+    if not kind_.startswith("name:"):
+        return kind_, ""
+    _, gender, written = kind_.split(":")
+    return f"name:{written}", gender
+
+
 def canonical(kind_: str, mention: str) -> str:
     if kind_ in ("phone", "ssn", "card"):
         return re.sub(r"\D", "", mention)
@@ -147,13 +157,15 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
-def surrogate(key: bytes, kind_: str, form: str, attempt: int = 0) -> str:
-    """The canonical surrogate of a canonical form."""
+def surrogate(key: bytes, kind_: str, form: str, attempt: int = 0, gender: str = "") -> str:
+    """The canonical surrogate of a canonical form; ``gender`` is that of the entity, else the one the mention states."""
+    kind_, stated = entity(kind_) if kind_.count(":") == 2 else (kind_, "n")
+    gender = gender or stated
     draws = _draws(key, kind_, form, attempt)
     # A form whose space may be exhausted grows, by one more character every four attempts.
     more = max(attempt - KEEP_FORM + 4, 0) // 4
     if kind_.startswith("name:"):
-        _, gender, written = kind_.split(":")
+        written = kind_.split(":")[1]
         last = LAST[written]
         # Later attempts draw longer names, so the supply never ends.
         family = "-".join(last[next(draws) % len(last)] for _ in range(1 + attempt // 4))
@@ -203,27 +215,35 @@ def _found(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         column = batch.schema.get_field_index("text")
         for i, text in enumerate(batch.column(column).to_pylist()):
             for _, _, k, mention in mentions(text or ""):
-                seen[i, k, canonical(k, mention)] = None
+                seen[i, *entity(k), canonical(k, mention)] = None
         rows = list(seen)
         ids = batch.column(batch.schema.get_field_index("doc_id")).take(pa.array([r[0] for r in rows], pa.int64()))
-        yield pa.RecordBatch.from_arrays([ids, pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.string())], ["doc_id", "type", "form"])
+        yield pa.RecordBatch.from_arrays([ids, pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.string()), pa.array([r[3] for r in rows], pa.string())], ["doc_id", "type", "gender", "form"])
 
 
 def _drawn(key: bytes):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.to_pylist()
-            made = [surrogate(key, r["type"], r["form"], r["attempt"]) for r in rows]
+            made = [surrogate(key, r["type"], r["form"], r["attempt"], r["gender"]) for r in rows]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.string())], [*batch.schema.names, "made"])
 
     return run
 
 
+def settled(found: DataFrame) -> DataFrame:
+    """(type, form, gender, several) of each entity: a stated gender wins over 'n', and where both are stated 'n' is left."""
+    stated = F.collect_set(F.when(F.col("gender") != "n", F.col("gender")))
+    gender = F.when(F.size("stated") == 1, F.col("stated")[0]).otherwise("n")
+    each = found.groupBy("type", "form").agg(stated.alias("stated"), (F.min("gender") != F.max("gender")).alias("several"))
+    return each.select("type", "form", gender.alias("gender"), "several")
+
+
 def assigned(entities: DataFrame, key: bytes) -> DataFrame:
-    """(type, form, attempt) of the entities that had to draw more than once."""
+    """(type, form, gender, attempt) of each entity; ``entities`` has each (type, form) once."""
     spark = entities.sparkSession
-    schema = "type string, form string, attempt int, made string"
-    drawn = materialize(entities.withColumn("attempt", F.lit(0)).mapInArrow(_drawn(key), schema), "surrogates")
+    schema = "type string, form string, gender string, attempt int, made string"
+    drawn = materialize(entities.select("type", "form", "gender", F.lit(0).alias("attempt")).mapInArrow(_drawn(key), schema), "surrogates")
     while True:
         first = drawn.groupBy("type", "made").agg(F.min(F.struct("attempt", "form")).alias("first"), F.count(F.lit(1)).alias("n"))
         shared = drawn.join(first.where("n > 1"), ["type", "made"]).where("form != first.form").select("type", "form")
@@ -231,10 +251,10 @@ def assigned(entities: DataFrame, key: bytes) -> DataFrame:
         again = materialize(shared.unionByName(real).distinct(), "collisions")
         if again.isEmpty():
             break
-        redrawn = drawn.join(again, ["type", "form"], "left_semi").select("type", "form", (F.col("attempt") + 1).alias("attempt"))
+        redrawn = drawn.join(again, ["type", "form"], "left_semi").select("type", "form", "gender", (F.col("attempt") + 1).alias("attempt"))
         kept = drawn.join(again, ["type", "form"], "left_anti")
         drawn = materialize(kept.unionByName(redrawn.mapInArrow(_drawn(key), schema)), "surrogates")
-    return drawn.where("attempt > 0").select("type", "form", "attempt")
+    return drawn.select("type", "form", "gender", "attempt")
 
 
 def _replaced(key: bytes):
@@ -244,11 +264,11 @@ def _replaced(key: bytes):
             texts, counts = [], []
             again = batch.column(batch.schema.get_field_index("_zc_again")).to_pylist()
             for text, more in zip(batch.column(column).to_pylist(), again):
-                attempts = {(m["type"], m["form"]): m["attempt"] for m in more or []}
+                drawn = {(m["type"], m["form"]): (m["attempt"], m["gender"]) for m in more or []}
                 out, last, n = [], 0, 0
                 for start, end, k, mention in mentions(text or ""):
                     form = canonical(k, mention)
-                    out += [text[last:start], written(k, mention, surrogate(key, k, form, attempts.get((k, form), 0)))]
+                    out += [text[last:start], written(k, mention, surrogate(key, k, form, *drawn.get((entity(k)[0], form), (0, ""))))]
                     last, n = end, n + 1
                 texts.append("".join(out) + text[last:] if n else text)
                 counts.append(n)
@@ -263,9 +283,13 @@ def _replaced(key: bytes):
 
 def replace_personal_data(docs: DataFrame, key: bytes) -> DataFrame:
     """doc_id, text with surrogates and n_replaced of each document."""
-    found = materialize(docs.select("doc_id", "text").mapInArrow(_found, f"doc_id {kind(docs, 'doc_id')}, type string, form string"), "mentions")
-    again = materialize(assigned(found.select("type", "form").distinct(), key), "again")
-    rows = found.join(again, ["type", "form"]).groupBy(F.col("doc_id").alias("_zc_of")).agg(F.collect_set(F.struct("type", "form", "attempt")).alias("_zc_again"))
+    schema = f"doc_id {kind(docs, 'doc_id')}, type string, gender string, form string"
+    found = materialize(docs.select("doc_id", "text").mapInArrow(_found, schema), "mentions")
+    entities = materialize(settled(found), "entities")
+    again = assigned(entities, key).join(entities.select("type", "form", "several"), ["type", "form"])
+    again = materialize(again.where("attempt > 0 or several").drop("several"), "again")
+    rows = found.select("doc_id", "type", "form").join(again, ["type", "form"]).groupBy(F.col("doc_id").alias("_zc_of"))
+    rows = rows.agg(F.collect_set(F.struct("type", "form", "attempt", "gender")).alias("_zc_again"))
     rows = materialize(rows, "again")
     joined = docs.select("doc_id", "text").join(rows, docs["doc_id"].eqNullSafe(rows["_zc_of"]), "left").drop("_zc_of")
     return joined.mapInArrow(_replaced(key), f"doc_id {kind(docs, 'doc_id')}, text string, n_replaced long")
