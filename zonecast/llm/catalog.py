@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecast.llm import bpe, exact_dedup, language, mixing, quality_crf, quality_rules, sharding, simhash, substring_dedup, surrogates
+from zonecast.llm import bpe, exact_dedup, language, merkle, mixing, quality_crf, quality_rules, sharding, simhash, substring_dedup, surrogates
 from zonecast.llm.tables import ROW, table
 
 #: The registered query's key; a real one comes from the caller.
@@ -70,6 +70,15 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.replace_personal_data(table(spark, sf_dir, "documents"), SURROGATE_KEY)
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    return merkle.manifest(table(spark, sf_dir, "documents"), tampered)
+
+
+#: CRC-32 of the decimal digits of a column, bit by bit, as 64-bit integers.
+CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({0}::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+  lambda x, y: list_reduce(list_prepend(xor(x, y), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda v, z: xor(v >> 1, 3988292384::BIGINT * (v & 1)))), 4294967295::BIGINT)"""
+
 OP4 = r"""
 WITH t AS (
   SELECT doc_id, length(coalesce(text, '')) AS points, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS bare
@@ -85,6 +94,58 @@ FROM t JOIN g ON t.bare = g.bare JOIN k ON t.bare = k.bare
 """
 
 
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR) || ':' || {value}, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+
+OP12 = f"""
+WITH RECURSIVE t AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, {_leaf("text")} AS leaf,
+    CASE WHEN {CRC32.format("doc_id")} % 3 = 0 THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS changed
+  FROM documents
+), placed AS (
+  SELECT *, coalesce('1' || lang, '0') AS tree, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+    count(*) OVER (PARTITION BY lang) AS n FROM t
+), low AS (
+  SELECT tree, 0 AS lvl, i, leaf AS node, n FROM placed
+  UNION ALL
+  SELECT tree, lvl + 1, i // 8, sha256(string_agg(node, '' ORDER BY i)), (n + 7) // 8 FROM low WHERE n > 1 GROUP BY tree, lvl, i // 8, n
+), sub AS (
+  SELECT tree, lvl AS depth, node AS subroot, row_number() OVER (ORDER BY tree) - 1 AS i, count(*) OVER () AS n FROM low WHERE n = 1
+), high AS (
+  SELECT 0 AS lvl, i, subroot AS node, n FROM sub
+  UNION ALL
+  SELECT lvl + 1, i // 8, sha256(string_agg(node, '' ORDER BY i)), (n + 7) // 8 FROM high WHERE n > 1 GROUP BY lvl, i // 8, n
+), steps AS (
+  SELECT p.r, l.lvl, l.node, l.i < p.i // power(8, l.lvl)::BIGINT AS earlier, l.i AS place
+  FROM placed p JOIN low l ON l.tree = p.tree AND l.n > 1 AND l.i // 8 = p.i // power(8, l.lvl + 1)::BIGINT
+  WHERE l.i <> p.i // power(8, l.lvl)::BIGINT
+  UNION ALL
+  SELECT p.r, s.depth + h.lvl, h.node, h.i < s.i // power(8, h.lvl)::BIGINT, h.i
+  FROM placed p JOIN sub s ON s.tree = p.tree JOIN high h ON h.n > 1 AND h.i // 8 = s.i // power(8, h.lvl + 1)::BIGINT
+  WHERE h.i <> s.i // power(8, h.lvl)::BIGINT
+), proof AS (
+  SELECT r, lvl, coalesce(string_agg(node, '' ORDER BY place) FILTER (WHERE earlier), '') AS l, coalesce(string_agg(node, '' ORDER BY place) FILTER (WHERE NOT earlier), '') AS h
+  FROM steps GROUP BY r, lvl
+), whole AS (
+  SELECT r, string_agg(l || h, '' ORDER BY lvl) AS siblings FROM proof GROUP BY r
+), height AS (
+  SELECT p.r, s.subroot, s.depth + (SELECT max(lvl) FROM high) AS levels FROM placed p JOIN sub s ON s.tree = p.tree
+), folded AS (
+  SELECT r, 0 AS lvl, coalesce(changed, leaf) AS node FROM placed
+  UNION ALL
+  SELECT f.r, f.lvl + 1, sha256(coalesce(p.l, '') || f.node || coalesce(p.h, ''))
+  FROM folded f JOIN height g ON g.r = f.r AND f.lvl < g.levels LEFT JOIN proof p ON p.r = f.r AND p.lvl = f.lvl
+)
+SELECT p.doc_id, p.leaf, g.subroot, o.node AS root, sha256(coalesce(w.siblings, '')) AS proof_sha256, f.node AS folded_root, f.node = o.node AS verified
+FROM placed p JOIN height g ON g.r = p.r JOIN folded f ON f.r = p.r AND f.lvl = g.levels JOIN high o ON o.n = 1 LEFT JOIN whole w ON w.r = p.r
+"""
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_sharding": op1_sharding,
@@ -97,12 +158,13 @@ def queries() -> dict[str, Query]:
         "op8_substring_dedup": op8_substring_dedup,
         "op9_quality_rules": op9_quality_rules,
         "op10_surrogates": op10_surrogates,
+        "op12_merkle": op12_merkle,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    stated = {"op4_exact_dedup": OP4}
+    stated = {"op4_exact_dedup": OP4, "op12_merkle": OP12}
     if corpus_pipeline.ORACLE_SQL:
         stated["pipeline"] = corpus_pipeline.ORACLE_SQL
     return stated
