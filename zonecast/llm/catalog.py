@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecast.llm import bpe, exact_dedup, language, merkle, mixing, quality_crf, quality_rules, sharding, simhash, substring_dedup, surrogates
+from zonecast.llm import bpe, exact_dedup, language, merkle, mixing, prefix_trie, quality_crf, quality_rules, sharding, simhash, substring_dedup, surrogates
 from zonecast.llm.tables import ROW, table
 
 #: The registered query's key; a real one comes from the caller.
@@ -70,6 +70,10 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.replace_personal_data(table(spark, sf_dir, "documents"), SURROGATE_KEY)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
     return merkle.manifest(table(spark, sf_dir, "documents"), tampered)
@@ -94,6 +98,43 @@ FROM t JOIN g ON t.bare = g.bare JOIN k ON t.bare = k.bare
 """
 
 
+OP11 = rf"""
+WITH t AS (
+  SELECT conv_id AS c, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS turn_hash,
+    len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS words, turn
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT c, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, turn_hash) AS pos, turn_hash, words FROM t
+), convs AS (
+  SELECT v.c, v.h, least(v.h, coalesce(b.n, 0)) AS k, v.base
+  FROM (SELECT c, {CRC32.format("c")} % 4 AS h, c - c % 20 AS base FROM own GROUP BY c) v
+  LEFT JOIN (SELECT c, count(*) AS n FROM own GROUP BY c) b ON b.c = v.base
+), turns AS (
+  SELECT c, 0 AS d, '' AS turn_hash, 0 AS words FROM convs
+  UNION ALL
+  SELECT v.c, b.pos, b.turn_hash, b.words FROM convs v JOIN own b ON b.c = v.base AND b.pos <= v.h
+  UNION ALL
+  SELECT v.c, v.k + o.pos - v.h, o.turn_hash, o.words FROM convs v JOIN own o ON o.c = v.c AND o.pos > v.h
+), member AS (
+  SELECT c, d, words, sha256(string_agg(turn_hash, ',') OVER (PARTITION BY c ORDER BY d)) AS k, d = max(d) OVER (PARTITION BY c) AS ends FROM turns
+), up AS (
+  SELECT *, lag(k) OVER (PARTITION BY c ORDER BY d) AS parent FROM member
+), node AS (
+  SELECT k, d, min(c) AS c, count(*) AS n, any_value(words) AS words, any_value(parent) AS parent,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM up GROUP BY k, d
+), child AS (
+  SELECT parent AS k, count(*) AS n FROM node WHERE parent IS NOT NULL GROUP BY parent
+), below AS (
+  SELECT m.k, sum((v.n - 1) * v.words) AS saved, count(*) FILTER (WHERE h.k IS NULL) AS leaves
+  FROM node v JOIN member m ON m.c = v.c AND m.d <= v.d LEFT JOIN child h ON h.k = v.k GROUP BY m.k
+)
+SELECT v.c AS conv_id, v.d::BIGINT AS depth, p.c AS parent_conv_id, v.n AS n_convs, coalesce(h.n, 0) AS n_children, b.leaves AS n_leaves,
+  b.saved::BIGINT AS saved_tokens, v.ends_sha256
+FROM node v JOIN below b ON b.k = v.k LEFT JOIN child h ON h.k = v.k LEFT JOIN node p ON p.k = v.parent
+"""
+
+
 def _field(value: str) -> str:
     return f"coalesce(strlen({value}::VARCHAR) || ':' || {value}, '-')"
 
@@ -158,13 +199,14 @@ def queries() -> dict[str, Query]:
         "op8_substring_dedup": op8_substring_dedup,
         "op9_quality_rules": op9_quality_rules,
         "op10_surrogates": op10_surrogates,
+        "op11_prefix_trie": op11_prefix_trie,
         "op12_merkle": op12_merkle,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    stated = {"op4_exact_dedup": OP4, "op12_merkle": OP12}
+    stated = {"op4_exact_dedup": OP4, "op11_prefix_trie": OP11, "op12_merkle": OP12}
     if corpus_pipeline.ORACLE_SQL:
         stated["pipeline"] = corpus_pipeline.ORACLE_SQL
     return stated
