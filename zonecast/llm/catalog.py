@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecast.llm import bpe, exact_dedup, language, merkle, mixing, prefix_trie, quality_crf, quality_rules, sharding, simhash, substring_dedup, surrogates
+from zonecast.llm import bpe, context_mixing, exact_dedup, language, merkle, mixing, prefix_trie, quality_crf, quality_rules, sharding, simhash, substring_dedup, surrogates
 from zonecast.llm.tables import ROW, table
 
 #: The registered query's key; a real one comes from the caller.
@@ -79,6 +79,11 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"), tampered)
 
 
+def op13_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    return context_mixing.score(table(spark, sf_dir, "documents"), held_out)
+
+
 #: CRC-32 of the decimal digits of a column, bit by bit, as 64-bit integers.
 CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({0}::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
   lambda x, y: list_reduce(list_prepend(xor(x, y), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda v, z: xor(v >> 1, 3988292384::BIGINT * (v & 1)))), 4294967295::BIGINT)"""
@@ -101,7 +106,8 @@ FROM t JOIN g ON t.bare = g.bare JOIN k ON t.bare = k.bare
 OP11 = rf"""
 WITH t AS (
   SELECT conv_id AS c, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS turn_hash,
-    len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS words, turn
+    len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+')) AS words, turn
   FROM conversations WHERE conv_id IS NOT NULL
 ), own AS (
   SELECT c, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, turn_hash) AS pos, turn_hash, words FROM t
@@ -201,6 +207,7 @@ def queries() -> dict[str, Query]:
         "op10_surrogates": op10_surrogates,
         "op11_prefix_trie": op11_prefix_trie,
         "op12_merkle": op12_merkle,
+        "op13_context_mixing": op13_context_mixing,
         "pipeline": corpus_pipeline.run,
     }
 
