@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from zonecast import rules as fixed
-from zonecast.functions.scalar import floor_zero
+from zonecast.functions.scalar import cyclic, floor_zero, weekend_mon0
 from zonecast.operators.demand import ZONE_KEY
+from zonecast.operators.regression import Linear
 
 TIME = "window_start"
 HOURS = "INTERVAL '{}' HOUR"
@@ -185,6 +186,92 @@ def recursive_forecast(
     )
 
 
+#: Features the recursive forecast recomputes at every hour; their meaning is that of the feature tables.
+RECURSIVE_LAGS = {"lag_1h": 1, "lag_2h": 2, "lag_3h": 3, "lag_24h": 24, "lag_168h": 168}
+RECURSIVE_MEANS = {"rolling_avg_3h": 3, "rolling_avg_6h": 6, "rolling_avg_24h": 24}
+#: The row of an hour and 168 hours before it.
+RECURSIVE_LOOK_BACK = 169
+
+
+def _steps(calendar: DataFrame | None, spark: SparkSession, day: str, hours: int) -> DataFrame:
+    """One row: what is known of each hour to come. A row predicts the hour after it, so an hour's features are those of the hour before."""
+    target = _start(day) + F.make_dt_interval(hours=F.col("id").cast("int"))
+    rows = spark.range(hours).select("id", target.alias("target"), (target - F.expr(HOURS.format(1))).alias(TIME))
+    holiday = F.lit(0)
+    if calendar is not None:
+        days = calendar.select(F.to_date("date").alias("_day")).distinct().withColumn("_hit", F.lit(1))
+        rows = rows.withColumn("_day", F.to_date(TIME)).join(days, "_day", "left")
+        holiday = F.coalesce("_hit", F.lit(0))
+    hour, dow = F.hour(TIME), F.weekday(TIME)
+    (hour_sin, hour_cos), (dow_sin, dow_cos) = cyclic(hour, 24), cyclic(dow, 7)
+    known = F.struct(
+        "id", hour.alias("hour"), dow.alias("day_of_week"), weekend_mon0(dow).alias("is_weekend"), holiday.alias("is_holiday"),
+        hour_sin.alias("hour_sin"), hour_cos.alias("hour_cos"), dow_sin.alias("dow_sin"), dow_cos.alias("dow_cos"),
+        F.hour("target").alias("zh"), (F.weekday("target") * 24 + F.hour("target")).alias("zdh"),
+    )
+    return rows.agg(F.array_sort(F.collect_list(known)).alias("steps"))
+
+
+def _sums(dense: DataFrame, key: Column, size: int, name: str) -> DataFrame:
+    """Per zone the sums and numbers of earlier counts by ``key`` (0 .. size - 1), as two arrays."""
+    by = dense.groupBy(ZONE_KEY, key.alias("k")).agg(F.sum("trip_count").cast("double").alias("s"), F.count("trip_count").cast("double").alias("n"))
+    held = by.groupBy(ZONE_KEY).agg(F.map_from_entries(F.collect_list(F.struct("k", F.struct("s", "n")))).alias("m"))
+    at = lambda part: F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.coalesce(F.col("m")[i][part], F.lit(0.0)))
+    return held.select(ZONE_KEY, at("s").alias(f"{name}_sum"), at("n").alias(f"{name}_n"))
+
+
+def recursive_model_forecast(
+    hourly: DataFrame, dense: DataFrame, zones: DataFrame, day: str, model: Linear, calendar: DataFrame | None = None, hours: int = 24
+) -> DataFrame:
+    """``hours`` hours from a day on without their actuals: features are computed anew at every hour from what was predicted before.
+
+    A zone holds its last 169 values and the sums behind its zone-hour and zone-weekday-hour means (``dense``: all hours of all zones); a
+    fold over the hours to come derives lags, rolling and expanding means from them, applies the coefficients, and appends the
+    prediction to both. It runs inside the row: sequential in time, parallel over zones, no Python. The size of the state does not depend on
+    the length of the history. Zones without history in ``dense`` have means of their last day.
+    """
+    spark = hourly.sparkSession
+    first = _start(day) - F.expr(HOURS.format(RECURSIVE_LOOK_BACK))
+    past = window_lookup(hourly, zones, first, RECURSIVE_LOOK_BACK)
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct(TIME, "trip_count"))), lambda e: e["trip_count"])
+    state = past.groupBy(ZONE_KEY).agg(ordered.alias("history"))
+    before = dense.filter(F.col(TIME) < _start(day))
+    sizes = {"zh": (F.hour(TIME), 24), "zdh": (F.weekday(TIME) * 24 + F.hour(TIME), 168)}
+    for name, (key, size) in sizes.items():
+        state = state.join(_sums(before, key, size, name), on=ZONE_KEY, how="left")
+        for part in (f"{name}_sum", f"{name}_n"):
+            state = state.withColumn(part, F.coalesce(part, F.array_repeat(F.lit(0.0), size)))
+
+    def step(acc: Column, known: Column) -> Column:
+        history = acc["history"]
+        mean = lambda n: F.aggregate(F.slice(history, -(n + 1), n), F.lit(0.0), lambda t, x: t + x) / F.lit(float(n))
+        at = lambda part, name: F.element_at(acc[part], known[name] + 1)
+        values = {name: F.element_at(history, -(n + 1)) for name, n in RECURSIVE_LAGS.items()} | {name: mean(n) for name, n in RECURSIVE_MEANS.items()}
+        values["zone_hour_mean"] = F.when(at("zh_n", "zh") >= 5, at("zh_sum", "zh") / at("zh_n", "zh")).otherwise(values["rolling_avg_24h"])
+        values["zone_dow_hour_mean"] = F.when(at("zdh_n", "zdh") >= 3, at("zdh_sum", "zdh") / at("zdh_n", "zdh")).otherwise(values["zone_hour_mean"])
+        for name in ("hour", "day_of_week", "is_weekend", "is_holiday", "hour_sin", "hour_cos", "dow_sin", "dow_cos"):
+            values[name] = known[name]
+        value = floor_zero(model.column(values.__getitem__))
+
+        def moved(p: Column) -> Column:
+            add = lambda part, name, x: F.transform(acc[part], lambda v, i: F.when(i == known[name], v + x).otherwise(v)).alias(part)
+            return F.struct(
+                F.concat(F.slice(history, 2, RECURSIVE_LOOK_BACK - 1), F.array(p)).alias("history"),
+                *[c for name in sizes for c in (add(f"{name}_sum", name, p), add(f"{name}_n", name, F.lit(1.0)))],
+                F.concat(acc["out"], F.array(p)).alias("out"),
+            )
+
+        # The prediction is bound to a name, so that it is computed once.
+        return F.transform(F.array(value), moved)[0]
+
+    start = F.struct("history", *[f"{name}_{part}" for name in sizes for part in ("sum", "n")], F.array().cast("array<double>").alias("out"))
+    steps = _steps(calendar, spark, day, hours).scalar()
+    folded = state.withColumn("_steps", steps).select(ZONE_KEY, F.aggregate("_steps", start, step, lambda acc: acc["out"]).alias("out"))
+    rows = folded.select(ZONE_KEY, F.posexplode("out").alias("ahead", "predicted"))
+    time = _start(day) + F.make_dt_interval(hours=F.col("ahead"))
+    return rows.select(ZONE_KEY, time.alias(TIME), F.hour(time).alias("hour"), "predicted")
+
+
 def resolve_day(hourly: DataFrame, calendar: DataFrame, year: int, month: int, target: str | None = None, min_days: int = 5) -> DataFrame:
     """One row: the day to forecast with its holiday name, and the month's holiday candidate.
 

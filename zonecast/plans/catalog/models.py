@@ -5,7 +5,9 @@ SQL states what the data fix (rows, sums, baseline errors, row minimums); the le
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from zonecast import rules as fixed
 from zonecast.operators import features as feat, forecast, grids, models, postprocess as post, prep
@@ -45,6 +47,56 @@ def _learned(train, test, predictions: dict[str, str], baseline: str):
     )
 
 
+def _boosted(spark, sf_dir):
+    table, fitted = _main(spark, sf_dir)
+    return table.filter(F.col("split") == "train"), fitted.predict(table.filter(F.col("split") == "test"))
+
+
+def _tweedie(spark, sf_dir):
+    parts = _evening_parts(spark, sf_dir)
+    return parts["train"], models.predict(models.fit_tweedie(parts["train"], fixed.EVENING_FEATURES), parts["test"].drop("predicted"), "predicted")
+
+
+def _late_residual(spark, sf_dir):
+    parts = _evening_parts(spark, sf_dir)
+    model = models.fit_residual(parts["train"], fixed.EVENING_FEATURES)
+    enabled = models.residual_enabled(parts["train"], parts["val"])
+    return parts["train"], post.residual_correction(models.residual_delta(model, parts["test"], enabled), "delta")
+
+
+_FITTED: dict[tuple, tuple] = {}
+
+
+def _scored(spark, sf_dir, name: str):
+    """Training rows and scored test rows of a learned model, which is fitted once per application and input."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _FITTED:
+        build = {"boosted": _boosted, "zero_inflated": _zero_inflated, "tweedie": _tweedie, "late_residual": _late_residual}[name]
+        train, scored = build(spark, sf_dir)
+        _FITTED[key] = train, materialize(scored, f"scored-{name}")
+    return _FITTED[key]
+
+
+FIGURES = "model:s split_rows:l actual:d predicted:d4 mae:d4 bias:d4 train_mean_mae:d baseline_mae:d"
+BASELINES = {"boosted": "zone_hour_mean", "zero_inflated": "baseline_blend", "tweedie": "baseline_blend", "late_residual": "baseline_blend"}
+
+
+@query("model_figures", FIGURES)
+def _(spark, sf_dir):
+    """Totals and errors of every learned model on its test rows, beside those of the training mean and of the baseline."""
+    parts = []
+    for name, baseline in BASELINES.items():
+        train, scored = _scored(spark, sf_dir, name)
+        y = F.col("target_demand").cast("double")
+        rows = scored.withColumn("_mean", train.agg(F.avg("target_demand")).scalar())
+        parts.append(rows.agg(
+            F.lit(name).alias("model"), F.count(F.lit(1)).alias("split_rows"), F.sum(y).alias("actual"), F.sum("predicted").alias("predicted"),
+            F.avg(F.abs(y - F.col("predicted"))).alias("mae"), F.avg(F.col("predicted") - y).alias("bias"), F.avg(F.abs(y - F.col("_mean"))).alias("train_mean_mae"),
+            F.avg(F.abs(y - F.col(baseline))).alias("baseline_mae"),
+        ))
+    return reduce(DataFrame.unionByName, parts)
+
+
 MAIN_ROWS = f"SELECT *, {SPLIT} AS split FROM main_features"
 
 
@@ -57,13 +109,11 @@ def _main(spark, sf_dir):
 
 @query("model_main_boosted", LEARNED, _learned_sql(MAIN_ROWS, "zone_hour_mean", ["boosted"]), "main_features bounds")
 def _(spark, sf_dir):
-    table, fitted = _main(spark, sf_dir)
-    scored = fitted.predict(table.filter(F.col("split") == "test"))
-    return _learned(table.filter(F.col("split") == "train"), scored, {"boosted": "predicted"}, "zone_hour_mean")
+    train, scored = _scored(spark, sf_dir, "boosted")
+    return _learned(train, scored, {"boosted": "predicted"}, "zone_hour_mean")
 
 
-@query("model_zero_inflated", LEARNED, _learned_sql(f"SELECT *, {SPLIT} AS split FROM special WHERE hour <= 9", "baseline_blend", ["zero_inflated"]), "special bounds")
-def _(spark, sf_dir):
+def _zero_inflated(spark, sf_dir):
     source = stored_gold(spark, sf_dir)
     low = feat.specialist_features(source, calendar(spark), "low_hour")
     table = materialize(prep.low_hour_weights(prep.add_split(low, source=source)), "low-features")
@@ -71,8 +121,13 @@ def _(spark, sf_dir):
     fitted = models.fit_zero_inflated(parts["train"], fixed.LOW_HOUR_FEATURES)
     searched = fitted.predict(parts["val"]).withColumn("actual", F.col("target_demand").cast("double"))
     best = grids.as_parameters(grids.zero_inflated_search(searched))
-    final = post.zero_inflated(fitted.predict(parts["test"]).withColumn("_p", best.scalar()), F.col("_p"))
-    return _learned(parts["train"], final, {"zero_inflated": "predicted"}, "baseline_blend")
+    return parts["train"], post.zero_inflated(fitted.predict(parts["test"]).withColumn("_p", best.scalar()), F.col("_p")).drop("_p")
+
+
+@query("model_zero_inflated", LEARNED, _learned_sql(f"SELECT *, {SPLIT} AS split FROM special WHERE hour <= 9", "baseline_blend", ["zero_inflated"]), "special bounds")
+def _(spark, sf_dir):
+    train, scored = _scored(spark, sf_dir, "zero_inflated")
+    return _learned(train, scored, {"zero_inflated": "predicted"}, "baseline_blend")
 
 
 def _evening_parts(spark, sf_dir):
@@ -91,9 +146,8 @@ EVENING_ROWS = f"SELECT *, {SPLIT} AS split FROM special WHERE hour >= 17"
 
 @query("model_evening_pair", LEARNED, _learned_sql(EVENING_ROWS, "baseline_blend", ["tweedie"]), "special bounds")
 def _(spark, sf_dir):
-    parts = _evening_parts(spark, sf_dir)
-    tweedie = models.fit_tweedie(parts["train"], fixed.EVENING_FEATURES)
-    return _learned(parts["train"], models.predict(tweedie, parts["test"], "pred_tweedie"), {"tweedie": "pred_tweedie"}, "baseline_blend")
+    train, scored = _scored(spark, sf_dir, "tweedie")
+    return _learned(train, scored, {"tweedie": "predicted"}, "baseline_blend")
 
 
 def _enough(where: str, train: int, val: int) -> str:
@@ -110,8 +164,7 @@ def _enough(where: str, train: int, val: int) -> str:
 def _(spark, sf_dir):
     parts = _evening_parts(spark, sf_dir)
     enabled = models.residual_enabled(parts["train"], parts["val"])
-    model = models.fit_residual(parts["train"], fixed.EVENING_FEATURES)
-    corrected = post.residual_correction(models.residual_delta(model, parts["test"], enabled), "delta")
+    _, corrected = _scored(spark, sf_dir, "late_residual")
     moved = F.abs(F.col("predicted") - F.col("baseline_blend"))
     judged = corrected.agg(
         F.count(F.lit(1)).alias("n"), F.max(moved).alias("moved"), F.avg(F.abs(F.col("actual") - F.col("predicted"))).alias("e"),
