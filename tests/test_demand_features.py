@@ -1,5 +1,6 @@
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -228,3 +229,25 @@ def test_target_day_choice(spark):
     assert named["holiday_name"] == "Day off"
     nothing = forecast.resolve_day(hourly.limit(0), calendar.limit(0), 2024, 1).collect()[0]
     assert (nothing["target_date"].day, nothing["holiday_date"].day) == (15, 15)
+
+
+@pytest.mark.parametrize("alpha", [0.001, 0.05, 0.3, 0.9, 0.999])
+def test_weighted_mean_over_many_blocks(spark, alpha):
+    """Two zones, NULL values, and blocks from seven rows to more than there are."""
+    rng = np.random.default_rng(2)
+    data = [(z, T0 + timedelta(hours=i), None if (i + z) % 9 == 0 else int(rng.poisson(5 + 40 * (i % 300 == 0)))) for z in (1, 2) for i in range(700)]
+    df = spark.createDataFrame(data, "PULocationID long, window_start timestamp_ntz, trip_count long")
+    got = {(r["PULocationID"], r["window_start"]): r["m"] for r in feat.add_ewm(df, "m", alpha=alpha).collect()}
+    for z in (1, 2):
+        s = w = 0.0
+        for zone, t, n in data:
+            if zone == z:
+                assert got[z, t] == pytest.approx(s / w if w else 0.0, rel=1e-9, abs=1e-12)
+                if n is not None:
+                    s, w = (1 - alpha) * s + n, (1 - alpha) * w + 1
+
+
+def test_weighted_mean_has_no_array_and_one_shuffle(spark):
+    df = spark.createDataFrame([(1, T0, 2)], "PULocationID long, window_start timestamp_ntz, trip_count long")
+    plan = feat.add_ewm(df, "m", alpha=0.001)._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and plan.count("Exchange hashpartitioning") == 1

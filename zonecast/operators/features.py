@@ -64,34 +64,45 @@ def add_lags(df: DataFrame, basis: str = "trip_count", lags: Mapping[str, int] =
     return df.withColumns(columns)
 
 
-def add_extras(df: DataFrame, basis: str = "trip_count", alpha: float = 0.3) -> DataFrame:
-    """Rolling maxima, relative change and an exponentially weighted mean of all previous rows.
+def add_ewm(df: DataFrame, name: str, basis: str = "trip_count", alpha: float = 0.3) -> DataFrame:
+    """Exponentially weighted mean of all previous rows of the zone, 0 where there are none; NULL values are passed over.
 
-    A double holds 53 bits: values so old that their weight is below the last bit of the newest
-    one's, with a margin, cannot change the mean. How far back that is follows from ``alpha``.
+    One more row maps the weighted sum s to (1 - alpha) * s + x. Such maps are composed in blocks: a running sum inside a block, in which every
+    value is scaled up by its place so that one factor brings all down again, and the end of the blocks before as a carry. A
+    block is so long that its weights fall by 2 ** 60, the whole range of a double, so two blocks carry all there is. The work of a row
+    does not depend on ``alpha``, no row holds an array, and all windows start with the zone.
     """
-    depth = math.ceil(60 * math.log(2.0) / -math.log1p(-alpha))
+    if not 0.0 < alpha < 1.0:
+        raise ValueError("alpha lies between 0 and 1")
+    fall = -math.log1p(-alpha)
+    size = math.ceil(60 * math.log(2.0) / fall)
     order = _zone_order()
-    recent = F.collect_list(F.col(basis).cast("double")).over(order.rowsBetween(-depth, -1))
-    keep = 1.0 - alpha
-    folded = F.aggregate(
-        F.col("_recent"),
-        F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("w")),
-        lambda acc, x: F.struct((acc["s"] * keep + x).alias("s"), (acc["w"] * keep + 1.0).alias("w")),
-        lambda acc: F.coalesce(F.try_divide(acc["s"], acc["w"]), F.lit(0.0)),
-    )
-    return (
-        df.withColumns(
-            {
-                "rolling_max_3h": F.coalesce(F.max(basis).over(order.rowsBetween(-3, -1)).cast("double"), F.lit(0.0)),
-                "rolling_max_6h": F.coalesce(F.max(basis).over(order.rowsBetween(-6, -1)).cast("double"), F.lit(0.0)),
-                "_recent": recent,
-                "demand_pct_ch1h": (F.col("lag_1h") - F.col("lag_2h")) / (F.col("lag_2h") + 1.0),
-            }
-        )
-        .withColumn("ewm_alpha03", folded)
-        .drop("_recent")
+    x = F.coalesce(F.col(basis).cast("double"), F.lit(0.0))
+    rows = df.withColumn("_n", F.count(basis).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    at = F.greatest(F.col("_n") - 1, F.lit(0))
+    rows = rows.withColumns({"_block": F.floor(at / size), "_place": (at % size).cast("double")})
+    inside = Window.partitionBy(ZONE_KEY, "_block").orderBy(TIME).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("_sum", F.sum(x * F.exp(F.col("_place") * fall)).over(inside) * F.exp(F.col("_place") * -fall))
+    blocks = Window.partitionBy(ZONE_KEY).orderBy("_block")
+    ends = [F.max(F.when(F.col("_place") == size - 1, F.col("_sum"))).over(blocks.rangeBetween(-b, -b)) for b in (1, 2)]
+    carry = F.coalesce(ends[0], F.lit(0.0)) + F.coalesce(ends[1], F.lit(0.0)) * math.exp(-size * fall)
+    rows = rows.withColumn("_sum", F.col("_sum") + F.exp((F.col("_place") + 1.0) * -fall) * carry)
+    weight = -F.expm1(F.col("_n") * -fall) / alpha
+    mean = F.lag(F.try_divide("_sum", weight)).over(order)
+    return rows.withColumn(name, F.coalesce(mean, F.lit(0.0))).drop("_n", "_block", "_place", "_sum")
+
+
+def add_extras(df: DataFrame, basis: str = "trip_count", alpha: float = 0.3) -> DataFrame:
+    """Rolling maxima, relative change and an exponentially weighted mean of all previous rows."""
+    order = _zone_order()
+    out = df.withColumns(
+        {
+            "rolling_max_3h": F.coalesce(F.max(basis).over(order.rowsBetween(-3, -1)).cast("double"), F.lit(0.0)),
+            "rolling_max_6h": F.coalesce(F.max(basis).over(order.rowsBetween(-6, -1)).cast("double"), F.lit(0.0)),
+            "demand_pct_ch1h": (F.col("lag_1h") - F.col("lag_2h")) / (F.col("lag_2h") + 1.0),
+        }
     )
+    return add_ewm(out, "ewm_alpha03", basis, alpha)
 
 
 def _earlier_mean(value: str, at_least: int, *keys: str) -> Column:

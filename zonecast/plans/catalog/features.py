@@ -113,6 +113,22 @@ def _(spark, sf_dir):
     return feat.add_extras(feat.add_lags(gold(spark, sf_dir)))
 
 
+SLOW = 0.001
+
+
+@query(
+    "ewm_slow",
+    "PULocationID:l window_start:t ewm:d",
+    f"""SELECT a."PULocationID", a.window_start, coalesce(sum(b.trip_count * pow(1 - {SLOW}, a.rn - b.rn - 1)) / sum(pow(1 - {SLOW}, a.rn - b.rn - 1)), 0) AS ewm
+     FROM (SELECT "PULocationID", window_start, row_number() OVER ({ZONE_ROWS}) AS rn FROM gold) a LEFT JOIN (SELECT "PULocationID", trip_count, row_number() OVER ({ZONE_ROWS}) AS rn FROM gold) b
+      ON a."PULocationID" = b."PULocationID" AND b.rn < a.rn GROUP BY 1, 2""",
+    "gold",
+)
+def _(spark, sf_dir):
+    """A mean that falls so slowly that each row weighs 40 thousand rows before it."""
+    return feat.add_ewm(gold(spark, sf_dir), "ewm", alpha=SLOW)
+
+
 @query(
     "sequence_samples",
     "PULocationID:l window_start:t hour:i day_of_week:i len_short:i len_long:i sum_short:d sum_long:d first_long:d last_short:d",
