@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecast.llm import bpe, context_mixing, exact_dedup, language, merkle, mixing, prefix_trie, quality_crf, quality_rules, sharding, simhash, substring_dedup, surrogates
+from zonecast.llm import bpe, context_mixing, exact_dedup, language, merkle, mixing, pipeline, prefix_trie, quality_crf, quality_rules, sharding, simhash, substring_dedup, surrogates
 from zonecast.llm.tables import ROW, table
 
 #: The registered query's key; a real one comes from the caller.
@@ -208,12 +207,12 @@ def queries() -> dict[str, Query]:
         "op11_prefix_trie": op11_prefix_trie,
         "op12_merkle": op12_merkle,
         "op13_context_mixing": op13_context_mixing,
-        "pipeline": corpus_pipeline.run,
+        "pipeline": pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     stated = {"op4_exact_dedup": OP4, "op11_prefix_trie": OP11, "op12_merkle": OP12}
-    if corpus_pipeline.ORACLE_SQL:
-        stated["pipeline"] = corpus_pipeline.ORACLE_SQL
+    if pipeline.ORACLE_SQL:
+        stated["pipeline"] = pipeline.ORACLE_SQL
     return stated
