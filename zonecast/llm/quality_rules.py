@@ -45,6 +45,8 @@ _IS_LETTER[65:91] = _IS_LETTER[97:123] = True
 _IS_MARK = np.zeros(256, bool)
 _IS_MARK[list(b"!?;:=\"'()[]{}+@~^\\/_")] = True
 _IN_WORD = np.ones(256, bool)
+#: Text measured at once.
+MEASURED_BYTES = 2 << 20
 _IN_WORD[list(b" \t\n\x0b\x0c\r")] = False
 _IN_WORD[0x80:0xC0] = False  # later bytes of a code point
 
@@ -215,7 +217,7 @@ def _schema(ids: str, values: bool = False) -> str:
 
 def _measured(forest: Forest | None, carried: list[str], rows_only: bool = False):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in slices(batches):
+        for batch, texts in slices(batches, limit=MEASURED_BYTES):
             s = statistics(texts)
             failed = (s["n_words"] < FEWEST_WORDS) | (100 * s["n_repeat_words"] > REPEATED_PERCENT * s["n_words"])
             points = rule_values(s)
