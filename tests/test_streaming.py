@@ -130,3 +130,60 @@ def test_compaction_keeps_the_table(spark, tmp_path):
     write_files(spark, extra, BATCHES[2:])
     os.rename(os.path.join(extra, "part-0.parquet"), os.path.join(folder, "part-9.parquet"))
     assert as_dict(counts(spark, folder, out, "12 hours")[0]) == {(1, 5): 3, (1, 6): 1, (2, 9): 2}
+
+
+@pytest.mark.parametrize("cut", ["_complete", "_empty"])
+def test_compaction_that_stops_halfway(spark, tmp_path, monkeypatch, cut):
+    """Whatever is left undone, the table reads the same, and another call finishes."""
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    keys = ["PULocationID", "window_start"]
+    write_files(spark, folder, BATCHES[:2])
+    got, _ = counts(spark, folder, out, "12 hours")
+    before = as_dict(got)
+
+    def lost(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(st, cut, lost)
+        with pytest.raises(RuntimeError, match="driver lost"):
+            st.compact(spark, out, got.schema, keys)
+    assert as_dict(st.upserted(spark, out, got.schema, keys)) == before
+    st.compact(spark, out, got.schema, keys)
+    st.compact(spark, out, got.schema, keys)
+    assert as_dict(st.upserted(spark, out, got.schema, keys)) == before
+    assert spark.read.parquet(os.path.join(out, "data")).count() == 0
+    extra = str(tmp_path / "more")
+    write_files(spark, extra, BATCHES[2:])
+    os.rename(os.path.join(extra, "part-0.parquet"), os.path.join(folder, "part-9.parquet"))
+    assert as_dict(counts(spark, folder, out, "12 hours")[0]) == {(1, 5): 3, (1, 6): 1, (2, 9): 2}
+
+
+def test_late_rows_are_kept_and_repaired(spark, tmp_path):
+    """Rows behind the watermark stand aside; a repair folds them in once, however often it runs, and later ones the next time."""
+    schema = "PULocationID double, tpep_pickup_datetime timestamp_ntz"
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    os.makedirs(folder)
+
+    def batch(name, rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / name))
+        source = next(f for f in os.listdir(tmp_path / name) if f.startswith("part-"))
+        os.rename(tmp_path / name / source, os.path.join(folder, f"{name}.parquet"))
+        stream = st.read_files(spark, folder, spark.createDataFrame([], schema).schema)
+        st.start_counting(stream, out).awaitTermination()
+
+    at = lambda h, m=0: datetime(2024, 1, 1, h, m)
+    table = lambda repaired=True: {(r["PULocationID"], r["window_start"].hour): r["trip_count"] for r in st.counted(spark, out, repaired).collect()}
+    batch("a", [(1.0, at(5)), (1.0, at(5, 30)), (2.0, at(8))])
+    assert st.late_rows(spark, out).count() == 0
+    st.repair(spark, out)
+    batch("b", [(1.0, at(6)), (2.0, at(7, 1)), (2.0, at(9)), (None, at(9))])
+    # The mark is 07:00: one hour before the latest event of the first batch.
+    assert [(r["PULocationID"], r["batch"]) for r in st.late_rows(spark, out).collect()] == [(1.0, 1)]
+    assert table() == {(1, 5): 2, (2, 8): 1, (2, 7): 1, (2, 9): 1, (None, 9): 1}
+    st.repair(spark, out)
+    st.repair(spark, out)
+    assert table()[1, 6] == 1 and (1, 6) not in table(repaired=False)
+    batch("c", [(1.0, at(6, 59)), (1.0, at(5))])
+    st.repair(spark, out)
+    assert table()[1, 6] == 2 and table()[1, 5] == 3

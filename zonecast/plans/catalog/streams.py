@@ -124,6 +124,39 @@ def _(spark, sf_dir):
     return kept.withColumn("p", seen).select("on_time", "windows", "p.*")
 
 
+def _counting(spark, sf_dir):
+    """Slices as in ``stream_late_rows``, counted with the late rows kept."""
+    path = scratch_path(spark, "stream-kept")
+    events = table(spark, sf_dir, "events")
+    held = F.expr(HELD)
+    slices = [events.filter((F.col("ts") < CUTS[1]) & ~held), events.filter(F.col("ts") >= CUTS[1]), events.filter(held)]
+    _replay(spark, sf_dir, path, lambda stream: st.start_counting(_strict(stream), path), slices)
+    return path
+
+
+@query("stream_late_repaired", "PULocationID:l window_start:t window_end:t trip_count:l", "SELECT * FROM demand", "demand")
+def _(spark, sf_dir):
+    """Rows weeks behind the watermark are kept aside and folded in by a repair run: stream and repair equal the batch result."""
+    path = _counting(spark, sf_dir)
+    st.repair(spark, path)
+    st.repair(spark, path)
+    return st.counted(spark, path)
+
+
+@query(
+    "stream_late_kept",
+    "PULocationID:l on_time:l late:l",
+    f"""SELECT "PULocationID", count(*) FILTER (NOT held) AS on_time, count(*) FILTER (held) AS late FROM (
+     SELECT "PULocationID", FALSE AS held FROM ({STRICT_SQL.format(source=f"(SELECT * FROM events WHERE NOT ({HELD}))")}) UNION ALL SELECT "PULocationID", TRUE FROM ({LATE_CLEAN})) GROUP BY 1""",
+    "clean",
+)
+def _(spark, sf_dir):
+    path = _counting(spark, sf_dir)
+    on_time = st.counted(spark, path).groupBy("PULocationID").agg(F.sum("trip_count").alias("on_time"))
+    late = st.late_rows(spark, path).groupBy(F.col("PULocationID").cast("long").alias("PULocationID")).agg(F.count(F.lit(1)).alias("late"))
+    return on_time.join(late, "PULocationID", "left").withColumn("late", F.coalesce("late", F.lit(0)))
+
+
 @query(
     "stream_deduplicated",
     "user_id:l n:l",

@@ -11,6 +11,8 @@ import os
 import threading
 import uuid
 
+from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
@@ -102,12 +104,38 @@ def start_upsert(stream: DataFrame, path: str, name: str | None = None) -> Strea
 
 
 def upserted(spark: SparkSession, path: str, schema: T.StructType, keys: list[str]) -> DataFrame:
-    """The current row of every key: the one of the latest batch (combined before the shuffle)."""
-    log = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(os.path.join(path, "data"))
+    """The current row of every key: the one of the latest batch (combined before the shuffle).
+
+    After a ``compact`` that is the newest whole base and the batches after it; older batches are not read, whether they are still there or not.
+    """
+    numbered = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+    log = spark.read.schema(numbered).parquet(os.path.join(path, "data"))
+    base = _base(spark, path)
+    if base is not None:
+        whole = spark.read.schema(schema).parquet(os.path.join(path, "base", f"number={base}")).withColumn("batch", F.lit(base).cast("long"))
+        log = log.filter(F.col("batch") > base).unionByName(whole)
     rest = [f.name for f in schema.fields if f.name not in keys]
     return log.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("r")).select(*keys, "r.*").select(*schema.names)
 
 
+def _table_or_none(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame | None:
+    """A parquet table, or None if its folder does not exist."""
+    try:
+        table = spark.read.schema(schema).parquet(path)
+        table.schema  # noqa: B018  (resolves the path)
+        return table
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def _base(spark: SparkSession, path: str) -> int | None:
+    """The number of the newest base that was completed: only then its number is in the table of bases."""
+    done = _table_or_none(spark, os.path.join(path, "bases"), "number long")
+    return None if done is None else done.agg(F.max("number")).first()[0]
+
+
 def start_table_replay(stream: DataFrame, path: str) -> StreamingQuery:
     """A new run replaces the table with its first micro-batch and adds the later ones.
 
@@ -185,14 +213,93 @@ class ProgressLog(StreamingQueryListener):
 def compact(spark: SparkSession, path: str, schema: T.StructType, keys: list[str]) -> None:
     """Shrinks the log of ``start_upsert`` to one row per key, between two runs of its query.
 
-    The rows move to a folder of the last batch's number, which a later batch exceeds; older folders are emptied by the same write.
+    The current rows become a base beside the log; once it is whole, one appended row makes readers use it in place of the batches up to its
+    number, and only then are these emptied. Whenever this stops, readers find either the old batches or the base, and another call finishes.
     """
     data = os.path.join(path, "data")
-    last = spark.read.parquet(data).agg(F.max("batch")).first()[0]
-    if last is None:
-        return
-    kept = upserted(spark, path, schema, keys)
-    staged = os.path.join(path, f"_compact-{uuid.uuid4().hex}")
-    kept.withColumn("batch", F.lit(last).cast("long")).write.parquet(staged)
-    whole = spark.read.parquet(staged)
-    whole.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("batch").parquet(data)
+    batches = sorted(r["batch"] for r in spark.read.parquet(data).select("batch").distinct().collect())
+    base = _base(spark, path)
+    if batches and (base is None or batches[-1] > base):
+        upserted(spark, path, schema, keys).write.mode("overwrite").parquet(os.path.join(path, "base", f"number={batches[-1]}"))
+        _complete(spark, path, batches[-1])
+        base = batches[-1]
+    _empty(spark, data, schema, [n for n in batches if n <= base] if base is not None else [])
+
+
+def _complete(spark: SparkSession, path: str, number: int) -> None:
+    spark.createDataFrame([(number,)], "number long").coalesce(1).write.mode("append").parquet(os.path.join(path, "bases"))
+
+
+def _empty(spark: SparkSession, data: str, schema: T.StructType, batches: list[int]) -> None:
+    for number in batches:
+        spark.createDataFrame([], schema).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(os.path.join(data, f"batch={number}"))
+
+
+# -- Late rows -------------------------------------------------------------------------------------------------------------
+
+MARKS = "latest timestamp, batch long"
+
+
+def _counts(rows: DataFrame) -> DataFrame:
+    start = F.date_trunc("hour", F.col("event_time")).cast("timestamp_ntz")
+    counts = rows.groupBy(F.col(ZONE_KEY).cast("long").alias(ZONE_KEY), start.alias("window_start")).agg(F.count(F.lit(1)).alias("trip_count"))
+    return counts.withColumn("window_end", F.col("window_start") + F.expr("INTERVAL '1' HOUR")).select(ZONE_KEY, "window_start", "window_end", "trip_count")
+
+
+def start_counting(stream: DataFrame, path: str, ts: str = PICKUP, delay: str = "1 hour", name: str | None = None) -> StreamingQuery:
+    """Counts per zone and hour as a log of sums by micro-batch, with the rows behind the watermark kept aside.
+
+    A row is late if it is older than the latest event of all earlier batches less ``delay``. What is on time is summed in ``counts``, what is
+    late goes whole to ``late``, and the latest event of the batch to ``marks``. Every batch owns a folder in each of them, which a repeated
+    batch overwrites with the same rows, as only earlier batches decide. There is no state but these tables.
+    """
+    spark = stream.sparkSession
+
+    def write(batch: DataFrame, number: int) -> None:
+        rows = batch.withColumn("event_time", F.col(ts).cast("timestamp"))
+        marks = _table_or_none(spark, os.path.join(path, "marks"), MARKS)
+        mark = None if marks is None else marks.filter(F.col("batch") < number).agg((F.max("latest") - F.expr(f"INTERVAL {delay}")).alias("m")).first()["m"]
+        late = F.col("event_time") < F.lit(mark) if mark is not None else F.lit(False)
+        rows = rows.withColumn("_late", F.coalesce(late, F.lit(False))).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for part, kept in (
+                ("late", rows.filter("_late").drop("_late")),
+                ("counts", _counts(rows.filter("NOT _late"))),
+                ("marks", rows.agg(F.max("event_time").alias("latest"))),
+            ):
+                kept.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(os.path.join(path, part, f"batch={number}"))
+        finally:
+            rows.unpersist()
+
+    writer = stream.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", os.path.join(path, "_state"))
+    if name:
+        writer = writer.queryName(name)
+    return writer.trigger(availableNow=True).start()
+
+
+def late_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The rows that came behind the watermark, with their batch."""
+    return spark.read.parquet(os.path.join(path, "late"))
+
+
+def repair(spark: SparkSession, path: str) -> None:
+    """Folds late rows into the counts. Each batch's late rows are summed in a folder of their own, so a run that is repeated or was cut off
+    counts nothing twice, and rows that come later are folded by the next run.
+    """
+    numbered = late_rows(spark, path)
+    counts = numbered.groupBy("batch", F.col(ZONE_KEY).cast("long").alias(ZONE_KEY), F.date_trunc("hour", "event_time").cast("timestamp_ntz").alias("window_start")).agg(F.count(F.lit(1)).alias("trip_count"))
+    counts = counts.withColumn("window_end", F.col("window_start") + F.expr("INTERVAL '1' HOUR"))
+    counts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(os.path.join(path, "repaired"))
+
+
+COUNTS = f"{ZONE_KEY} long, window_start timestamp_ntz, window_end timestamp_ntz, trip_count long"
+
+
+def counted(spark: SparkSession, path: str, repaired: bool = True) -> DataFrame:
+    """Trips per zone and hour: the sums of all batches, with what ``repair`` added."""
+    columns = [ZONE_KEY, "window_start", "window_end", "trip_count"]
+    log = spark.read.schema(COUNTS).parquet(os.path.join(path, "counts")).select(*columns)
+    extra = _table_or_none(spark, os.path.join(path, "repaired"), COUNTS) if repaired else None
+    if extra is not None:
+        log = log.unionByName(extra.select(*columns))
+    return log.groupBy(ZONE_KEY, "window_start", "window_end").agg(F.sum("trip_count").alias("trip_count"))
