@@ -1,6 +1,10 @@
 import os
+import time
+import uuid
 from datetime import datetime
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import AnalysisException
 
@@ -28,6 +32,45 @@ def test_ingest_unites_drifting_schemas_and_skips_corrupt_files(spark, tmp_path)
     assert rows[2.0]["fare"] is None and rows[2.0]["flag"] == "x"
 
 
+def jobs_of(spark, run):
+    """The number of Spark jobs that ``run`` starts."""
+    group = f"count-{uuid.uuid4().hex}"
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        run()
+        time.sleep(1)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+
+
+def test_schemas_of_many_files_in_as_many_jobs_as_of_few(spark, tmp_path):
+    paths = []
+    for i in range(40):
+        paths.append(str(tmp_path / f"m{i}.parquet"))
+        pq.write_table(pa.table({"v": pa.array([i], [pa.int32(), pa.int64()][i % 2])}), paths[-1])
+    few, many = jobs_of(spark, lambda: bronze.probe_schemas(spark, paths[:4])), jobs_of(spark, lambda: bronze.probe_schemas(spark, paths))
+    assert few == many <= 6
+    groups, damaged = bronze.probe_schemas(spark, ["file://" + p for p in paths])
+    assert sorted(map(len, groups.values())) == [20, 20] and not damaged
+
+
+@pytest.mark.parametrize("content", [b"", b"PAR1", b"PAR1" + bytes(40), b"PAR1" + bytes(20) + b"\x08\0\0\0PAR1", b"PAR1" + b"\xff" * 30 + b"\x10\0\0\0PAR1"])
+def test_damage_is_told_by_bytes(spark, tmp_path, content):
+    good, bad = str(tmp_path / "good.parquet"), str(tmp_path / "bad.parquet")
+    pq.write_table(pa.table({"v": [1]}), good)
+    with open(bad, "wb") as f:
+        f.write(content)
+    groups, damaged = bronze.probe_schemas(spark, [bad, good])
+    assert list(groups.values()) == [[good]] and [p for p, _ in damaged] == [bad] and "bad.parquet" in damaged[0][1]
+
+
+def test_a_file_that_may_not_be_read_is_an_error(spark, tmp_path):
+    """A folder whose listing fails proves no damage."""
+    with pytest.raises(Exception, match="none|PATH_NOT_FOUND|not exist"):
+        bronze.probe_schemas(spark, [str(tmp_path / "none.parquet")])
+
+
 def test_files_of_one_schema_share_a_scan(spark, tmp_path):
     paths = []
     for i in range(6):

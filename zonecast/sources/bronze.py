@@ -5,14 +5,16 @@ from __future__ import annotations
 import json
 import posixpath
 from collections import defaultdict
-from collections.abc import Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException, PySparkException
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+
 def _unified(kind: T.DataType, time_type: str) -> str:
     """The type a column gets, by family: times, numbers, all else as text."""
     if isinstance(kind, T.NumericType):
@@ -35,42 +37,91 @@ def audit(df: DataFrame, layer: str, source_file: bool = False) -> DataFrame:
     return df.withColumn("_ingested_at", F.current_timestamp()).withColumn("_layer", F.lit(layer))
 
 
-#: What Spark's Parquet reader says of a file that is there but is no Parquet file.
-_CORRUPT = ("is not a Parquet file", "is too small to be", "Expected magic number", "can not read class org.apache.parquet.format")
+#: What a Parquet file begins and ends with; and the bytes of the smallest one.
+_MAGIC, _SMALLEST = b"PAR1", 12
+#: Stores that executors open by themselves, and the name that takes.
+_OPENED = {"": "file", "file": "file", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "hdfs": "hdfs", "abfss": "abfss"}
+FOOTERS = "path string, state string, detail string"
 
 
-def _corrupt(error: Exception) -> str | None:
-    """The reason if an error proves that a file is damaged; other errors (absent, denied, interrupted) prove nothing."""
-    text = str(error)
-    return next((line.strip()[:500] for line in text.splitlines() if any(mark in line for mark in _CORRUPT)), None)
+def _scheme(path: str) -> str:
+    return path.split("://", 1)[0] if "://" in path else path.split(":", 1)[0] if path.startswith("file:/") else ""
 
 
-def probe_schemas(spark: SparkSession, paths: Iterable[str], parallel: int = 16) -> tuple[dict[str, list[str]], list[tuple[str, str]]]:
-    """Paths grouped by schema (JSON text), and the damaged ones with the reason.
+def _footer(path: str) -> tuple[str, str | None]:
+    """("schema", text of the schema), ("damaged", reason) or ("absent", None); a folder is judged by all its data files.
 
-    Only footers are read, each by a task of its own; several are in flight at a time. An error that
-    does not prove damage is raised: a throttled or denied read must not lose a file.
+    Only what the bytes themselves show is damage: no magic number at the end, or a footer that does not parse. Whatever else goes wrong is raised.
     """
+    scheme = _scheme(path)
+    plain = path.split(":", 1)[1] if scheme else path
+    plain = "/" + plain.lstrip("/") if scheme in ("", "file") else plain
+    store, at = (fs.LocalFileSystem(), plain) if scheme in ("", "file") else fs.FileSystem.from_uri(f"{_OPENED[scheme]}:{plain}")
+    info = store.get_file_info(at)
+    if info.type == fs.FileType.NotFound:
+        return "absent", None
+    files = [info]
+    if info.type == fs.FileType.Directory:
+        found = store.get_file_info(fs.FileSelector(at, recursive=True))
+        files = sorted((f for f in found if f.type == fs.FileType.File and not f.base_name.startswith(("_", "."))), key=lambda f: f.path)
+    shapes = set()
+    for f in files:
+        with store.open_input_file(f.path) as file:
+            if f.size < _SMALLEST:
+                return "damaged", f"{f.path} is not a Parquet file: it has {f.size} bytes"
+            file.seek(f.size - 8)
+            end = file.read(8)
+            if end[4:] != _MAGIC:
+                return "damaged", f"{f.path} is not a Parquet file: it ends with {end[4:]!r}"
+            size = int.from_bytes(end[:4], "little")
+            if size > f.size - _SMALLEST:
+                return "damaged", f"{f.path} is not a Parquet file: a footer of {size} bytes in {f.size}"
+            file.seek(f.size - 8 - size)
+            footer = file.read(size + 8)
+            try:
+                # From here on nothing is read: an error is one of the bytes.
+                schema = pq.read_metadata(pa.BufferReader(_MAGIC + footer)).schema
+            except (pa.ArrowException, OSError) as error:
+                return "damaged", f"{f.path} is not a Parquet file: its footer does not parse ({str(error)[:300]})"
+            shapes.add("; ".join(str(schema.column(i)).replace("\n", " ") for i in range(len(schema))))
+    return "schema", " | ".join(sorted(shapes))
+
+
+def footers(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
+    """(path, state, detail) of every path, from footers read by tasks of one job, whatever the number of files."""
+    ordered = sorted(set(paths))
+
+    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = batch.column(0).to_pylist()
+            told = [_footer(name) for name in names]
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([s for s, _ in told], pa.string()), pa.array([d for _, d in told], pa.string())], ["path", "state", "detail"])
+
+    listed = spark.createDataFrame([(p,) for p in ordered], "path string")
+    return listed.repartition(max(1, min(len(ordered), 64 * spark.sparkContext.defaultParallelism))).mapInArrow(read, FOOTERS)
+
+
+def probe_schemas(spark: SparkSession, paths: Iterable[str]) -> tuple[dict[str, list[str]], list[tuple[str, str]]]:
+    """Paths grouped by schema (JSON text), and the damaged ones with the reason.
 
-    def schema_of(path: str) -> tuple[str | None, str | None]:
-        try:
-            return spark.read.parquet(path).schema.json(), None
-        except (PySparkException, Py4JJavaError) as error:
-            reason = _corrupt(error)
-            if reason is None:
-                raise
-            return None, reason
-
-    ordered = sorted(paths)
+    One job reads all footers where executors can open the files, and one more file is opened per distinct schema. Paths in other stores are opened
+    one by one by Spark, which proves no damage: an error there, as for absent or denied files anywhere, is raised.
+    """
+    ordered = sorted(set(paths))
+    opened = [p for p in ordered if _scheme(p) in _OPENED]
+    told = footers(spark, opened).collect() if opened else []
+    damaged = sorted((r["path"], r["detail"]) for r in told if r["state"] == "damaged")
+    alike: dict[str, list[str]] = defaultdict(list)
+    for r in told:
+        if r["state"] != "damaged":
+            alike[r["path"] if r["state"] == "absent" else f"schema {r['detail']}"].append(r["path"])
+    for p in ordered:
+        if p not in set(opened):
+            alike[p].append(p)
     groups: dict[str, list[str]] = defaultdict(list)
-    damaged: list[tuple[str, str]] = []
-    with ThreadPoolExecutor(max_workers=parallel) as pool:
-        for path, (schema, reason) in zip(ordered, pool.map(schema_of, ordered)):
-            if schema is None:
-                damaged.append((path, reason))
-            else:
-                groups[schema].append(path)
-    return dict(groups), damaged
+    for found in alike.values():
+        groups[spark.read.parquet(min(found)).schema.json()] += sorted(found)
+    return {schema: sorted(found) for schema, found in sorted(groups.items(), key=lambda g: min(g[1]))}, damaged
 
 
 def ingest(spark: SparkSession, paths: Sequence[str], with_audit: bool = True, skip_damaged: bool = False) -> tuple[DataFrame, DataFrame]:
