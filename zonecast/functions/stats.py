@@ -15,6 +15,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from zonecast.session import materialize
+
 
 def percentiles_of_counts(column: Column | str, probs: Sequence[float]) -> Column:
     """Array of exact, linearly interpolated percentiles of a low-cardinality column."""
@@ -47,8 +49,9 @@ def value_histogram(df: DataFrame, keys: Sequence[str], value: str, weights: dic
         df.filter(F.col(value).isNotNull())
         .groupBy(*keys, F.col(value).cast("double").alias("value"))
         .agg(*aggs)
-        .withColumn("_magnitude", magnitude_bin(F.col("value")))
     )
+    # Several branches read the histogram; written once, the raw rows are aggregated once.
+    hist = materialize(hist, "histogram").withColumn("_magnitude", magnitude_bin(F.col("value")))
     place = [*keys, "_magnitude"]
     held = hist.groupBy(*place).agg(F.count(F.lit(1)).alias("_held"), F.min("value").alias("_low"), F.max("value").alias("_high"))
     held = held.select(*[F.col(k).alias(f"_of{i}") for i, k in enumerate(place)], "_held", "_low", "_high")

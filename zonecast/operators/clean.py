@@ -116,18 +116,28 @@ def _adaptive_conditions(df: DataFrame, year: int, month: int) -> dict[str, Colu
     return {name: F.coalesce(c, F.lit(False)) for name, c in cond.items()}
 
 
-def adaptive_profile(df: DataFrame, year: int, month: int, min_share: float = 0.5) -> DataFrame:
-    """One row: rows after every step, and which optional rules apply.
+def adaptive_outcomes(df: DataFrame, year: int, month: int) -> DataFrame:
+    """Rows per outcome of all conditions: a few hundred combinations at most, combined before the shuffle.
 
-    An optional rule applies when at least ``min_share`` of the rows that reached it have a value.
-    That depends on the optional rules before it. So the rows are first counted per outcome of all
-    conditions (a few hundred combinations at most, combined before the shuffle), and every
-    possible course is read off these counts: one scan, no loop over rules.
+    The counts of two tables add up to those of both, so they can be kept and carried on.
     """
     c = _adaptive_conditions(df, year, month)
     present = {f"has_{n}": F.col(n).isNotNull() if n in df.columns else F.lit(False) for n in OPTIONAL_RULES}
     flags = {**c, **present}
-    outcomes = df.select(*[e.alias(f"_{n}") for n, e in flags.items()]).groupBy(*[f"_{n}" for n in flags]).agg(F.count(F.lit(1)).alias("n"))
+    return df.select(*[e.alias(f"_{n}") for n, e in flags.items()]).groupBy(*[f"_{n}" for n in flags]).agg(F.count(F.lit(1)).alias("n"))
+
+
+def adaptive_profile(df: DataFrame, year: int, month: int, min_share: float = 0.5) -> DataFrame:
+    """One row: rows after every step, and which optional rules apply. One scan, no loop over rules."""
+    return decided(adaptive_outcomes(df, year, month), min_share)
+
+
+def decided(outcomes: DataFrame, min_share: float = 0.5) -> DataFrame:
+    """The profile that outcome counts give.
+
+    An optional rule applies when at least ``min_share`` of the rows that reached it have a value.
+    That depends on the optional rules before it; every possible course is read off the counts.
+    """
 
     def total(conditions: list[str], name: str) -> Column:
         return F.expr(f"coalesce(sum(CASE WHEN {' AND '.join(conditions)} THEN n END), 0L)").alias(name)
@@ -151,8 +161,8 @@ def adaptive_profile(df: DataFrame, year: int, month: int, min_share: float = 0.
         state = state.withColumn(f"use_{name}", F.coalesce(share >= min_share, F.lit(False)))
         state = state.withColumn("_mask", F.col("_mask") + F.when(F.col(f"use_{name}"), 2 ** i).otherwise(0))
         state = state.withColumn(f"n_after_{name}", at_mask("n_{}", 2 ** (i + 1)))
-    decided = [c for n in OPTIONAL_RULES for c in (f"use_{n}", f"n_after_{n}")]
-    return state.select("n_all", "n_required", "n_month", "n_zone", F.col("n_0").alias("n_duration"), *decided).withColumn(
+    chosen = [c for n in OPTIONAL_RULES for c in (f"use_{n}", f"n_after_{n}")]
+    return state.select("n_all", "n_required", "n_month", "n_zone", F.col("n_0").alias("n_duration"), *chosen).withColumn(
         "fallback", (F.col("n_after_passenger_count") == 0) & (F.col("n_all") > 0)
     )
 
@@ -164,9 +174,9 @@ def adaptive_clean(df: DataFrame, year: int, month: int, profile: DataFrame | No
     """
     df = coerce_trips(df)
     profile = adaptive_profile(df, year, month) if profile is None else profile
-    decided = profile.select(F.struct(*[f"use_{n}" for n in OPTIONAL_RULES], "fallback").alias("d"))
+    choice = profile.select(F.struct(*[f"use_{n}" for n in OPTIONAL_RULES], "fallback").alias("d"))
     c = _adaptive_conditions(df, year, month)
-    kept = df.filter(c["required"] & c["month"] & c["zone"]).withColumn("_d", decided.scalar())
+    kept = df.filter(c["required"] & c["month"] & c["zone"]).withColumn("_d", choice.scalar())
     quality = c["duration"]
     for name in OPTIONAL_RULES:
         quality = quality & (~F.col(f"_d.use_{name}") | c[name])

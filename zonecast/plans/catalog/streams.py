@@ -10,7 +10,7 @@ from zonecast.functions.scalar import py_round
 from zonecast.operators import clean
 from zonecast.plans.adapters import table, trip_columns, trips
 from zonecast.plans.catalog.base import STRICT_RULES, TABLES, query
-from zonecast.plans.catalog.cleaning import ADAPTIVE
+from zonecast.plans.catalog.cleaning import ADAPTIVE, DURATION, ESSENTIAL
 from zonecast.session import materialize, scratch_path
 from zonecast.streaming import trips as st
 
@@ -198,6 +198,33 @@ def _(spark, sf_dir):
     return st.appended(spark, path, cleaned(table(spark, sf_dir, "events")).schema)
 
 
+DRIFTED = " UNION ALL ".join(
+    f"""SELECT {i} AS batch, CASE WHEN {i} > 0 AND "DOLocationID" > 30 THEN NULL ELSE passenger_count END AS p, {ESSENTIAL} AND {DURATION} AND trip_distance BETWEEN 0.1 AND 100 AND fare_amount >= 1 AS ok
+     FROM ({TABLES['trips'][1].replace('FROM events', f"FROM (SELECT * FROM events WHERE ts >= TIMESTAMP '{a}' AND ts < TIMESTAMP '{b}')")})"""
+    for i, (a, b) in enumerate(zip(CUTS[:-1], CUTS[1:]))
+)
+
+
+@query(
+    "stream_running_profile",
+    "batch:l rules:i n:l",
+    f"""SELECT batch, CASE WHEN used THEN 7 ELSE 3 END AS rules, CASE WHEN used THEN good ELSE n END AS n FROM (
+     SELECT *, sum(filled) OVER (ORDER BY batch) / sum(n) OVER (ORDER BY batch) >= 0.5 AS used FROM (
+      SELECT batch, count(*) AS n, count(p) AS filled, count(*) FILTER (coalesce(p, 1) > 0) AS good FROM ({DRIFTED}) WHERE ok GROUP BY 1))""",
+)
+def _(spark, sf_dir):
+    """From the second slice on most passenger counts are missing: the share over all slices so far decides for each."""
+    path = scratch_path(spark, "stream-running")
+    drift = F.when((F.col("ts") >= CUTS[1]) & (F.col("DOLocationID") > 30), F.lit(None).cast("double")).otherwise(F.col("passenger_count"))
+
+    def start(stream):
+        rows = stream.select("ts", *trip_columns()).withColumn("passenger_count", drift).drop("ts")
+        return st.start_adaptive(rows, path, 2024, 1)
+
+    _replay(spark, sf_dir, path, start)
+    return spark.read.parquet(os.path.join(path, "data")).groupBy(F.col("batch").cast("long").alias("batch"), "rules").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "stream_filter_progress",
     "rows_in:l rows_out:l filtered_pct:d runs:l",

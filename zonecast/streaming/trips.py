@@ -17,7 +17,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from zonecast import rules as fixed
-from zonecast.operators.clean import PICKUP, Rules, adaptive_clean, add_trip_columns, apply_rules, strict_rules
+from zonecast.operators.clean import (
+    OPTIONAL_RULES, PICKUP, Rules, adaptive_clean, adaptive_outcomes, add_trip_columns, apply_rules, coerce_trips, decided, strict_rules,
+)
 from zonecast.sources.bronze import audit, normalize
 
 ZONE_KEY = "PULocationID"
@@ -235,6 +237,35 @@ def _empty(spark: SparkSession, data: str, schema: T.StructType, batches: list[i
         spark.createDataFrame([], schema).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(os.path.join(data, f"batch={number}"))
 
 
+def start_adaptive(stream: DataFrame, path: str, year: int, month: int, min_share: float = 0.5, name: str | None = None) -> StreamingQuery:
+    """Adaptive cleaning with a profile that is carried from batch to batch.
+
+    A batch adds its outcome counts to those of the batches before it; their sum decides which optional rules apply to it. Counts, rows and
+    decisions of a batch are folders of its number, so a repeated batch replaces its own and decides as before. Every row keeps
+    the number of its batch (partition ``batch``) and the rules it was held to (``rules``: a bit per optional rule, and 8 for the fallback).
+    """
+    spark = stream.sparkSession
+
+    def write(batch: DataFrame, number: int) -> None:
+        rows = coerce_trips(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            put = lambda df, part: df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(os.path.join(path, part, f"batch={number}"))
+            put(adaptive_outcomes(rows, year, month), "outcomes")
+            known = spark.read.parquet(os.path.join(path, "outcomes")).filter(F.col("batch") <= number)
+            flags = [c for c in known.columns if c not in ("n", "batch")]
+            put(decided(known.groupBy(*flags).agg(F.sum("n").alias("n")), min_share), "profiles")
+            profile = spark.read.parquet(os.path.join(path, "profiles", f"batch={number}"))
+            bits = sum(F.col(f"use_{n}").cast("int") * (1 << i) for i, n in enumerate(OPTIONAL_RULES)) + F.col("fallback").cast("int") * 8
+            put(adaptive_clean(rows, year, month, profile).withColumn("rules", profile.select(bits.alias("b")).scalar()), "data")
+        finally:
+            rows.unpersist()
+
+    writer = stream.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", os.path.join(path, "_state"))
+    if name:
+        writer = writer.queryName(name)
+    return writer.trigger(availableNow=True).start()
+
+
 # -- Late rows -------------------------------------------------------------------------------------------------------------
 
 MARKS = "latest timestamp, batch long"
