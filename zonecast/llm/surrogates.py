@@ -1,17 +1,19 @@
 """Personal data: detected entities are replaced by keyed surrogates of the same type, script and format.
 
-1. Detection: patterns for addresses, numbers and secrets, and names after a form of address, which tells their gender. A
-   mention's canonical form (digits only, lower case) is what makes mentions corefer.
+1. Detection: patterns for addresses, numbers and secrets, and names after a form of address, which tells their gender; a full name found
+   so is also found without it in the same text. Family names may have particles, hyphens and apostrophes. A mention's canonical form
+   (digits only; lower case for addresses, as it is for secrets) is what makes mentions corefer.
 2. Surrogates are drawn from a keyed hash of type and canonical form: digits for digits, letters of the same script and case for letters,
-   octets for octets, first names of the same gender. A card number keeps its first digit and whether its check digit holds. The
-   surrogate is drawn for the canonical form and written in the format of each mention.
+   octets for octets, first names of the same gender. Cards and IBANs keep whether their check digits hold. The
+   surrogate is drawn for the canonical form and written in the format of each mention. First and family name are entities of their own, so
+   a person keeps one family name with and without the first.
 3. Collision checks: the distinct entities of the corpus are grouped by surrogate. Where several share one, or one equals a real
    entity of its type, all but the first draw again, until no collision is left; from attempt ``KEEP_FORM`` on surrogates are longer
    than their form, as its space may be exhausted. A secret has a letter or digit. Distinct entities so stay distinct everywhere, and one entity
    has one surrogate everywhere.
    Names are told apart by script and canonical form alone, whatever their form of address; a stated gender wins over that of 'Dr', and a
-   name met with both genders gets a first name that fits either.
-4. Only entities that had to draw again, and names met with several genders, are sent to their documents; the planner decides by the written table's size whether by
+   first name met with both genders gets one that fits either.
+4. Only entities that had to draw again, and first names met with several genders, are sent to their documents; the planner decides by the written table's size whether by
    broadcast or by a join on ``doc_id``.
 
 Texts without any such mention pass unchanged. Null text stays null. Null and repeated ids and repeated rows change nothing, as
@@ -54,22 +56,30 @@ LAST = {
 
 _TITLES = "|".join(re.escape(t) for group in ADDRESS.values() for t in group)
 _GENDER = {t: g for g, group in ADDRESS.items() for t in group}
-_NAME = r"[^\W\d_a-zа-яß-öø-ÿ][^\W\d_]+"
+_WORD = r"(?:[^\W\d_a-zа-яß-öø-ÿ]['’])?[^\W\d_a-zа-яß-öø-ÿ][^\W\d_]+"
+_NAME = rf"{_WORD}(?:[-'’]{_WORD})*"
+#: Words that may stand before a family name.
+PARTICLES = ["de", "del", "della", "der", "den", "di", "da", "dos", "du", "la", "las", "le", "los", "ter", "van", "von", "zu"]
+_FAMILY = rf"(?:(?:{'|'.join(PARTICLES)}) )*{_NAME}"
 PATTERN = re.compile(
     r"(?P<email>(?<![\w.+-])\w[\w.+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)"
-    r"|\b(?i:tokens?|secret|password|passwd|api[_-]?key)\b\s*[=:]\s*[\"']?(?P<secret>(?=[^\s\"'#$%&*!<>|]*[^\W_])[^\s\"'#$%&*!<>|]{8,})"
+    r"|\b(?i:tokens?|secret|password|passwd|api[_-]?key)\b\s*[=:]\s*(?:(?P<q>[\"'])(?P<quoted>(?=[^\s\"']*[^\W_])[^\s\"']{6,})(?P=q)|[\"']?(?P<secret>(?=[^\s\"'#$%&*!<>|]*[^\W_])[^\s\"'#$%&*!<>|]{8,}|(?=[^\s\"'#$%&*!<>|]*\d)[A-Za-z0-9]{6,7}(?!\S)))"
+    r"|\b(?:Bearer\s+)(?P<bearer>[A-Za-z0-9._~+/-]{16,}=*)"
+    r"|\b(?P<access>AKIA[0-9A-Z]{16}|sk-[A-Za-z0-9_-]{20,})(?![0-9A-Za-z])"
+    r"|(?P<ipv6>(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:]))"
     r"|(?P<hex>(?<![0-9A-Za-z])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![0-9A-Za-z]))"
     r"|(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d))"
     r"|(?P<iban>(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z]))"
-    r"|(?P<phone>(?<![\d+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<![\d(])\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\d-])\d{3}[-.]\d{3}[-.]\d{4}(?![\d-]))"
+    r"|(?P<phone>(?<![\d+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<![\d(])\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\d-])\d{3}[-.]\d{3}[-.]\d{4}(?![\d-])|(?<![\d/])0\d{2,4}/\d{5,8}(?![\d/]))"
     r"|(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))"
     r"|(?P<card>(?<!\d)(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?!\d))"
-    rf"|\b(?P<title>{_TITLES})\.? (?P<name>{_NAME}(?: {_NAME})?)"
+    rf"|\b(?P<title>{_TITLES})\.? (?P<name>(?:{_NAME} )?{_FAMILY})"
 )
+_GROUPS = ["email", "secret", "quoted", "bearer", "access", "ipv6", "hex", "ip", "iban", "phone", "ssn", "card"]
 #: Every mention has a digit, an at sign, a form of address or one of these words.
 _SPOT = re.compile(r"@|\d+")
-_HINTS = ["secret", "passw", "token", "key"]
-_HINT = re.compile(rf"(?i:{'|'.join(_HINTS)})|\b(?:{_TITLES})\b")
+_KEYS = ["secret", "passw", "token", "key", "bearer", "akia", "sk-"]
+_HINT = re.compile(rf"(?i:{'|'.join(_KEYS)}|[0-9a-f]:[0-9a-f]+:)|\b(?:{_TITLES})\b")
 #: Characters looked at on either side of such a spot, on to the next white space.
 _REACH = 64
 _SPACE = re.compile(r"\s")
@@ -82,7 +92,7 @@ def _windows(text: str) -> Iterator[tuple[int, int]]:
     """The parts of a text that can hold a mention."""
     spots = [m.span() for m in _SPOT.finditer(text)]
     low = text.lower()
-    if any(h in low for h in _HINTS) or any(t in text for t in _GENDER):
+    if any(h in low for h in _KEYS) or any(t in text for t in _GENDER) or low.count(":") >= 7:
         spots = sorted(spots + [m.span() for m in _HINT.finditer(text)])
     begin = end = -1
     for a, b in spots:
@@ -98,21 +108,46 @@ def _windows(text: str) -> Iterator[tuple[int, int]]:
         yield begin, end
 
 
+#: Types of the groups of the pattern that are not named after theirs.
+_TYPE_OF = {"hex": "secret", "quoted": "secret", "bearer": "secret", "access": "secret"}
+
+
 def mentions(text: str) -> Iterator[tuple[int, int, str, str]]:
-    """(start, end, type, mention); the type of a name carries its gender and script."""
+    """(start, end, type, mention) in order; the type of a name carries its gender and script."""
+    found = []
     for begin, end in _windows(text):
         for m in PATTERN.finditer(text, begin, end):
-            found = "name" if m["name"] else m.lastgroup
-            kind_ = f"name:{_GENDER[m['title']]}:{script(m['name'][0])}" if m["name"] else "secret" if found == "hex" else found
-            yield m.start(found), m.end(found), kind_, m[found]
-
-
-def entity(kind_: str) -> tuple[str, str]:
-    """The type that tells entities apart, and the gender a mention states: names are one entity whatever their form of address."""
+            group = next(g for g in (*_GROUPS, "name") if m[g])
+            kind_ = f"name:{_GENDER[m['title']]}:{script(m['name'][0])}" if group == "name" else _TYPE_OF.get(group, group)
+            found.append((m.start(group), m.end(group), kind_, m[group]))
+    known = {m: k for _, _, k, m in found if k.startswith("name:") and split(m)[0]}
+    if known:
+        taken = sorted(found)
+        # The same full name without a form of address.
+        bare = re.compile(rf"(?<![\w-])(?:{'|'.join(map(re.escape, sorted(known, key=len, reverse=True)))})(?![\w-])")
+        at = 0
+        for m in bare.finditer(text):
+            while at < len(taken) and taken[at][1] <= m.start():
+                at += 1
+            if at == len(taken) or taken[at][0] >= m.end():
+                found.append((m.start(), m.end(), known[m[0]], m[0]))
+        found.sort()
+    yield from found
+
+
+def split(name: str) -> tuple[str, str]:
+    """First name (or nothing) and family name with its particles."""
+    first, _, rest = name.partition(" ")
+    return (first, rest) if rest and first not in PARTICLES else ("", name)
+
+
+def entities_of(kind_: str, mention: str) -> list[tuple[str, str, str]]:
+    """(type, gender, canonical form) of the entities of a mention: two of a full name, whose first name has the gender."""
     if not kind_.startswith("name:"):
-        return kind_, ""
-    _, gender, written = kind_.split(":")
-    return f"name:{written}", gender
+        return [(kind_, "", canonical(kind_, mention))]
+    _, gender, written_ = kind_.split(":")
+    first, family = split(mention)
+    return [(f"given:{written_}", gender, first)] * bool(first) + [(f"name:{written_}", "", family)]
 
 
 def canonical(kind_: str, mention: str) -> str:
@@ -120,7 +155,7 @@ def canonical(kind_: str, mention: str) -> str:
         return re.sub(r"\D", "", mention)
     if kind_ == "iban":
         return mention.replace(" ", "")
-    return mention.lower() if kind_ in ("email", "secret", "ip") else mention
+    return mention.lower() if kind_ in ("email", "ip", "ipv6") else mention
 
 
 def script(letter: str) -> str:
@@ -157,20 +192,26 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def iban_holds(form: str) -> bool:
+    """Whether the check number of an IBAN is right."""
+    moved = form[4:] + form[:4]
+    return moved.isascii() and moved.isalnum() and int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
+
+
 def surrogate(key: bytes, kind_: str, form: str, attempt: int = 0, gender: str = "") -> str:
-    """The canonical surrogate of a canonical form; ``gender`` is that of the entity, else the one the mention states."""
-    kind_, stated = entity(kind_) if kind_.count(":") == 2 else (kind_, "n")
-    gender = gender or stated
+    """The canonical surrogate of a canonical form; a whole name is made of those of its parts."""
+    if kind_.count(":") == 2:
+        return " ".join(surrogate(key, t, f, attempt, gender or g) for t, g, f in entities_of(kind_, form))
     draws = _draws(key, kind_, form, attempt)
     # A form whose space may be exhausted grows, by one more character every four attempts.
     more = max(attempt - KEEP_FORM + 4, 0) // 4
-    if kind_.startswith("name:"):
-        written = kind_.split(":")[1]
-        last = LAST[written]
+    if kind_.startswith(("name:", "given:")):
+        part, written_ = kind_.split(":")
+        names = LAST[written_] if part == "name" else FIRST[gender or "n", written_]
         # Later attempts draw longer names, so the supply never ends.
-        family = "-".join(last[next(draws) % len(last)] for _ in range(1 + attempt // 4))
-        first = FIRST[gender, written]
-        return f"{first[next(draws) % len(first)]} {family}" if " " in form else family
+        return "-".join(names[next(draws) % len(names)] for _ in range(1 + attempt // 4))
+    if kind_ == "ipv6":
+        return ":".join("".join("0123456789abcdef"[next(draws) % 16] for _ in range(min(len(g) + more, 4))) for g in form.split(":"))
     if kind_ == "ip":
         # Wider octets first, then more of them.
         sizes = [min(len(o) + more, 3) for o in form.split(".")] + [3] * max(more - 2, 0)
@@ -182,13 +223,20 @@ def surrogate(key: bytes, kind_: str, form: str, attempt: int = 0, gender: str =
     if kind_ == "phone" and len(form) == 11 and form[0] == "1":
         return "1" + _plain(form[1:] + "0" * more, draws)  # the country stays
     if kind_ == "iban":
-        return form[:2] + "".join(str(next(draws) % 10) if c.isdigit() else _letter(c, next(draws)) for c in form[2:] + "0" * more)
+        body = "".join(str(next(draws) % 10) if c.isdigit() else _letter(c, next(draws)) for c in form[4:] + "0" * more)
+        check = next(c for c in range(2, 99) if iban_holds(f"{form[:2]}{c:02d}{body}"))
+        return f"{form[:2]}{check if iban_holds(form) else (check + 1 + next(draws) % 95) % 100:02d}{body}"
     if kind_ == "email":
         local, _, domain = form.partition("@")
         host, _, top = domain.rpartition(".")
         return _plain(local + "a" * more, draws) + "@" + _plain(host, draws) + "." + top
-    if kind_ == "secret" and re.fullmatch("[0-9a-f]+", form):
-        return "".join("0123456789abcdef"[next(draws) % 16] for _ in range(len(form) + more))
+    if kind_ == "secret" and re.fullmatch("[0-9a-f]+|[0-9A-F]+", form):
+        made = "".join("0123456789abcdef"[next(draws) % 16] for _ in range(len(form) + more))
+        return made.upper() if form.isupper() else made
+    if kind_ == "secret":
+        # What tells the kind of a key stays.
+        kept = next((p for p in ("AKIA", "sk-") if form.startswith(p)), "")
+        return kept + _plain(form[len(kept) :] + "a" * more, draws)
     return _plain(form + ("0" if form.isdigit() else "a") * more, draws)
 
 
@@ -204,7 +252,7 @@ def written(kind_: str, mention: str, made: str) -> str:
     if kind_ == "iban":
         chars = iter(made)
         return "".join(c if c == " " else next(chars) for c in mention) + "".join(chars)
-    if mention.isupper() and not made.isupper():
+    if kind_ != "secret" and mention.isupper() and not made.isupper():
         return made.upper()
     return made
 
@@ -215,7 +263,8 @@ def _found(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         column = batch.schema.get_field_index("text")
         for i, text in enumerate(batch.column(column).to_pylist()):
             for _, _, k, mention in mentions(text or ""):
-                seen[i, *entity(k), canonical(k, mention)] = None
+                for one in entities_of(k, mention):
+                    seen[i, *one] = None
         rows = list(seen)
         ids = batch.column(batch.schema.get_field_index("doc_id")).take(pa.array([r[0] for r in rows], pa.int64()))
         yield pa.RecordBatch.from_arrays([ids, pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.string()), pa.array([r[3] for r in rows], pa.string())], ["doc_id", "type", "gender", "form"])
@@ -267,8 +316,8 @@ def _replaced(key: bytes):
                 drawn = {(m["type"], m["form"]): (m["attempt"], m["gender"]) for m in more or []}
                 out, last, n = [], 0, 0
                 for start, end, k, mention in mentions(text or ""):
-                    form = canonical(k, mention)
-                    out += [text[last:start], written(k, mention, surrogate(key, k, form, *drawn.get((entity(k)[0], form), (0, ""))))]
+                    made = " ".join(surrogate(key, t, f, *drawn.get((t, f), (0, g))) for t, g, f in entities_of(k, mention))
+                    out += [text[last:start], written(k, mention, made)]
                     last, n = end, n + 1
                 texts.append("".join(out) + text[last:] if n else text)
                 counts.append(n)
