@@ -39,6 +39,8 @@ QUOTIENT_BITS = 10
 #: Fingerprints a task gathers before it packs a filter.
 GATHERED = 1 << 21
 U = np.uint64
+#: A group of copies is frequent if it holds more than one copied row in this many.
+OFTEN = 1 << 16
 
 
 def normalised(text: bytes) -> bytes:
@@ -217,8 +219,14 @@ def exact_duplicates(docs: DataFrame, row: str | None = None, filter_bits: int =
         digests.groupBy("fp", "text_sha256").agg(F.count(F.lit(1)).alias("n"), first.alias("first"))
         .join(materialize(verified, "verified"), ["fp", "text_sha256"], "left_semi")
     )
+    groups = materialize(groups, "groups")
     alone = F.col("n").isNull()
-    return digests.join(groups, ["fp", "text_sha256"], "left").select(
+    # Groups that hold more than one copied row in OFTEN, fewer than OFTEN, go to every task: no group of copies lands in one.
+    total = groups.agg(F.sum("n")).first()[0] or 0
+    often, rest = F.broadcast(groups.where(F.col("n") > total / OFTEN)), groups.where(F.col("n") <= total / OFTEN)
+    same = ["fp", "text_sha256"]
+    joined = digests.join(often, same).unionByName(digests.join(often.select(*same), same, "left_anti").join(rest, same, "left"))
+    return joined.select(
         "doc_id",
         F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("keep_id"),
         F.when(alone, F.lit(1).cast("long")).otherwise(F.col("n")).alias("group_size"),
