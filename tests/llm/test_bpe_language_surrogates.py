@@ -183,3 +183,21 @@ def test_odd_rows_surrogates(odd, none):
     rows = surrogates.replace_personal_data(odd, b"k").collect()
     assert Counter((r["doc_id"], r["text"]) for r in rows) == Counter((d, t) for d, t, *_ in ODD_ROWS) and all(r["n_replaced"] == 0 for r in rows)
     assert surrogates.replace_personal_data(none, b"k").count() == 0
+
+
+def test_more_languages_than_have_models(spark):
+    """300 values of ``lang``: the largest keep their own model, the rest is one class, and pages get a result."""
+    rows = [(f"l{i:03d}", "the of and to " * (400 - i)) for i in range(300)] + [(None, "x")]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    languages, shares = language.text_model(docs)
+    assert languages == sorted([f"l{i:03d}" for i in range(255)] + [language.OTHER]) and shares.shape[0] == 256
+    assert language.text_model(docs.where("lang < 'l256'"))[0] == [f"l{i:03d}" for i in range(256)]
+    pages = spark.createDataFrame([(1, "http://a.de/x", "<html lang='l007'><p>the of and to</p></html>"), (2, None, None)], "page_id long, url string, html string")
+    few = docs.where("lang < 'l004'")
+    kept = language.MOST
+    language.text_model.__defaults__ = (3,)
+    try:
+        found = language.identify(pages, few).collect()
+        assert language.text_model(few)[0] == ["l000", "l001", language.OTHER] and len(found) == 2 and all(r["lang"] for r in found)
+    finally:
+        language.text_model.__defaults__ = (kept,)

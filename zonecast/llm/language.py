@@ -11,7 +11,7 @@ all pages; a page's own contribution is taken out before it is judged. Sums are
 of all pages is a few rows.
 
 A page without text has equal text likelihoods and is decided by the rest; a missing address or declaration says nothing. Ties go to the first language by
-code point. Null and repeated ids change nothing. With no labelled document, or no page, the result is empty.
+code point. Null and repeated ids change nothing. With no labelled document, or no page, the result is empty. Beyond ``MOST`` languages the smaller ones share one class.
 """
 
 from __future__ import annotations
@@ -76,13 +76,21 @@ def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(n[at])], ["lang", "bucket", "n"])
 
 
-def text_model(docs: DataFrame, most: int = 256) -> tuple[list[str], np.ndarray]:
-    """Languages and their log trigram shares, from all documents with a language (``most`` languages at most)."""
-    counts = docs.where(F.col("lang").isNotNull()).select("lang", "text").mapInArrow(_counted, "lang string, bucket long, n long")
-    rows = counts.groupBy("lang").agg(F.count(F.lit(1)))
-    if rows.count() > most:
-        raise ValueError(f"more than {most} languages")
-    table = counts.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
+#: Languages with a model of their own, and the class that all others share beyond that number.
+MOST, OTHER = 256, "other"
+
+
+def text_model(docs: DataFrame, most: int = MOST) -> tuple[list[str], np.ndarray]:
+    """Languages and their log trigram shares, from all documents with a language.
+
+    If there are more than ``most``, those with most trigrams (then the first by name) stand for themselves, and all others are one class, ``OTHER``.
+    """
+    counts = materialize(docs.where(F.col("lang").isNotNull()).select("lang", "text").mapInArrow(_counted, "lang string, bucket long, n long"), "trigrams")
+    ranked = counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(most + 1).collect()
+    lang = F.col("lang")
+    if len(ranked) > most:
+        lang = F.when(lang.isin([r["lang"] for r in ranked[: most - 1]]), lang).otherwise(OTHER)
+    table = counts.groupBy(lang.alias("lang"), "bucket").agg(F.sum("n").alias("n")).toPandas()  # most x BUCKETS rows at most
     languages = sorted(table["lang"].unique())
     n = np.full((len(languages), BUCKETS), 0.5)
     n[table["lang"].map({c: i for i, c in enumerate(languages)}).to_numpy(int), table["bucket"].to_numpy(int)] += table["n"].to_numpy()
