@@ -149,3 +149,11 @@ def test_materialize_uses_the_shared_folder_and_prunes_columns(spark):
     assert df.inputFiles()[0].startswith(("file:" + shared_dir(spark), "file://" + shared_dir(spark)))
     plan = df.filter("c = 1").select("id")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(c), EqualTo(c,1)]" in plan and "b:bigint" not in plan
+
+
+def test_large_reports_are_not_sent_to_one_task(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "REPORT_ROWS", 10)
+    for n, files in ((10, 1), (11, 4)):
+        path = tmp_path / str(n)
+        sinks.write_csv(spark.range(0, n, 1, 4), str(path))
+        assert len([f for f in os.listdir(path) if f.startswith("part-")]) == files and spark.read.option("header", True).csv(str(path)).count() == n

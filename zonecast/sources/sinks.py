@@ -23,8 +23,8 @@ def overwrite(df: DataFrame, path: str, fmt: str = "parquet", **options: str) ->
 def overwrite_partitions(df: DataFrame, path: str, keys: Sequence[str], fmt: str = "parquet") -> dict:
     """Replaces only the partitions present in ``df``.
 
-    Rows are spread by the partition keys plus a per-row spread column inside AQE's rebalance, so
-    a month holding most rows is written by many tasks and no task opens every partition.
+    Rows are rebalanced by the partition keys: AQE splits a month that holds most rows over many tasks, and
+    no task opens every partition.
     """
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
@@ -33,9 +33,17 @@ def overwrite_partitions(df: DataFrame, path: str, keys: Sequence[str], fmt: str
     return {"rows": seen.get["rows"], "columns": len(df.columns)}
 
 
+#: Rows of a report that is one file.
+REPORT_ROWS = 100_000
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    """Report table as CSV with a header (metrics and diagnostics are small)."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    """Report table as CSV with a header: one file up to ``REPORT_ROWS`` rows, else as many as there are tasks.
+
+    Looking at one row more than that decides, so a large table is never sent to one task.
+    """
+    small = df.limit(REPORT_ROWS + 1).count() <= REPORT_ROWS
+    (df.coalesce(1) if small else df).write.mode("overwrite").option("header", True).csv(path)
 
 
 def all_null_columns(df: DataFrame) -> DataFrame:
