@@ -113,10 +113,11 @@ def _(spark, sf_dir):
 
 # -- Ordinal ---------------------------------------------------------------------------------------------------------------
 
-#: Demand buckets: none, one, more.
-BOUNDS = [0.0, 1.0]
+#: Shares of the training rows below the two bounds of the demand buckets, which lie at least one apart.
+SHARES = (0.35, 0.65)
+sql_table("bucket_bounds", "train_x", f"SELECT lo, greatest(hi, lo + 1) AS hi FROM (SELECT quantile_disc(y, {SHARES[0]}) AS lo, quantile_disc(y, {SHARES[1]}) AS hi FROM train_x WHERE split = 'train' AND hour >= 17)")
 H = "1 / (1 + exp(b2 * x - {}))"
-ORDINAL_SQL = f"""(WITH RECURSIVE rows AS (SELECT x2 AS x, CASE WHEN y > 1 THEN 2 WHEN y > 0 THEN 1 ELSE 0 END AS k FROM train_x WHERE split = 'train' AND hour >= 17),
+ORDINAL_SQL = f"""(WITH RECURSIVE rows AS (SELECT x2 AS x, CASE WHEN y > hi THEN 2 WHEN y > lo THEN 1 ELSE 0 END AS k FROM train_x, bucket_bounds WHERE split = 'train' AND hour >= 17),
  cells AS (SELECT x, k, CAST(count(*) AS DOUBLE) AS w FROM rows GROUP BY 1, 2),
  it AS (SELECT 0 AS n, ln(c0 / (1 - c0)) AS b0, ln(c1 / (1 - c1)) AS b1, CAST(0 AS DOUBLE) AS b2 FROM (SELECT sum(CASE WHEN k = 0 THEN w END) / sum(w) AS c0, sum(CASE WHEN k <= 1 THEN w END) / sum(w) AS c1 FROM cells)
   UNION ALL SELECT n + 1, b0 + ({solved(["-h00", "-h01", "-h02", "-h11", "-h12", "-h22"], RIGHT)[0]}), b1 + ({solved(["-h00", "-h01", "-h02", "-h11", "-h12", "-h22"], RIGHT)[1]}),
@@ -135,17 +136,19 @@ ORDINAL_SQL = f"""(WITH RECURSIVE rows AS (SELECT x2 AS x, CASE WHEN y > 1 THEN
 
 def _buckets(spark, sf_dir):
     train = _evening(spark, sf_dir, "train")
-    return train, reg.ordinal(train, FEATURES[1:], reg.bucket_of(F.col("target_demand"), BOUNDS), len(BOUNDS) + 1)
+    low, high = train.agg(*[F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY CAST(target_demand AS DOUBLE))") for q in SHARES]).first()
+    bounds = [low, max(high, low + 1.0)]
+    return train, bounds, reg.ordinal(train, FEATURES[1:], reg.bucket_of(F.col("target_demand"), bounds), len(bounds) + 1)
 
 
 @query(
     "bucket_thresholds",
     "name:s value:d4",
     f"SELECT unnest(['threshold_0', 'threshold_1', '{FEATURES[1]}']) AS name, unnest([b0, b1, b2]) AS value FROM {ORDINAL_SQL}",
-    "train_x",
+    "bucket_bounds",
 )
 def _(spark, sf_dir):
-    _, model = _buckets(spark, sf_dir)
+    _, _, model = _buckets(spark, sf_dir)
     rows = [(f"threshold_{i}", t) for i, t in enumerate(model.thresholds)] + list(model.coefficients.items())
     return spark.createDataFrame(rows, "name string, value double")
 
@@ -153,16 +156,16 @@ def _(spark, sf_dir):
 @query(
     "bucket_predictions",
     "PULocationID:l window_start:t p0:d4 p1:d4 p2:d4 predicted:d4",
-    f"""SELECT "PULocationID", window_start, c0 AS p0, c1 - c0 AS p1, 1 - c1 AS p2, CASE WHEN c0 >= CASE WHEN hour <= 19 THEN 0.9 ELSE 0.8 END THEN 0 ELSE (c1 - c0) * v1 + (1 - c1) * v2 END AS predicted
+    f"""SELECT "PULocationID", window_start, c0 AS p0, c1 - c0 AS p1, 1 - c1 AS p2, CASE WHEN c0 >= CASE WHEN hour <= 19 THEN 0.9 ELSE 0.8 END THEN 0 ELSE c0 * v0 + (c1 - c0) * v1 + (1 - c1) * v2 END AS predicted
      FROM (SELECT t.*, {H.format("b0").replace("* x ", "* x2 ")} AS c0, {H.format("b1").replace("* x ", "* x2 ")} AS c1 FROM train_x t, {ORDINAL_SQL} WHERE split = 'test' AND hour >= 17),
-      (SELECT avg(y) FILTER (y > 0 AND y <= 1) AS v1, avg(y) FILTER (y > 1) AS v2 FROM train_x WHERE split = 'train' AND hour >= 17)""",
-    "train_x",
+      (SELECT avg(y) FILTER (y <= lo) AS v0, avg(y) FILTER (y > lo AND y <= hi) AS v1, avg(y) FILTER (y > hi) AS v2 FROM train_x, bucket_bounds WHERE split = 'train' AND hour >= 17)""",
+    "bucket_bounds",
 )
 def _(spark, sf_dir):
     """Learned bucket probabilities, and the demand expected from them with the zero gate."""
-    train, model = _buckets(spark, sf_dir)
+    train, bounds, model = _buckets(spark, sf_dir)
     rows = model.predict(_evening(spark, sf_dir, "test")).withColumn("baseline_blend", F.col("zone_hour_mean"))
-    out = post.bucket_expectation(rows, "probs", reg.bucket_means(train, "target_demand", BOUNDS), 0.9, 0.8)
+    out = post.bucket_expectation(rows, "probs", reg.bucket_means(train, "target_demand", bounds), 0.9, 0.8)
     return out.select("PULocationID", "window_start", *[F.col("probs")[i].alias(f"p{i}") for i in range(3)], "predicted")
 
 
