@@ -163,7 +163,7 @@ def test_passages_of_documents(docs, texts, chunk):
     assert sum(r["n_removed"] for r in rows) > 0
 
 
-@pytest.mark.parametrize("window", [2, 3, 5, 20])
+@pytest.mark.parametrize("window", [2, 3, 5, 10, 20, 27])
 def test_passages_of_short_texts(spark, window):
     rng = np.random.default_rng(window)
     rows = [(i, " ".join(rng.choice(list("abc"), rng.integers(0, 60)))) for i in range(60)]
@@ -171,6 +171,34 @@ def test_passages_of_short_texts(spark, window):
     assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in found} == {d: v[0][:3] for d, v in plain_passages(rows, window).items()}
 
 
+def test_passages_pass_every_length(spark):
+    assert substring_dedup.levels(20) == [5, 10, 20] and substring_dedup.levels(27) == [7, 14, 27] and substring_dedup.levels(9) == [9]
+    rng = np.random.default_rng(8)
+    unique = iter(range(10**6))
+    passages = [[f"p{k}_{i}" for i in range(n)] for k, n in enumerate((4, 5, 9, 10, 19, 20, 21, 45))]
+    rows = []
+    for i in range(200):
+        text = [f"u{next(unique)}" for _ in range(30)]
+        for k in rng.choice(len(passages), 3):
+            text += passages[k] + [f"u{next(unique)}" for _ in range(int(rng.integers(0, 12)))]
+        rows.append((i, " ".join(text)))
+    # A group of copies in every chunk, ids that repeat, ids that are null.
+    rows += [(1000 + i, rows[7][1]) for i in range(150)] + [(5, rows[9][1]), (5, rows[9][1])]
+    for size in (1500, 1 << 20):
+        df = spark.createDataFrame(rows + [(None, rows[7][1])], "doc_id long, text string").repartition(6)
+        found = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["n_words"], r["n_removed"]) for r in substring_dedup.repeated_passages(df, chunk_bytes=size).collect())
+        plain = plain_passages(sorted(rows, key=lambda r: r[0]) + [(None, rows[7][1])])
+        ties = {5}  # equal ids: which of them is first is open, what they lose together is not
+        assert [f for f in found if f[1] not in ties] == sorted((d is None, d or 0, *v[:2]) for d, vs in plain.items() for v in vs if d not in ties)
+        assert len([f for f in found if f[1] in ties]) == 3
+
+
+def test_one_exchange_serves_least_place_and_join(spark):
+    rows = spark.createDataFrame([(k, i, 0, i) for k in range(50) for i in range(k % 3 + 1)], "key long, doc_id long, chunk long, place int")
+    out = substring_dedup._not_first(rows, ["key"], "places")
+    assert sorted(out.first()["places"]) == sorted(i for k in range(50) for i in range(1, k % 3 + 1))
+
+
 def test_passages_of_odd_rows(odd, none):
     rows = substring_dedup.repeated_passages(odd).collect()
     expected = plain_passages(sorted((r[:2] for r in ODD_ROWS), key=lambda r: (r[0] is None, r[0] or 0)))
