@@ -260,13 +260,23 @@ def _kept(window: int, id_type: pa.DataType, texts: bool):
 def _not_first(rows: DataFrame, key: list[str], name: str) -> DataFrame:
     """The places of each chunk (column ``name``) whose key has an earlier place.
 
-    One exchange serves the least place of a key and the join with it; the join holds one least place at a time.
+    Both branches read whole places, so one exchange serves the least place of a key and the join with it; the
+    join holds one least place at a time.
     """
-    rows = rows.repartition(*key)
-    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "chunk", "place")
-    first = rows.groupBy(*key).agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    later = rows.join(first.select(*key, "first"), key).where("chunk != first.chunk OR place != first.place")
-    return later.groupBy("chunk").agg(F.collect_list("place").alias(name))
+    at = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "chunk", "place").alias("at")
+    rows = rows.select(*key, at).repartition(*key)
+    ends = rows.groupBy(*key).agg(F.min("at").alias("first"), F.max("at").alias("end")).where("NOT (first <=> end)")
+    later = rows.join(ends.select(*key, "first"), key).where("NOT (at <=> first)")
+    return later.groupBy("at.chunk").agg(F.collect_list("at.place").alias(name))
+
+
+def _seen_twice(anchors: DataFrame, name: str) -> DataFrame:
+    """The anchors of each chunk (column ``name``) that have several places or are in several chunks."""
+    rows = anchors.select("anchor", F.struct("several", "chunk").alias("at")).repartition("anchor")
+    ends = rows.groupBy("anchor").agg(F.min("at").alias("first"), F.max("at").alias("end")).where("end.several OR first != end")
+    # True of every row of such an anchor; as above, both branches read whole rows.
+    again = rows.join(ends, "anchor").where("end.several OR at != first OR at != end")
+    return again.groupBy("at.chunk").agg(F.collect_list("anchor").alias(name))
 
 
 def repeated_passages(docs: DataFrame, window: int = 20, texts: bool = False, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -289,9 +299,8 @@ def repeated_passages(docs: DataFrame, window: int = 20, texts: bool = False, ch
     # Below the full length: anchors seen twice.
     met = chunks
     for level in range(len(levels(window)) - 1):
-        sent = met.mapInArrow(_anchors(window, level), "anchor long, chunk long, several boolean").repartition("anchor")
-        twice = sent.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.max("several").alias("several")).where("n > 1 OR several").select("anchor")
-        known = sent.join(twice, "anchor").groupBy("chunk").agg(F.collect_list("anchor").alias(f"known{level}"))
+        sent = met.mapInArrow(_anchors(window, level), "anchor long, chunk long, several boolean")
+        known = _seen_twice(sent, f"known{level}")
         met = (met if level else chunks.repartition(tasks, "chunk")).join(materialize(known, "anchors"), "chunk")
 
     # Full length: whole windows.
