@@ -70,6 +70,26 @@ def test_targets_with_caps(spark):
     assert all(math.isclose(r["target"], expected[r["source"]], rel_tol=1e-9) for r in rows) and len(rows) == len(sizes)
 
 
+def test_targets_of_many_sources(spark):
+    n = 100_000
+    sizes = {f"host{i:06d}": (i * 7919) % 5000 + (10**7 if i % 9973 == 0 else 0) for i in range(n)}
+    df = spark.createDataFrame([*sizes.items(), (None, 123)], "source string, source_size long").repartition(7)
+    got = {r["source"]: (r["source_size"], r["target"]) for r in mixing.targets(df).collect()}
+    assert got == {r["source"]: (r["source_size"], r["target"]) for r in mixing.targets(df.repartition(3)).collect()}
+    weight = {s: (5.0, 2.0, 1.0)[i % 3] for i, s in enumerate([*sorted(sizes), None])}
+    assert {s: v[0] for s, v in got.items()} == sizes | {None: 123}
+    assert math.isclose(math.fsum(t for _, t in got.values()), sum(sizes.values()) + 123, rel_tol=1e-9)
+    levels = [t / weight[s] for s, (size, t) in got.items() if t < 3 * size]
+    assert 0 < len(levels) < n and math.isclose(min(levels), max(levels), rel_tol=1e-12)
+    assert all(t <= 3 * size and (t < 3 * size or t <= levels[0] * weight[s]) for s, (size, t) in got.items())
+
+
+def test_targets_where_nothing_has_a_size(spark):
+    empty = spark.createDataFrame([("a", 0), (None, 0)], "source string, source_size long")
+    assert {(r["source"], r["target"]) for r in mixing.targets(empty).collect()} == {("a", 0.0), (None, 0.0)}
+    assert mixing.targets(empty.limit(0)).count() == 0
+
+
 def test_mix_of_documents(spark, sf_dir, docs, texts):
     rows = mixing.mix(docs).collect()
     sizes = {d: len(WORD.findall(t)) for d, t in texts.items()}

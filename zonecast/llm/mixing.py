@@ -15,7 +15,7 @@ source's remaining gap into the one cell that closes it best. Inside a cell the
 the extra one follows a seeded hash, ranked in bins so that a cell of any size is spread over many tasks.
 
 No Python runs on the data. Null text has size 0; a document of size 0 takes nothing and counts for nothing. A null source
-is the last one. Rows that agree in everything are separate documents. An empty table gives an empty result.
+is the last one; their number is not bounded. Rows that agree in everything are separate documents. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from zonecast.llm.order import placed
 from zonecast.llm.tables import text_or_empty
 from zonecast.session import materialize
 
@@ -38,27 +39,40 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
 
 
-def targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, limit: float = LIMIT) -> DataFrame:
-    """(source, source_size) with the ``target`` of each source.
+def targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, limit: int = LIMIT) -> DataFrame:
+    """(source, source_size) with the ``target`` of each source, for any number of sources.
 
     Sources in order of code point (null last) weigh ``weights``, repeating. Sharing a total by weight
-    with caps means ``target = min(limit * size, level * weight)``: sources reach their caps in the
-    order of ``limit * size / weight``, so one pass in that order finds the level.
+    with caps means ``target = min(limit * size, level * weight)``. The level rises from the plain share: each step
+    caps the sources whose share is above their cap and shares what they leave, until no further one is above. A step
+    is one aggregate of whole numbers (what is capped, and how many of each weight are not), so reruns agree to the last bit.
     """
-    order = Window.orderBy(F.col("source").isNull(), "source")
-    place = F.row_number().over(order) - 1
-    weight = F.element_at(F.array(*map(F.lit, weights)), (place % len(weights) + 1).cast("int"))
-    rows = sources.withColumn("weight", weight).withColumn("cap", F.lit(float(limit)) * F.col("source_size"))
-    rows = rows.withColumn("full_at", F.col("cap") / F.col("weight"))
-    before = Window.orderBy("full_at", F.col("source").isNull(), "source").rowsBetween(Window.unboundedPreceding, -1)
-    every = Window.partitionBy()
-    rows = rows.withColumn("capped", F.coalesce(F.sum("cap").over(before), F.lit(0.0)))
-    rows = rows.withColumn("open", F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(before), F.lit(0.0)))
-    # The level if exactly the sources before this one are capped; the first one it does not cap is right.
-    rows = rows.withColumn("level", (F.sum("source_size").over(every) - F.col("capped")) / F.col("open"))
-    level = F.min(F.when(F.col("level") <= F.col("full_at"), F.struct("full_at", "level"))).over(every)["level"]
-    rows = rows.withColumn("found", F.coalesce(level, F.lit(math.inf)))
-    return rows.select("source", "source_size", F.least("cap", F.col("found") * F.col("weight")).alias("target"))
+    named = sources.select(F.lit(0).alias("all"), F.col("source").isNull().alias("last"), "source", "source_size")
+    kind = (F.col("place") % len(weights)).cast("int")
+    ranked = placed(named, ["all"], ["last", "source"], "place").select("source", "source_size", kind.alias("kind"))
+    rows = materialize(ranked, "sources")
+    weight = F.element_at(F.array(*map(F.lit, weights)), F.col("kind") + 1)
+    cap = F.lit(float(limit)) * F.col("source_size")
+    total, level, capped = None, 0.0, -1
+    while True:
+        below = F.lit(level) * weight <= cap
+        open_ = [F.count(F.when(below & (F.col("kind") == i), 1)) for i in range(len(weights))]
+        found = rows.agg(F.sum("source_size"), F.count(F.when(~below, 1)), F.coalesce(F.sum(F.when(~below, F.col("source_size"))), F.lit(0)), *open_).first()
+        total = found[0] or 0
+        left = sum(n * w for n, w in zip(found[3:], weights))
+        if found[1] == capped or not left:
+            break
+        capped, level = found[1], (total - limit * found[2]) / left
+    return rows.select("source", "source_size", F.least(cap, F.lit(level) * weight).alias("target"))
+
+
+def _exact(x: Column) -> Column:
+    return x.cast("decimal(18,0)")
+
+
+def _fixed(x: Column) -> Column:
+    """Decimals, whose sum does not depend on the order in which rows arrive: sums that decide roundings use them."""
+    return x.cast("decimal(28,6)")
 
 
 def _tilted(z: Column, tilt: Column, limit: float) -> Column:
@@ -73,7 +87,8 @@ def entropy_tilts(cells: DataFrame, goals: DataFrame, limit: float = LIMIT, tole
     """
     spark = cells.sparkSession
     own = cells.where("size > 0").groupBy("source").agg(
-        (F.sum(F.col("n") * F.col("size") * F.col("size")) / F.sum(F.col("n") * F.col("size"))).alias("scale"), F.min("size").alias("least")
+        (F.sum(_exact(F.col("n") * F.col("size")) * F.col("size")).cast("double") / F.sum(F.col("n") * F.col("size"))).alias("scale"),
+        F.min("size").alias("least"),
     )
     share = F.col("target") / F.col("source_size")
     reach = F.col("scale") / F.col("least")
@@ -91,8 +106,8 @@ def entropy_tilts(cells: DataFrame, goals: DataFrame, limit: float = LIMIT, tole
         raw = _tilted(z, F.col("tilt"), limit)
         sums = (
             cells.where("size > 0").join(s, cells["source"].eqNullSafe(s["of"])).groupBy("of").agg(
-                F.sum(F.col("n") * F.col("size") * raw).alias("taken"),
-                F.sum(F.when(raw < limit, F.col("n") * F.col("size") * z * raw).otherwise(0.0)).alias("slope"),
+                F.sum(_fixed(F.col("n") * F.col("size") * raw)).cast("double").alias("taken"),
+                F.sum(F.when(raw < limit, _fixed(F.col("n") * F.col("size") * z * raw)).otherwise(F.lit(0))).cast("double").alias("slope"),
             )
         )
         step = materialize(state.join(sums, state["source"].eqNullSafe(sums["of"])).withColumn("gap", F.col("taken") - F.col("target")), "step")
