@@ -98,6 +98,35 @@ def test_replay_files_have_bounded_size(spark, tmp_path):
     assert sizes == [5, 10, 10]
 
 
+def test_lanes_are_replayed_side_by_side(spark, tmp_path):
+    """Every row once, repeated and null ones too; a file per micro-batch, no more files than one lane has; streams overlap in time."""
+    rows = [trip(i % 3, i % 20, i // 2) for i in range(23)] + [(None, None, None)] * 2
+    files, out = str(tmp_path / "f"), str(tmp_path / "out")
+    df = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    st.write_replay(df, files, rows_per_file=5, lanes=3)
+    sizes = [r["count"] for r in spark.read.parquet(files).groupBy(F.input_file_name()).count().collect()]
+    assert sizes == [5] * 5
+    got = st.replay_lanes(spark, files, out, df.schema, 3)
+    assert sorted((tuple(r) for r in got.drop("lane", "batch").collect()), key=str) == sorted(rows, key=str)
+    assert sorted(tuple(r) for r in got.select("lane", "batch").distinct().collect()) == [(0, 0), (0, 1), (1, 0), (1, 1), (2, 0)]
+    assert got.groupBy("lane", "batch").count().where("count > 5").count() == 0
+
+
+def test_error_of_one_lane_is_raised(spark, tmp_path):
+    df = spark.createDataFrame([trip(1, 5, i) for i in range(20)], SCHEMA).coalesce(1)
+    st.write_replay(df, str(tmp_path / "f"), rows_per_file=5, lanes=3)
+    broken = F.when(F.col("trip_id") == 7, F.raise_error(F.lit("broken row")).cast("long")).otherwise(F.col("trip_id")).alias("trip_id")
+    with pytest.raises(StreamingQueryException, match="broken row"):
+        st.replay_lanes(spark, str(tmp_path / "f"), str(tmp_path / "out"), df.schema, 3, [broken])
+    assert not spark.streams.active
+
+
+def test_lanes_of_an_empty_table(spark, tmp_path):
+    df = spark.createDataFrame([], SCHEMA)
+    st.write_replay(df, str(tmp_path / "f"), rows_per_file=5, lanes=3)
+    assert st.replay_lanes(spark, str(tmp_path / "f"), str(tmp_path / "out"), df.schema, 3).count() == 0
+
+
 def test_no_progress_of_a_long_run_is_lost(spark, tmp_path):
     write_files(spark, str(tmp_path / "in"), [[trip(1, 5, i)] for i in range(130)])
     schema = spark.createDataFrame([], SCHEMA).schema

@@ -241,16 +241,18 @@ def _(spark, sf_dir):
     return written.withColumn("p", seen).select("rows_out", "p.*").withColumn("filtered_pct", py_round(share, 1))
 
 
+#: Streams of a replay that run side by side.
+LANES = 12
+
+
 @query("stream_replayed_batches", "rows:l enough_batches:b total:d4", "SELECT count(*) AS rows, TRUE AS enough_batches, sum(fare_amount) AS total FROM trips", "trips")
 def _(spark, sf_dir):
-    """Files of 2000 rows at most from as many writers as the scan has, one file per micro-batch."""
+    """Files of 2000 rows at most from as many writers as the scan has, one file per micro-batch, in lanes side by side."""
     path = scratch_path(spark, "replay")
     source = table(spark, sf_dir, "events")
-    st.write_replay(source, os.path.join(path, "files"), rows_per_file=2000)
-    stream = st.read_files(spark, os.path.join(path, "files"), source.schema, files_per_batch=1).select(*trip_columns())
-    _finish(st.start_table_replay(stream, path))
-    written = spark.read.parquet(os.path.join(path, "data"))
-    sums = written.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("batch").alias("batches"), F.sum("fare_amount").alias("total"))
+    st.write_replay(source, os.path.join(path, "files"), rows_per_file=2000, lanes=LANES)
+    written = st.replay_lanes(spark, os.path.join(path, "files"), path, source.schema, LANES, trip_columns())
+    sums = written.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("lane", "batch").alias("batches"), F.sum("fare_amount").alias("total"))
     return sums.withColumn("enough_batches", F.col("batches") >= F.ceil(F.col("rows") / 2000))
 
 

@@ -35,9 +35,22 @@ def read_files(spark: SparkSession, path: str, schema: T.StructType, files_per_b
     return reader.parquet(path)
 
 
-def write_replay(df: DataFrame, path: str, rows_per_file: int = 10_000) -> None:
-    """A table as a folder of files of at most ``rows_per_file`` rows, to be replayed as a stream."""
-    df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(path)
+def write_replay(df: DataFrame, path: str, rows_per_file: int = 10_000, lanes: int | None = None) -> None:
+    """A table as a folder of files of at most ``rows_per_file`` rows, to be replayed as a stream.
+
+    With ``lanes``, runs of ``rows_per_file`` rows of a writer are dealt to so many folders (``lane_path``), for as many streams side by side.
+    Each run is one file, so there are no more files than without lanes.
+    """
+    writer = df.write
+    if lanes:
+        number = F.monotonically_increasing_id()
+        run = F.floor(number.bitwiseAND((1 << 33) - 1) / rows_per_file) + F.shiftright(number, 33)
+        writer = df.withColumn("lane", F.pmod(run, F.lit(lanes)).cast("int")).write.partitionBy("lane").option("partitionOverwriteMode", "static")
+    writer.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(path)
+
+
+def lane_path(path: str, lane: int) -> str:
+    return os.path.join(path, f"lane={lane}")
 
 
 def start_append(stream: DataFrame, path: str, name: str | None = None) -> StreamingQuery:
@@ -144,16 +157,47 @@ def start_table_replay(stream: DataFrame, path: str) -> StreamingQuery:
     Every batch owns one partition, which a repeated batch overwrites. The first batch overwrites
     the whole table, so rows of an earlier run do not survive.
     """
+    data = os.path.join(path, "data")
 
     def write(batch: DataFrame, number: int) -> None:
-        mode = "static" if number == 0 else "dynamic"
-        numbered = batch.withColumn("batch", F.lit(number).cast("long"))
-        numbered.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("batch").parquet(os.path.join(path, "data"))
+        if number == 0:
+            batch = batch.withColumn("batch", F.lit(number).cast("long"))
+            batch.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("batch").parquet(data)
+        else:
+            batch.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(os.path.join(data, f"batch={number}"))
 
     state = os.path.join(path, f"_state-{uuid.uuid4().hex}")
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", state).trigger(availableNow=True).start()
 
 
+def replay_lanes(spark: SparkSession, files: str, path: str, schema: T.StructType, lanes: int, columns: list | None = None, files_per_batch: int = 1) -> DataFrame:
+    """Replays the lanes of ``write_replay`` as streams that run side by side, and gives the table they wrote, with ``lane`` and ``batch``.
+
+    A micro-batch costs the driver the same however few rows it has (logs, planning, a job, a commit), and those of one stream follow each other;
+    those of different lanes do not wait. An error of one stream stops the others and is raised.
+    """
+    folders = [p for p in (lane_path(files, i) for i in range(lanes)) if _table_or_none(spark, p, schema) is not None]
+    running = []
+    try:
+        for folder in folders:
+            stream = read_files(spark, folder, schema, files_per_batch=files_per_batch)
+            running.append(start_table_replay(stream.select(*columns) if columns else stream, os.path.join(path, os.path.basename(folder))))
+        for query in running:
+            query.awaitTermination()
+    finally:
+        for query in running:
+            if query.isActive:
+                query.stop()
+    like = spark.createDataFrame([], schema)
+    written = T.StructType([*(like.select(*columns) if columns else like).schema.fields, T.StructField("batch", T.LongType())])
+    out = spark.createDataFrame([], written).withColumn("lane", F.lit(0))
+    for folder in folders:
+        name = os.path.basename(folder)
+        table = spark.read.schema(written).parquet(os.path.join(path, name, "data")).withColumn("lane", F.lit(int(name.removeprefix("lane="))))
+        out = out.unionByName(table)
+    return out
+
+
 PROGRESS_SCHEMA = "run string, name string, batch_id long, input_rows long, rows_per_second double, dropped_late long, state string, error string"
 
 
