@@ -79,6 +79,42 @@ def test_threshold_keeps_nearly_all_good_rows():
     assert (scores[labels == 1] > cut).mean() <= 0.002 and (scores[labels == 0] > cut).mean() > 0.9
 
 
+def test_cuts_over_all_rows_against_an_array(spark):
+    """Ties, a constant, one distinct value a row, and a statistic without a bad row above its cut."""
+    rng = np.random.default_rng(5)
+    n = 6000
+    label = (rng.random(n) < 0.8).astype(int)
+    columns = [rng.normal(label, 1.0), rng.integers(0, 9, n) / 8 - label / 8, np.full(n, 0.5), np.where(label == 1, 1.0, 0.0)]
+    rows = [(i, float(v), int(b)) for i, c in enumerate(columns) for v, b in zip(c, label)]
+    got = quality_rules.calibrated(spark.createDataFrame(rows, "stat int, value double, label int").repartition(7), 0.01)
+    for i, c in enumerate(columns):
+        cut = quality_rules.calibrate(c, label, 0.01)
+        assert got[i] == (cut, bool((c[label == 0] > cut).any()))
+
+
+def test_every_labelled_row_counts(spark, no_labels):
+    """More rows of a label than any sample took: the last ones move the threshold, and all rows weigh the leaves."""
+    words_ = " ".join(f"w{i}" for i in range(60))
+    def text(i, signs):
+        return f"{words_} n{i} " + "# " * signs
+    rows = [(i, text(i, i % 7), 1) for i in range(4500)] + [(10000 + i, text(i, 12 + i % 20), 0) for i in range(4500)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(d, q, 0) for d, _, q in rows], no_labels.schema)
+    forest = quality_rules.fit_rules(docs, labels)
+    assert math.isclose(forest.usual, quality_rules.expected_path(9000))
+    points = quality_rules.rule_values(quality_rules.statistics([t.encode() for _, t, _ in rows]))
+    truth = np.array([q for *_, q in rows])
+    assert forest.threshold == quality_rules.calibrate(forest.scores(points), truth, 0.002)
+    assert forest.allowance[0] == quality_rules.calibrate(points[:, 0], truth, 0.002)
+    for feature, value, node in zip(forest.feature, forest.value, forest.leaves(points)):
+        n = np.bincount(node, minlength=len(feature))
+        level = value - [quality_rules.expected_path(int(x)) for x in n]
+        leaf = (feature < 0) & (n > 0)
+        assert np.allclose(level[leaf], np.rint(level[leaf])) and (level[leaf] >= 0).all() and math.isclose((2.0 ** -level[leaf]).sum(), 1)
+    again = quality_rules.fit_rules(docs.repartition(3).unionByName(docs.limit(0)), labels)
+    assert again.threshold == forest.threshold and all((a == b).all() for a, b in zip(again.value, forest.value))
+
+
 @pytest.fixture(scope="module")
 def crf():
     rng = np.random.default_rng(2)
