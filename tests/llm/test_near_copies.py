@@ -3,7 +3,7 @@ import re
 
 import pytest
 
-from zonecast.llm import near_copies, pipeline
+from zonecast.llm import near_copies, pipeline, simhash
 
 from .conftest import ODD_ROWS, WORD
 
@@ -134,3 +134,35 @@ def test_nulls_ties_and_repeats(spark, sf_dir, odd, none):
         classes.setdefault(plain_shingles(t) if WORD.search(t) else None, (last, d))
     assert sorted(map(str, found)) == sorted("None" if last else str(d) for last, d in classes.values())
     assert pipeline.near_dedup(spark, none, sf_dir).count() == 0
+
+
+def test_simhash_classes_are_candidates_and_whole_sets_decide(spark, sf_dir, monkeypatch):
+    """Long texts that differ in their last word are linked by SimHash; texts that share a long repetition are too, and are refused."""
+    rng = random.Random(6)
+    known = [f"w{i}" for i in range(3000)]
+    bases = [rng.choices(known, k=2000) for _ in range(12)]
+    rows = [(i, " ".join(w)) for i, w in enumerate(bases)] + [(100 + i, " ".join(w[:-1] + ["end"])) for i, w in enumerate(bases)]
+    rows += [(200 + i, "a b c d e f g " * 200 + " ".join(rng.choices(known, k=30))) for i in range(4)]
+    sets = {i: plain_shingles(t) for i, t in rows}
+    seen, operator, verified = [], simhash.near_duplicates, near_copies._verified
+    pairs = []
+
+    def called(docs, *args, **kwargs):
+        assert kwargs["shingle"] == near_copies.SHINGLE
+        seen.append(operator(docs, *args, **kwargs))
+        return seen[-1]
+
+    def checked(candidates, s):
+        out = verified(candidates, s)
+        pairs.append(([tuple(r) for r in candidates.collect()], [tuple(r) for r in out.collect()]))
+        return out
+
+    monkeypatch.setattr(simhash, "near_duplicates", called)
+    monkeypatch.setattr(near_copies, "_verified", checked)
+    docs = spark.createDataFrame([(i, t) for i, t in rows], "doc_id long, text string").repartition(4)
+    found = sorted(r["doc_id"] for r in pipeline.near_dedup(spark, docs, sf_dir).collect())
+    assert found == plain_kept(rows) == [*range(12), 200, 201, 202, 203]
+    id_of = {r["_zc_row"]: r["doc_id"] for r in seen[0].collect()}
+    candidates, linked = ({tuple(sorted((id_of[a], id_of[b]))) for a, b in x} for x in pairs[0])
+    assert len([p for p in candidates if p[0] < 12 and p[1] == p[0] + 100]) >= 6 and any(p[0] >= 200 for p in candidates)
+    assert linked == {(a, b) for a, b in candidates if alike(sets[a], sets[b])} and linked < candidates

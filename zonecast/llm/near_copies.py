@@ -2,11 +2,14 @@
 
 Linked are all such pairs; classes are the connected components.
 
+SimHash comes first: the classes of ``simhash`` (fingerprints of the same shingles at most two bits apart, by the generalised pigeonhole)
+are candidates, each text of a class with the first one of it, and whole sets decide on them (``of_classes``). SimHash alone does not find all:
+pairs of similarity 0.8 lie up to 14 of 64 bits apart, and a pigeonhole search that far sends each text to hundreds of buckets. The pairs
+beyond two bits are found exactly by the steps below, which start from the components that the first links make.
+
 1. Signatures: ``BANDS`` x ``WIDTH`` least values of differently keyed hashes of a text's shingles. Two texts of similarity s share the
    values of a whole band with probability s^3, and so miss each other in all 24 bands with (1 - s^3)^24: 3e-8 at s = 0.8, the
    worst case. Texts that share a band with another one are the members; only they go on. Equal sets are one member.
-   Bits of a SimHash are not used here: pairs of similarity 0.8 lie up to 14 of 64 bits apart, and a pigeonhole search that far sends each
-   text to hundreds of buckets.
 2. Order: the shingles of a member are ordered by the number of members that hold them, rarest first.
 3. Prefixes: two sets of similarity 0.8 share one of the first ``n - ceil(0.8 n) + 1`` shingles of either, exactly. In a family of copies that
    were edited apart these are the edits, held by one member alone, and bring it together with none; shingles that very many texts
@@ -34,11 +37,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from zonecast.llm import simhash
 from zonecast.llm.components import components
 from zonecast.llm.text import U, mix, slices, word_hashes, words
 from zonecast.session import materialize
 
 SHINGLE = 5
+#: Bits that SimHash fingerprints of one class lie apart at most, link by link.
+DISTANCE = 2
 #: Least similarity of a link, as a fraction of whole numbers: no rounding decides.
 LEAST = (4, 5)
 BANDS, WIDTH = 24, 3
@@ -184,8 +190,16 @@ def prefixes(sets: DataFrame) -> DataFrame:
     return cut.where("item.n > 1").select(F.col("item.key").alias("key"), "node", "size", "pos", "own")
 
 
-def links(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Edges (a, b) whose components are those of all similar pairs that share a key; ``members`` as ``prefixes`` gives them."""
+def of_classes(sole: DataFrame, classes: DataFrame) -> DataFrame:
+    """Candidates (a, b): each node of a class (node, root) with the smallest node of it; a class of any size is one star."""
+    nodes = materialize(sole.select("node").join(classes, "node"), "classes")
+    heads = materialize(nodes.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("b")).where("n > 1"), "heads")
+    total = heads.agg(F.sum("n")).first()[0] or 0
+    return materialize(_looked_up(nodes, heads, "root", total).where("node != b").select(F.col("node").alias("a"), "b"), "candidates")
+
+
+def links(members: DataFrame, sets: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """Edges (a, b) whose components are those of all similar pairs that share a key; ``members`` as ``prefixes`` gives them, ``known`` links are part of them."""
     state = members.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.min("size").alias("least"), F.min(F.struct("own", "node", "size", "pos")).alias("p")
     ).where("n > 1")
@@ -196,7 +210,8 @@ def links(members: DataFrame, sets: DataFrame) -> DataFrame:
     met = _looked_up(members, state, "key", total).where(_reach(size, pos, F.col("least")))
     met = materialize(met.drop("own", "n", "least"), "members")
     stars = met.where((F.col("node") != F.col("b")) & _near(size, F.col("b_size")) & _reach(size, pos, F.col("b_size")) & _reach(F.col("b_size"), F.col("b_pos"), size))
-    edges = materialize(_verified(stars.select(F.col("node").alias("a"), "b"), sets), "links")
+    edges = _verified(stars.select(F.col("node").alias("a"), "b"), sets)
+    edges = materialize(edges if known is None else edges.unionByName(known), "links")
     root = materialize(components(edges), "roots")
 
     now = met.select("key", "node", "size", "pos").join(root, "node", "left").withColumn("of", F.coalesce("root", "node")).drop("root")
@@ -218,6 +233,7 @@ def links(members: DataFrame, sets: DataFrame) -> DataFrame:
 
 def near_copies(docs: DataFrame, row: str) -> tuple[DataFrame, DataFrame]:
     """(node, same) of each row, ``row`` numbering them and ``same`` telling equal sets, and (same, root) of the sets that have a near copy."""
+    alike = simhash.near_duplicates(docs, carried=(row,), shingle=SHINGLE, distance=DISTANCE).select(F.col(row).alias("node"), "root")
     rows = docs.select(F.col(row).alias("node"), "text")
     signed = materialize(rows.mapInArrow(_signed, "node long, same binary, size long, keys array<long>"), "signatures")
     sole = signed.groupBy("same").agg(F.min(F.struct("node", "size", "keys")).alias("m")).select("same", "m.node", "m.size", "m.keys")
@@ -225,9 +241,12 @@ def near_copies(docs: DataFrame, row: str) -> tuple[DataFrame, DataFrame]:
     probes = sole.select("node", F.explode("keys").alias("key"))
     shared = materialize(probes.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
     total = shared.agg(F.sum("n")).first()[0] or 0
-    members = materialize(_looked_up(probes, shared, "key", total).select("node").distinct(), "members")
+    candidates = of_classes(sole, alike)
+    named = candidates.select(F.col("a").alias("node")).unionByName(candidates.select(F.col("b").alias("node")))
+    members = materialize(_looked_up(probes, shared, "key", total).select("node").unionByName(named).distinct(), "members")
     sets = materialize(_texts_of(rows, members).mapInArrow(_sets, "node long, size long, shingles array<long>"), "shingles")
-    root = components(links(materialize(prefixes(sets), "prefixes"), sets))
+    known = materialize(_verified(candidates, sets), "known")
+    root = components(links(materialize(prefixes(sets), "prefixes"), sets, known))
     return signed.select("node", "same"), sole.join(root, "node").select("same", "root")
 
 

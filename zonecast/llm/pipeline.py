@@ -30,7 +30,10 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each class of near copies (five words, similarity 0.8 or more) stays: the one with the smallest id (null last)."""
+    """One row of each class of near copies (five words, similarity 0.8 or more) stays: the one with the smallest id (null last).
+
+    SimHash classes are checked by whole sets of shingles; what lies further apart is found by ``near_copies`` from there.
+    """
     rows = numbered(docs)
     return rows.join(near_copies.gone(rows, ROW), ROW, "left_anti").select(*docs.columns)
 
