@@ -242,3 +242,83 @@ def test_texts_of_a_corpus_beyond_the_slots_are_not_exchanged(spark, texts, monk
     held = [line for line in plan.splitlines() if "Scan parquet" in line and "ids" in line]
     assert len(held) == 1 and "Bucketed: true" in held[0]
     assert plan.count("Exchange hashpartitioning") == 2  # to the parts, and back to the chunks
+
+
+def whole_scores(rows, bits):
+    """Scores with codes that end where at most one learned word is left, and counts of each context of its own, in plain dictionaries."""
+
+    def steps(text):
+        found = tokens(text)
+        hashes = [int(x) for x in word_hashes(words([x.encode() for x in found]))] + [int(cm.END)]
+        for i, h in enumerate(hashes):
+            one, two = hashes[i - 1] if i else None, hashes[i - 2] if i > 1 else None
+            yield i, "w" + found[i] if i < len(found) else "end", h >> (64 - bits), (0, one, (one, two), two)
+
+    places, counts, left = {}, Counter(), {}
+    for d, t in rows:
+        for _, word, c, ctx in [] if held(d) else steps(t):
+            for j in range(bits + 1):
+                n, v = left.get((j, c >> (bits - j)), (0, 0))
+                left[j, c >> (bits - j)] = (n + 1, v + (word not in counts))
+            counts[word] += 1
+            for j in range(bits):
+                for k, x in enumerate(ctx):
+                    places.setdefault((k, x, j, c >> (bits - j)), [0, 0])[c >> (bits - 1 - j) & 1] += 1
+    out = {}
+    for d, t in rows:
+        total = 0.0
+        for i, word, c, ctx in steps(t):
+            if i % cm.SEGMENT == 0:
+                weights = [[cm.START_WEIGHT] * cm.PREDICTORS for _ in range(bits)]
+            end = next((j for j in range(bits) if left.get((j, c >> (bits - j)), (0, 0))[1] < 2), bits)
+            for j in range(end):
+                bit = c >> (bits - 1 - j) & 1
+                x = [int(cm.log_odds(*map(np.float64, places.get((k, y, j, c >> (bits - j)), (0, 0))))) / cm.SCALE for k, y in enumerate(ctx)]
+                p = 1 / (1 + math.exp(-max(-cm.MOST, min(cm.MOST, sum(a * b for a, b in zip(weights[j], x))))))
+                total += math.log10(p if bit else 1 - p)
+                weights[j] = [w + (bit - p) * cm.RATE * y for w, y in zip(weights[j], x)]
+            total += math.log10((counts[word] + 1) / (sum(left.get((end, c >> (bits - end)), (0, 0))) + 1))
+        out[d] = total
+    return out
+
+
+@pytest.mark.parametrize("hot, bits", [(1 << 10, None), (3, None), (3, 12), (1, 18)])
+def test_contexts_predict_whole_words(spark, texts, monkeypatch, hot, bits):
+    monkeypatch.setattr(cm, "PART_TOKENS", 4000)
+    monkeypatch.setattr(cm, "HOT", hot)
+    if bits:  # several words have one code
+        monkeypatch.setattr(cm, "code_bits", lambda tokens: bits)
+    rows = [(d, t) for d, t in texts.items() if t is None or len(t) < 20000][:50] + [(-1, None), (-2, ""), (-3, "One"), (-4, "é 東京 " * 300), (-5, "One")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r for r in cm.score(df, by_id(), chunk_bytes=20000, whole=True).collect()}
+    tokens_ = next(iter(got.values()))["train_tokens"]
+    assert {d: r["score"] for d, r in got.items()} == pytest.approx(whole_scores(rows, bits or cm.code_bits(tokens_)), rel=1e-4)
+    for d, h, n, known, total, base in plain_base(rows):
+        r = got[d]
+        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (h, n, known, total) and r["base_score"] == pytest.approx(base, rel=1e-9)
+    if not bits:
+        for r in cm.score(df.coalesce(1), by_id(), whole=True).collect():
+            assert r["score"] == got[r["doc_id"]]["score"]
+
+
+def test_whole_words_of_odd_rows(spark, odd, none):
+    got = sorted(map(tuple, cm.score(odd, by_id(), whole=True).collect()), key=lambda r: (str(r[:5]), r[5]))
+    want = sorted(plain_base([r[:2] for r in ODD_ROWS]), key=lambda r: (str(r[:5]), r[5]))
+    assert [g[:5] for g in got] == [w[:5] for w in want] and [g[5] for g in got] == pytest.approx([w[5] for w in want], rel=1e-9)
+    assert all(g[6] <= 0 and math.isfinite(g[6]) for g in got)
+    assert cm.score(none, by_id(), whole=True).count() == 0
+    rows = [(i, f"text {i}") for i in range(200) if held(i)]
+    assert all(r["score"] == 0 for r in cm.score(spark.createDataFrame(rows, "doc_id long, text string"), by_id(), whole=True).collect())  # all words are one
+
+
+def test_op13_predicts_the_word_inside_its_class(spark, tmp_path):
+    """Two words of one class that stand after different words: their class tells nothing, their contexts tell all."""
+    by_class = {}
+    for i in range(2000):
+        word = f"w{i}"
+        by_class.setdefault(int(word_hashes(words([word.encode()]))[0]) >> 56, []).append(word)
+    left, right = [x for x in by_class.values() if len(x) > 1][0][:2]
+    spark.createDataFrame([(i, f"on {left} off {right} " * 100) for i in range(60)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = catalog.queries()["op13_context_mixing"](spark, str(tmp_path)).collect()
+    # A share of one half for each of the 200 words of a class would cost 200 * log10(2) = 60.
+    assert len(got) == 60 and all(r["score"] > -40 for r in got)
